@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .mixing import OP4_SQL, op4_fair_queue_mixing
+from .near_dedup import OP10_SQL, op10_minhash_near_dedup
+from .packing import op7_best_fit_packing
 from .sharding import op3_hilbert_sharding
 
 
@@ -14,8 +16,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_hilbert_sharding": op3_hilbert_sharding,
         "op4_fair_queue_mixing": op4_fair_queue_mixing,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fair_queue_mixing": OP4_SQL}
+    return {"op4_fair_queue_mixing": OP4_SQL, "op10_minhash_near_dedup": OP10_SQL}
