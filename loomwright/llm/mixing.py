@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .common import bucketed_prefix, materialize, table
 
@@ -29,7 +30,7 @@ EPOCHS = 2
 BINS = 4096
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def word_count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Number of maximal runs of other characters than ASCII white space."""
     for batch in texts:
