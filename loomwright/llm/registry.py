@@ -10,6 +10,7 @@ from .mixing import OP4_SQL, op4_fair_queue_mixing
 from .near_dedup import OP10_SQL, op10_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .sharding import op3_hilbert_sharding
+from .suffix_dedup import op2_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_fair_queue_mixing": op4_fair_queue_mixing,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op2_suffix_dedup": op2_suffix_dedup,
     }
 
 
