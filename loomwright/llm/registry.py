@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lattice_lm import op9_lattice_lm
 from .mixing import OP4_SQL, op4_fair_queue_mixing
 from .near_dedup import OP10_SQL, op10_minhash_near_dedup
 from .packing import op7_best_fit_packing
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_best_fit_packing": op7_best_fit_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op2_suffix_dedup": op2_suffix_dedup,
+        "op9_lattice_lm": op9_lattice_lm,
     }
 
 
