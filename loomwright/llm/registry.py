@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprint import op8_parsing_fingerprint
 from .lattice_lm import op9_lattice_lm
 from .mixing import OP4_SQL, op4_fair_queue_mixing
 from .near_dedup import OP10_SQL, op10_minhash_near_dedup
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op9_lattice_lm": op9_lattice_lm,
+        "op8_parsing_fingerprint": op8_parsing_fingerprint,
     }
 
 
