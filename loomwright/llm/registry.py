@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprint import op8_parsing_fingerprint
 from .lattice_lm import op9_lattice_lm
+from .media import op5_lossless_webp
 from .mixing import OP4_SQL, op4_fair_queue_mixing
 from .near_dedup import OP10_SQL, op10_minhash_near_dedup
 from .packing import op7_best_fit_packing
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op9_lattice_lm": op9_lattice_lm,
         "op8_parsing_fingerprint": op8_parsing_fingerprint,
+        "op5_lossless_webp": op5_lossless_webp,
     }
 
 
