@@ -14,6 +14,7 @@ from .near_dedup import OP10_SQL, op10_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .sharding import op3_hilbert_sharding
 from .suffix_dedup import op2_suffix_dedup
+from .toxicity import op6_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lattice_lm": op9_lattice_lm,
         "op8_parsing_fingerprint": op8_parsing_fingerprint,
         "op5_lossless_webp": op5_lossless_webp,
+        "op6_toxicity": op6_toxicity,
     }
 
 
