@@ -17,25 +17,24 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
     split by adaptive execution.  Returns the written table and its path.
     """
     spark = links.sparkSession
-    both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b").distinct()
+    both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b")
     edges, edges_at = materialize(both, "edges")
     first = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    labels, labels_at = materialize(
-        first.select("node", F.least("node", "m").alias("component")), "labels"
-    )
+    labels, labels_at = materialize(first.select("node", F.least("node", "m").alias("component")), "labels")
+    # Labels only fall, so they stand still when their sum does.
+    total = lambda x: x.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("s")).first()["s"]
+    before = total(labels)
     while True:
         seen = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "component")
         least = seen.union(labels).groupBy("node").agg(F.min("component").alias("component"))
-        near, near_at = materialize(least, "labels")
-        jump = near.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        jumped = near.join(jump, "component", "left").select(
+        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        jumped = least.join(jump, "component", "left").select(
             "node", F.least("component", F.coalesce("further", "component")).alias("component")
         )
         after, after_at = materialize(jumped, "labels")
-        old = labels.withColumnRenamed("component", "old")
-        changed = after.join(old, "node").filter("component <> old").limit(1).count()
-        discard(spark, labels_at, near_at)
-        labels, labels_at = after, after_at
-        if not changed:
+        discard(spark, labels_at)
+        labels, labels_at, now = after, after_at, total(after)
+        if now == before:
             discard(spark, edges_at)
             return labels, labels_at
+        before = now

@@ -8,9 +8,10 @@
 * Bins are banded; documents that share a band's key are in one bucket.
 * Star-shaped edges: in each bucket one member is the centre and the others are
   compared with it alone.  A bucket whose members then are in several components
-  sheds its centre and gets further ones, more in each round, until its rest is
-  in one component; so no pair that shares a bucket is left undecided, and a
-  bucket of copies costs one edge for each member.
+  sheds its centre and gets ``GROWTH`` times as many in the next round, compared
+  with members of other components only, until its rest is in one component.  So
+  no pair that shares a bucket is left undecided, and a bucket of copies costs
+  one edge for each member.
 * An edge becomes a link if the full sets pass the similarity exactly.
 
 Edge cases: a text with fewer words than a shingle is one shingle; null, empty
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, table
@@ -38,6 +39,7 @@ from .graph import components
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SALTS = 256
+GROWTH = 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -137,23 +139,51 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, hashes as packed 64-bit words) of each document."""
+def sketched(docs: DataFrame, wanted: DataFrame, words: int, bins: int) -> DataFrame:
+    """(node, size, sketch: a byte of each bin, hashes as packed 64-bit words) of wanted documents."""
 
-    @F.pandas_udf("binary")
-    def packed(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, words).tobytes() for t in texts], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketch, packed = [], []
+            for text in batch.column(1).cast(pa.binary()):
+                s = shingles(text.as_py(), words)
+                sketch.append((mix(signature(s, bins)) & np.uint64(255)).astype(np.uint8).tobytes() if len(s) else b"")
+                packed.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketch, pa.binary()), pa.array(packed, pa.binary())], names=["node", "sketch", "hashes"])
+
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    return texts.mapInArrow(run, "node long, sketch binary, hashes binary").distinct()
 
-    return docs.select(F.col("doc_id").alias("node"), packed("text").alias("hashes"))
+
+def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """``edges`` (a, b) with ``column`` of a as x and of b as y.
+
+    A centre may have most of all edges, so it is salted: each salt in use gets
+    the centre's value once.
+    """
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    left = salted.select("a", "salt").distinct().join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
+    right = salted.join(sets.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
+    return right.join(left, ["a", "salt"])
 
 
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows of ``edges`` (a, b) whose full sets have the similarity.
 
-    A centre may have most of all edges, so it is salted: each salt in use gets
-    the centre's set once.
+    Pairs whose sketches (a byte of each bin) agree in fewer bins than six
+    standard deviations below the similarity are far from it, and their sets
+    aren't fetched.
     """
 
+    @F.pandas_udf("boolean")
+    def near(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right, strict=True):
+            same = np.frombuffer(x, dtype=np.uint8) == np.frombuffer(y, dtype=np.uint8)
+            p, n = percent / 100, max(1, len(same))
+            out.append(same.mean() >= p - 6 * (p * (1 - p) / n) ** 0.5)
+        return pd.Series(out, dtype=bool)
+
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
@@ -166,10 +196,10 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * common >= percent * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    left = salted.select("a", "salt").distinct().join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
-    right = salted.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-    return right.join(left, ["a", "salt"]).filter(similar("x", "y")).select("a", "b").distinct()
+    close, close_at = materialize(_joined(edges, sets, "sketch").filter(near("x", "y")).select("a", "b").distinct(), "close")
+    links, _ = materialize(_joined(close, sets, "hashes").filter(similar("x", "y")).select("a", "b").distinct(), "links")
+    discard(edges.sparkSession, close_at)
+    return links
 
 
 def near_duplicates(
@@ -185,34 +215,43 @@ def near_duplicates(
         "nodes",
     )
     slots = nodes.filter("node is not null").select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
-    shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared, shared_at = materialize(shared, "shared")
-    rest, rest_at = materialize(slots.join(shared, "key", "left_semi"), "buckets")
-    wanted, wanted_at = materialize(rest.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-    sets, sets_at = materialize(
-        shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words).distinct(), "sets"
-    )
+    rest, rest_at = materialize(slots.join(shared, "key"), "buckets")
+    # A member's weight is the size of all its buckets: what others are copies of has the greatest.
+    wanted, wanted_at = materialize(rest.groupBy("node").agg(F.sum("c").alias("weight")), "wanted")
+    sets, sets_at = materialize(sketched(docs, wanted.select(F.col("node").alias("doc_id")), words, bands * rows), "sets")
     labels, labels_at = None, None
     centres_each, turn = 1, 0
-    while not rest.isEmpty():
-        # rest: key, node, n, of buckets that aren't in one component; component: of the node by now.
-        named = rest.withColumn("component", F.col("node")) if labels is None else (
-            rest.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        )
-        named, named_at = materialize(named, "named")
+
+    def with_component(rows: DataFrame) -> DataFrame:
+        if labels is None:
+            return rows.withColumn("component", F.col("node"))
+        return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    # named: members (key, node, n, weight) of buckets, with the component that they are in by now.
+    named, named_at = materialize(with_component(rest.select("key", "node", "n").join(wanted, "node")), "named")
+    discard(spark, rest_at)
+    while True:
         slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(centres_each))
+        whole = Window.partitionBy("key")  # of a key's slots, at most centres_each
         centre = named.groupBy("key", slot.alias("slot")).agg(
-            F.min_by(F.struct("node", "n", "component"), F.struct(F.xxhash64("node"), "node")).alias("centre")
+            F.min_by(F.struct("node", "n", "component"), F.struct(-F.col("weight"), "node")).alias("centre"),
+            F.min("component").alias("x"), F.max("component").alias("y"),
         )
-        centre, centre_at = materialize(
-            centre.select("key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"), F.col("centre.component").alias("c_component")),
-            "centres",
+        centre = centre.withColumn("mixed", F.min("x").over(whole) < F.max("y").over(whole)).filter("mixed")
+        centre = centre.select(
+            "key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"), F.col("centre.component").alias("c_component")
         )
+        centre, centre_at = materialize(centre, "centres")
+        if centre.isEmpty():
+            discard(spark, centre_at, named_at)
+            break
         able = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
         edges = named.join(centre, "key").filter((F.col("component") != F.col("c_component")) & able)
         edges = edges.select(F.col("c_node").alias("a"), F.col("node").alias("b")).distinct()
         edges, edges_at = materialize(edges, "edges")
-        links, links_at = materialize(confirmed(edges, sets, percent), "links")
+        links = confirmed(edges, sets, percent)
         if not links.isEmpty():
             # Earlier components stay: each node is also linked with its own.
             known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -220,21 +259,13 @@ def near_duplicates(
             if labels_at:
                 discard(spark, labels_at)
             labels, labels_at = new, new_at
-        left = named.join(
-            centre.select("key", F.col("c_node").alias("node")), ["key", "node"], "left_anti"
-        ).select("key", "node", "n")
-        if labels is not None:
-            now = left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        else:
-            now = left.withColumn("component", F.col("node"))
-        now, now_at = materialize(now, "named")
-        mixed = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-        mixed, mixed_at = materialize(mixed, "mixed")
-        after, after_at = materialize(now.join(mixed, "key", "left_semi").select("key", "node", "n"), "buckets")
-        discard(spark, rest_at, named_at, centre_at, edges_at, links_at, now_at, mixed_at)
-        rest, rest_at = after, after_at
-        centres_each, turn = centres_each * 4, turn + 1
-    discard(spark, rest_at, shared_at, wanted_at, sets_at)
+        left = named.drop("component").join(centre.select("key").distinct(), "key", "left_semi")
+        left = left.join(centre.select("key", F.col("c_node").alias("node")), ["key", "node"], "left_anti")
+        after, after_at = materialize(with_component(left), "named")
+        discard(spark, named_at, centre_at, edges_at)
+        named, named_at = after, after_at
+        centres_each, turn = centres_each * GROWTH, turn + 1
+    discard(spark, shared_at, wanted_at, sets_at)
 
     groups = nodes.select("n_shingles", "set_a", "set_b", "node", "copies")
     if labels is None:
