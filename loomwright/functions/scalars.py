@@ -1,0 +1,125 @@
+"""Scalar columns: stable scores, number spellings, boxes, spans, text tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+AXES = ("x", "y", "z")
+
+
+def stable_score(*parts: Column) -> Column:
+    """A number in [0, 1] that depends on the parts' text alone: the first 64 bits of SHA-256."""
+    digest = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    first = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)").cast("double")
+    return first / F.lit(18446744073709551615.0)
+
+
+def format_number(value: Column, places: int = 3) -> Column:
+    """A number with at most ``places`` decimals and no trailing zeros; -0 is 0."""
+    text = F.format_string(f"%.{places}f", value.cast("double"))
+    text = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return F.when(text == "-0", "0").otherwise(text)
+
+
+def number_variants(value: Column) -> Column:
+    """The ways in which a text may spell a number."""
+    short, whole = format_number(value, 4), value == F.floor(value)
+    spellings = F.array(
+        short,
+        F.when(whole, F.concat(value.cast("long").cast("string"), F.lit(".0"))),
+        F.format_string("%.2f", value.cast("double")),
+        F.format_string("%.3f", value.cast("double")),
+    )
+    return F.array_distinct(F.array_compact(spellings))
+
+
+def category_of(path: Column, marker: str = "image") -> Column:
+    """The path segment after ``marker``, else ``Unknown``."""
+    parts = F.filter(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda x: x != "")
+    at = F.array_position(parts, marker)
+    return F.coalesce(F.when(at > 0, F.try_element_at(parts, (at + 1).cast("int"))), F.lit("Unknown"))
+
+
+def splice(text: Column, start: Column, end: Column, new: Column) -> Column:
+    """``text`` with its characters start..end (from 0, end not included) replaced."""
+    return F.concat(text.substr(F.lit(1), start), new, text.substr(end + 1, F.length(text)))
+
+
+def scaled(old: Column, factor: float) -> Column:
+    """``old`` scaled and rounded to 3 places; null if not positive or unchanged."""
+    new = F.round(old * F.lit(factor), 3)
+    return F.when((new > 0) & (new != old) & ~F.isnan(new), new)
+
+
+def contains_any(text: Column, tokens: list[str]) -> Column:
+    """Plain words match as words, other tokens as substrings; case doesn't count."""
+    lowered = F.lower(text)
+    words = [t for t in tokens if t.isascii() and t.isalpha() and t.islower()]
+    found = F.lit(False)
+    if words:
+        found = lowered.rlike(r"\b(" + "|".join(words) + r")\b")
+    for t in tokens:
+        if t not in words:
+            found = found | F.contains(lowered, F.lit(t))
+    return found
+
+
+def has_cjk(text: Column) -> Column:
+    return text.rlike(r"[\x{4e00}-\x{9fff}]")
+
+
+def fenced_code(text: Column) -> Column:
+    """The body of the first code fence; null if there is none."""
+    body = F.regexp_extract(text, r"(?s)```[A-Za-z]*\n(.*?)```", 1)
+    return F.when(F.length(body) > 0, F.trim(body))
+
+
+def tagged(text: Column, tag: str) -> Column:
+    """The body of the first element ``tag``; empty if there is none."""
+    return F.trim(F.regexp_extract(text, rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1))
+
+
+def outermost_json(text: Column) -> Column:
+    """From the first to the last brace; null if there are none."""
+    found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+    return F.when(found != "", found)
+
+
+def box(center: list[Column], dims: list[Column]) -> dict[str, Column]:
+    """Limits of a box from its centre and sizes."""
+    out = {}
+    for a, c, d in zip(AXES, center, dims, strict=True):
+        out[f"{a}min"], out[f"{a}max"] = c - d / 2, c + d / 2
+    return out
+
+
+def box_dims(b: dict[str, Column]) -> list[Column]:
+    return [b[f"{a}max"] - b[f"{a}min"] for a in AXES]
+
+
+def box_expanded(b: dict[str, Column], by: Column | float) -> dict[str, Column]:
+    by = by if isinstance(by, Column) else F.lit(by)
+    return {k: (v - by if k.endswith("min") else v + by) for k, v in b.items()}
+
+
+def _all(conditions) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
+
+
+def box_within(inner: dict[str, Column], outer: dict[str, Column], tolerance: float = 0.0) -> Column:
+    return _all(
+        (inner[f"{a}min"] >= outer[f"{a}min"] - tolerance) & (inner[f"{a}max"] <= outer[f"{a}max"] + tolerance) for a in AXES
+    )
+
+
+def box_same(one: dict[str, Column], other: dict[str, Column], tolerance: float = 1e-3) -> Column:
+    return _all(F.abs(one[k] - other[k]) <= tolerance for k in one)
+
+
+def inscribed_radius(radius: Column, sides: Column) -> Column:
+    """Radius of the circle inside a regular polygon."""
+    return radius * F.cos(F.pi() / sides)
