@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .extraction import op1_template_extraction
 from .fingerprint import op8_parsing_fingerprint
 from .lattice_lm import op9_lattice_lm
 from .media import op5_lossless_webp
@@ -19,15 +20,16 @@ from .toxicity import op6_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_template_extraction": op1_template_extraction,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_hilbert_sharding": op3_hilbert_sharding,
         "op4_fair_queue_mixing": op4_fair_queue_mixing,
-        "op7_best_fit_packing": op7_best_fit_packing,
-        "op10_minhash_near_dedup": op10_minhash_near_dedup,
-        "op2_suffix_dedup": op2_suffix_dedup,
-        "op9_lattice_lm": op9_lattice_lm,
-        "op8_parsing_fingerprint": op8_parsing_fingerprint,
         "op5_lossless_webp": op5_lossless_webp,
         "op6_toxicity": op6_toxicity,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_parsing_fingerprint": op8_parsing_fingerprint,
+        "op9_lattice_lm": op9_lattice_lm,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
