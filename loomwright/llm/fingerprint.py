@@ -109,7 +109,7 @@ def sketches(texts: list[str]) -> np.ndarray:
         if not len(rows):
             break
         at = try_[cells]
-        hit = source[rows, at]
+        hit = full[rows, at]
         out[rows[hit], cells[hit]] = out[rows[hit], at[hit]]
         rows, cells = rows[~hit], cells[~hit]
     low = (mix(out) & np.uint64(0xFFFF)).astype(np.uint16)
