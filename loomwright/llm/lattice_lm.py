@@ -41,7 +41,7 @@ from .common import discard, materialize, table
 
 HEAVY = 100_000
 FLUSH = 300_000
-PASSES = 2
+PASSES = 1
 PRIOR = 2000.0  # how many drawn pieces the vocabulary's own weights count for
 
 
@@ -49,7 +49,8 @@ def vocabulary(path: str) -> tuple[list[bytes], list[float]]:
     """Pieces as bytes, a leading space for a word's start, and prior weights.
 
     Left out are pieces that no lower-cased text has and those of several spaces.
-    The byte pieces are the last 256; each gets the weight of the rarest piece.
+    The last pieces are the bytes that aren't pieces themselves; each gets the
+    weight of the rarest piece.
     """
     import sentencepiece
 
@@ -65,71 +66,70 @@ def vocabulary(path: str) -> tuple[list[bytes], list[float]]:
         pieces.append(raw)
         ranks.append(max(1.0, 3.0 - model.get_score(i)))
     weights = [1.0 / r for r in ranks]
-    weights += [min(weights, default=1.0)] * 256
+    there = set(pieces)
+    alone = [x for b in range(256) if (x := bytes([b])) not in there]
+    weights += [min(weights, default=1.0)] * len(alone)
     total = sum(weights)
-    return [*pieces, *[bytes([b]) for b in range(256)]], [w / total for w in weights]
+    return [*pieces, *alone], [w / total for w in weights]
 
 
 class Lattice:
     """Pieces with log weights, for words as ``b" " + word``."""
 
     def __init__(self, pieces: list[bytes], log_weights: list[float]):
-        self.ids: dict[bytes, tuple[tuple[int, float], ...]] = {}
-        self.prefixes: set[bytes] = set()
+        # Each piece and prefix of one: (piece or -1, its log weight, whether longer ones follow).
+        self.steps: dict[bytes, tuple[int, float, bool]] = {}
+        longer = {p[:n] for p in pieces for n in range(1, len(p))}
+        for prefix in longer:
+            self.steps[prefix] = (-1, -math.inf, True)
         for i, (piece, weight) in enumerate(zip(pieces, log_weights, strict=True)):
-            self.ids[piece] = (*self.ids.get(piece, ()), (i, weight))
-            for n in range(1, len(piece)):
-                self.prefixes.add(piece[:n])
+            self.steps[piece] = (i, weight, piece in longer)
 
-    def edges(self, text: bytes) -> list[list[tuple[int, int, float]]]:
-        """For each start: (end, piece, log weight) of the pieces there."""
-        ids, prefixes, n, out = self.ids, self.prefixes, len(text), []
+    def forward(self, text: bytes, edges: list[tuple[int, int, int, float]] | None = None) -> list[float]:
+        """Log probability of each prefix over all its segmentations; the pieces in use go to ``edges``."""
+        steps, n, log1p, exp, none = self.steps, len(text), math.log1p, math.exp, -math.inf
+        alpha = [0.0] + [none] * n
         for i in range(n):
-            here, j = [], i + 1
-            while j <= n:
-                part = text[i:j]
-                for k, weight in ids.get(part, ()):
-                    here.append((j, k, weight))
-                if part not in prefixes:
-                    break
-                j += 1
-            out.append(here)
-        return out
-
-    @staticmethod
-    def _add(a: float, b: float) -> float:
-        if a < b:
-            a, b = b, a
-        return a + math.log1p(math.exp(b - a)) if b > -math.inf else a
-
-    def forward(self, edges: list[list[tuple[int, int, float]]]) -> list[float]:
-        """Log probability of each prefix, over all its segmentations."""
-        alpha, add = [0.0] + [-math.inf] * len(edges), self._add
-        for i, here in enumerate(edges):
             at = alpha[i]
-            for j, _, weight in here:
-                value = at + weight
-                alpha[j] = value if alpha[j] == -math.inf else add(alpha[j], value)
+            if at == none:
+                continue
+            for j in range(i + 1, n + 1):
+                step = steps.get(text[i:j])
+                if step is None:
+                    break
+                piece, weight, more = step
+                if piece >= 0:
+                    value, known = at + weight, alpha[j]
+                    if value > known:
+                        alpha[j] = value + log1p(exp(known - value))
+                    else:
+                        alpha[j] = known + log1p(exp(value - known))
+                    if edges is not None:
+                        edges.append((i, j, piece, weight))
+                if not more:
+                    break
         return alpha
 
     def score(self, word: bytes) -> float:
-        """Natural-log probability of a word with its leading space."""
-        return self.forward(self.edges(b" " + word))[-1]
-
-    def expect(self, word: bytes, count: float, into: np.ndarray) -> None:
-        """Add the expected uses of each piece in ``count`` such words."""
-        edges = self.edges(b" " + word)
-        alpha, add = self.forward(edges), self._add
-        beta = [-math.inf] * len(edges) + [0.0]
-        total, exp = alpha[-1], math.exp
-        for i in range(len(edges) - 1, -1, -1):
-            sum_, at = -math.inf, alpha[i] - total
-            for j, k, weight in edges[i]:
-                value = weight + beta[j]
-                if value > -math.inf:
-                    into[k] += count * exp(at + value)
-                    sum_ = value if sum_ == -math.inf else add(sum_, value)
-            beta[i] = sum_
+        """Natural-log probability of a word."""
+        return self.forward(b" " + word)[-1]
+
+    def expect(self, word: bytes, into: np.ndarray | list[float]) -> None:
+        """Add the expected uses of each piece in the word, by forward and backward sums."""
+        edges: list[tuple[int, int, int, float]] = []
+        alpha = self.forward(b" " + word, edges)
+        exp, log1p, none, total = math.exp, math.log1p, -math.inf, alpha[-1]
+        beta = [none] * len(alpha)
+        beta[-1] = 0.0
+        for i, j, piece, weight in reversed(edges):
+            value = weight + beta[j]
+            if value > none:
+                into[piece] += exp(alpha[i] + value - total)
+                known = beta[i]
+                if value > known:
+                    beta[i] = value + log1p(exp(known - value))
+                else:
+                    beta[i] = known + log1p(exp(value - known))
 
 
 COUNTED = "word binary, train long, seen long"
@@ -172,10 +172,11 @@ def fit(words: DataFrame, vocab: str, passes: int = PASSES) -> tuple[list[bytes]
         shared = words.sparkSession.sparkContext.broadcast((pieces, weights))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            lattice, into = Lattice(*shared.value), np.zeros(len(shared.value[0]))
+            lattice, uses = Lattice(*shared.value), [0.0] * len(shared.value[0])
             for batch in batches:
                 for word in batch.column(0).to_pylist():
-                    lattice.expect(word, 1.0, into)
+                    lattice.expect(word, uses)
+            into = np.array(uses)
             at = np.flatnonzero(into)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(into[at])], names=["piece", "uses"])
 
