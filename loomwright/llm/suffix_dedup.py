@@ -89,20 +89,29 @@ def samples(data: np.ndarray, spans: list[tuple[int, int]], k: int, length: int)
 
     Each sample stands for the windows that start at first..last and chose it.
     """
-    parts = []
-    for a, b in spans:
-        text = data[a : b + length]
-        named = names(text, (k, length))
-        chosen = first_minima(named[k], length - k + 1)
-        head = np.flatnonzero(np.diff(chosen, prepend=-1))
-        tail = np.append(head[1:], len(chosen)) - 1
-        at = chosen[head]
-        whole = named[length]
-        around = mix(mix(whole[head] * _C + whole[tail]) * _C + (at - head).astype(np.uint64) * np.uint64(1009) + (tail - head).astype(np.uint64))
-        parts.append((named[k][at], around, head + a, tail + a))
-    if not parts:
+    if not spans:
         return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+    # The whole text is named once, whatever the number of spans.
+    named = names(data, (k, length))
+    chosen = first_minima(named[k], length - k + 1)
+    if len(spans) == 1:
+        a, b = spans[0]
+        starts, chosen = np.arange(a, b + 1), chosen[a : b + 1]
+        head = np.flatnonzero(np.diff(chosen, prepend=-1))
+    else:
+        edges = np.array(spans)
+        sizes = edges[:, 1] - edges[:, 0] + 1
+        begin = np.cumsum(sizes) - sizes
+        starts = np.arange(int(sizes.sum())) + np.repeat(edges[:, 0] - begin, sizes)
+        chosen = chosen[starts]
+        new = np.diff(chosen, prepend=-1) != 0
+        new[begin] = True
+        head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(chosen)) - 1
+    at, first, last = chosen[head], starts[head], starts[tail]
+    whole = named[length]
+    inside = (at - first).astype(np.uint64) * np.uint64(1009) + (last - first).astype(np.uint64)
+    return named[k][at], mix(mix(whole[first] * _C + whole[last]) * _C + inside), first, last
 
 
 SAMPLES = "name long, around long, doc long, copy int, first int, last int"
