@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import instructions as I
 from ..functions import scalars as S
-from ..operators import candidates, graph, joins, policies, rules, selection, stats
+from ..operators import candidates, graph, joins, policies, reports, rules, selection, stats, verify
+from . import stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -597,3 +598,90 @@ def chunk_merge_agg(spark, sf_dir):
         F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("l_quantity") > 25).alias("validated"), F.max("l_extendedprice").alias("elapsed")
     )
     return stats.merged(chunks, ["l_returnflag"])
+
+
+@query(r"""WITH m AS (SELECT page_id, CASE WHEN url IS NULL THEN 'missing url' END AS a, CASE WHEN length(html) > 5000 THEN 'size above 5000' END AS b,
+  CASE WHEN contains(lower(html), 'track(') THEN 'leaks track(' END AS c FROM pages)
+SELECT page_id, unnest(list_filter([a, b, c], lambda x: x IS NOT NULL)) AS message FROM m""")
+def verify_records(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").withColumn("size", F.length("html"))
+    checks = [*verify.required(["url"]), *verify.in_range("size", high=5000), *verify.no_leak(F.col("html"), ["track("])]
+    return verify.violations(pages, "page_id", checks)
+
+
+@query(f"""WITH b AS (SELECT vec_id, {_BOX} FROM embeddings)
+SELECT vec_id, unnest(list_filter([CASE WHEN NOT xmin + 0.3 < xmax - 0.3 THEN 'bbox x not ordered' END, CASE WHEN NOT ymin + 0.3 < ymax - 0.3 THEN 'bbox y not ordered' END,
+  CASE WHEN NOT zmin + 0.3 < zmax - 0.3 THEN 'bbox z not ordered' END], lambda x: x IS NOT NULL)) AS message FROM b""")
+def verify_boxes(spark, sf_dir):
+    v = [F.col("embedding")[i].cast("double") for i in range(6)]
+    b = S.box_expanded(S.box(v[:3], [F.abs(x) + 0.5 for x in v[3:]]), -0.3)
+    return verify.violations(table(spark, sf_dir, "embeddings"), "vec_id", verify.box_ordered(b, "bbox"))
+
+
+@query("""SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, lang) AS INTEGER) AS position, '| ' || lang || ' | ' || CAST(count(*) AS VARCHAR) || ' |' AS line FROM documents GROUP BY lang""")
+def markdown_report(spark, sf_dir):
+    counts = table(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return reports.markdown_rows(counts, ["lang", "n"], [F.desc("n"), F.col("lang")])
+
+
+@query("""SELECT page_id, '<article><h2>' || replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</h2><pre>'
+  || replace(replace(replace(replace(replace(substr(html, 1, 60), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</pre></article>' AS card FROM pages""")
+def html_cards(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", reports.card(F.col("url"), F.substring("html", 1, 60)).alias("card"))
+
+
+@query(r"""SELECT page_id, substr(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), 1, 80) AS name, substr(sha256(CAST(page_id AS VARCHAR) || '|' || url), 1, 16) AS cache_key FROM pages""")
+def safe_names_and_cache_keys(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(
+        "page_id", reports.safe_name(F.col("url")).alias("name"), reports.cache_key(F.col("page_id"), F.col("url")).alias("cache_key")
+    )
+
+
+@query("""WITH c AS (SELECT substr(sha256(source), 1, 16) AS k, min(doc_id) AS cached FROM documents WHERE doc_id < 12 GROUP BY 1)
+SELECT doc_id, cached, cached IS NOT NULL AS hit FROM documents LEFT JOIN c ON substr(sha256(source), 1, 16) = k""")
+def cache_lookup(spark, sf_dir):
+    """Answers by content key; here those of the first twelve documents are cached."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", reports.cache_key(F.col("source")).alias("k"))
+    cached = docs.filter("doc_id < 12").select("k", F.col("doc_id").alias("cached"))
+    return joins.lookup(docs, cached, "k", [F.col("cached")]).select("doc_id", "cached", F.col("matched").alias("hit"))
+
+
+@query("""SELECT 'only_documents' AS side, count(*) AS n FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)
+UNION ALL SELECT 'both', count(*) FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)
+UNION ALL SELECT 'any', count(*) FROM (SELECT doc_id FROM documents UNION SELECT doc_id FROM labels)""")
+def set_operations(spark, sf_dir):
+    a, b = (table(spark, sf_dir, t).select("doc_id") for t in ("documents", "labels"))
+    sides = {"only_documents": a.subtract(b), "both": a.intersect(b), "any": a.union(b).distinct()}
+    out = None
+    for side, rows in sides.items():
+        one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), "n")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("""SELECT vec_id, CASE WHEN abs(embedding[1]) >= abs(embedding[2]) AND abs(embedding[1]) >= abs(embedding[3]) THEN 'x'
+  WHEN abs(embedding[2]) >= abs(embedding[3]) THEN 'y' ELSE 'z' END AS axis FROM embeddings""")
+def dominant_axis(spark, sf_dir):
+    x, y, z = (F.abs(F.col("embedding")[i]) for i in range(3))
+    axis = F.when((x >= y) & (x >= z), "x").when(y >= z, "y").otherwise("z")
+    return table(spark, sf_dir, "embeddings").select("vec_id", axis.alias("axis"))
+
+
+@query("""SELECT event_type, sum(CAST(value > 50 AS INT)) AS passed, count(*) AS n, bool_and(value >= 0) AS ready FROM events GROUP BY event_type""")
+def readiness(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.count_if(F.col("value") > 50).alias("passed"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("value") >= 0).alias("ready")
+    )
+
+
+@query()
+def assembled_training_rows(spark, sf_dir):
+    """Programs through all stages: pool, select, cap, instruct, export."""
+    edits = stages.cap(stages.select(stages.pool(_programs(spark, sf_dir)), 17), 400, 17)
+    return stages.exports(stages.instruct(edits))["training"]
+
+
+@query()
+def training_leaks(spark, sf_dir):
+    """No instruction of the assembled rows shows code: an empty table."""
+    return stages.leaks(assembled_training_rows(spark, sf_dir))

@@ -41,4 +41,4 @@ def test_rows_equal_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.SQL)))
 def test_others_run(spark, name):
-    assert catalogue.QUERIES[name](spark, SF).count() > 0
+    assert (catalogue.QUERIES[name](spark, SF).count() > 0) == (name != "training_leaks")
