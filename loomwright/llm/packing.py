@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import bucketed_prefix, materialize, table
 
 CAPACITY = 2048
-CACHED = 400_000
+CACHED = 600_000
 _TOKENIZERS: dict[str, "WordCache"] = {}
 
 
