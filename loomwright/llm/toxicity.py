@@ -11,8 +11,8 @@ back-propagation through time.
 The model is fitted on a bounded sample of labelled rows, ``sample`` of each
 class at most, those with the least hash of their id; every document is scored.
 
-Edge cases: a text without words (null, empty, junk) gets the network's score of
-an empty window; labels without a document or without a class are left out; with
+Edge cases: a text without words (null, empty, junk) gets the toxic share of the
+sample; labels without a document or without a class are left out; with
 one class only, or no labels, the score is that class's smoothed share; repeated
 rows are scored each; an empty table gives an empty result; further columns are
 ignored.
@@ -21,7 +21,6 @@ ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ from .common import table
 SAMPLE = 3000
 WINDOW, STRIDE = 64, 48
 HIDDEN, EMBEDDED, ATTENTION = 8, 4, 8
-GRAM_CELLS, WORD_CELLS = 1 << 18, 1 << 12
+GRAM_BITS, WORD_CELLS = 18, 1 << 12
 GRAMS = (3, 4, 5, 6)
 EPOCHS, BATCH, RATE = 4, 256, 0.02
 LEAST_STEPS, FOLDS = 240, 3
@@ -49,12 +48,24 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
 
-def gram_cells(word: str) -> np.ndarray:
-    """Cells of the n-grams, in bytes, of a word with its ends marked."""
-    marked = f"^{word[:60]}$".encode()
-    crc = zlib.crc32
-    found = {crc(marked[i : i + n]) % GRAM_CELLS for n in GRAMS for i in range(len(marked) - n + 1)}
-    return np.array(list(found or {crc(marked) % GRAM_CELLS}), dtype=np.int64)
+def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the n-grams, in bytes, of words with their ends marked; and where each word's begin."""
+    marked = [f"^{w[:60]}$".encode() for w in words]
+    sizes = np.array([len(m) for m in marked])
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(marked) + bytes(max(GRAMS)), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    total = int(sizes.sum())
+    left = np.repeat(starts + sizes, sizes) - np.arange(total)
+    cells, fits = np.empty((total, len(GRAMS)), dtype=np.int64), np.empty((total, len(GRAMS)), dtype=bool)
+    value, n = np.zeros(total, dtype=np.uint64), 0
+    for k, size in enumerate(GRAMS):
+        while n < size:
+            value = value * np.uint64(0x9E3779B97F4A7C15) + data[n : n + total]
+            n += 1
+        mixed = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        cells[:, k], fits[:, k] = (mixed >> np.uint64(64 - GRAM_BITS)).astype(np.int64), left >= size
+    each = np.add.reduceat(fits.sum(axis=1), starts)
+    return cells[fits], np.cumsum(each) - each
 
 
 class Inputs:
@@ -66,18 +77,13 @@ class Inputs:
     @classmethod
     def counted(cls, texts: list[list[str]], toxic: np.ndarray, known: dict[str, np.ndarray]) -> Inputs:
         """Log odds of words and n-grams by the documents that have them; ``known``: cells of words."""
-        grams = np.zeros((2, GRAM_CELLS))
+        grams = np.zeros((2, 1 << GRAM_BITS))
         words = (Counter(), Counter())
         for ws, label in zip(texts, toxic.tolist(), strict=True):
             distinct = set(ws)
             words[label].update(distinct)
-            cells = []
-            for w in distinct:
-                if w not in known:
-                    known[w] = gram_cells(w)
-                cells.append(known[w])
-            if cells:
-                grams[label, np.unique(np.concatenate(cells))] += 1
+            if distinct:
+                grams[label, np.unique(np.concatenate([known[w] for w in distinct]))] += 1
         n = np.bincount(toxic, minlength=2)
         share = n[1] / n.sum()
 
@@ -88,9 +94,15 @@ class Inputs:
         word_odds = {w: float(odds(words[0][w], k)) for w, k in words[1].items() if k >= 2}
         return cls(word_odds, odds(grams[0], grams[1]).astype(np.float32))
 
-    def row(self, word: str, cells: np.ndarray | None = None) -> tuple[float, float, float]:
-        g = self.gram_odds[gram_cells(word) if cells is None else cells]
-        return self.word_odds.get(word, 0.0) / 4, float(g.max()) / 4, float(g.mean()) / 4
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The word's odds, and the greatest and mean of its n-grams'."""
+        cells, starts = gram_cells(words)
+        values = self.gram_odds[cells]
+        out = np.empty((len(words), 3), dtype=np.float32)
+        out[:, 0] = [self.word_odds.get(w, 0.0) for w in words]
+        out[:, 1] = np.maximum.reduceat(values, starts)
+        out[:, 2] = np.add.reduceat(values, starts) / np.diff(np.append(starts, len(values)))
+        return out / 4
 
 
 def cell(word: str) -> int:
@@ -237,8 +249,7 @@ class Model:
             new = {w for ws in texts for w in ws}
         if new:
             words = sorted(new)
-            rows = np.array([self.inputs.row(w) for w in words], dtype=np.float32)
-            rows = self.network.inputs(rows, np.array([cell(w) for w in words]))
+            rows = self.network.inputs(self.inputs.rows(words), np.array([cell(w) for w in words]))
             start = len(self.projected)
             self.projected = np.concatenate([self.projected, self.network.project(rows)])
             self.ids.update(zip(words, range(start, start + len(words)), strict=True))
@@ -280,6 +291,7 @@ class Model:
             mask = None if size[rows[0]] == steps else np.arange(steps) < size[rows][:, None]
             score = _sigmoid(self.network.logits(self.projected[flat[index]], mask).astype(np.float64))
             np.maximum.at(out, owner[rows], score)
+        out[[not len(x) for x in ids]] = self.share
 
 
 def fit(texts: list[str | None], toxic: list[int]) -> Model:
@@ -289,20 +301,23 @@ def fit(texts: list[str | None], toxic: list[int]) -> Model:
     if labels.min(initial=1) == labels.max(initial=0) or not len(labels):
         return Model(None, None, share)
     words = [words_of(t) for t in texts]
+    every = sorted({w for ws in words for w in ws})
     known: dict[str, np.ndarray] = {}
+    if every:
+        cells, starts = gram_cells(every)
+        known = dict(zip(every, np.split(cells, starts[1:]), strict=True))
     inputs = Inputs.counted(words, labels, known)
     # A text's own label isn't in the counts that it is trained with: others' folds give them.
     fold = np.arange(len(labels)) % FOLDS
-    chosen: list[tuple[list[str], int, list[tuple[float, float, float]]]] = []
+    chosen: list[tuple[list[str], int, list[list[float]]]] = []
     for k in range(FOLDS):
         rest = np.flatnonzero(fold != k)
         apart = Inputs.counted([words[i] for i in rest], labels[rest], known)
-        rows: dict[str, tuple[float, float, float]] = {}
-        for n in np.flatnonzero(fold == k).tolist():
+        here = np.flatnonzero(fold == k).tolist()
+        distinct = sorted({w for n in here for w in words[n]})
+        rows = dict(zip(distinct, apart.rows(distinct).tolist(), strict=True)) if distinct else {}
+        for n in here:
             ws, label = words[n], int(labels[n])
-            for w in set(ws):
-                if w not in rows:
-                    rows[w] = apart.row(w, known[w])
             starts = window_starts(len(ws))
             # Of toxic texts the window with the most evidence; of clean ones two such, and another.
             heat = np.array([sum(sorted((rows[w][0] + rows[w][1] for w in ws[s : s + WINDOW]), reverse=True)[:3]) for s in starts])
