@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ def ready_to_checkpoint(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = context.getConf().get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local["):
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomwright-"))
 
