@@ -85,7 +85,7 @@ class Inputs:
             if distinct:
                 grams[label, np.unique(np.concatenate([known[w] for w in distinct]))] += 1
         n = np.bincount(toxic, minlength=2)
-        share = n[1] / n.sum()
+        share = (n[1] + 0.5) / (n.sum() + 1)
 
         def odds(clean, bad):
             """Smoothed towards no evidence; few occurrences tell little."""
@@ -308,7 +308,9 @@ def fit(texts: list[str | None], toxic: list[int]) -> Model:
         known = dict(zip(every, np.split(cells, starts[1:]), strict=True))
     inputs = Inputs.counted(words, labels, known)
     # A text's own label isn't in the counts that it is trained with: others' folds give them.
-    fold = np.arange(len(labels)) % FOLDS
+    fold = np.zeros(len(labels), dtype=np.int64)
+    for c in (0, 1):  # each fold with its part of either class
+        fold[labels == c] = np.arange((labels == c).sum()) % FOLDS
     chosen: list[tuple[list[str], int, list[list[float]]]] = []
     for k in range(FOLDS):
         rest = np.flatnonzero(fold != k)

@@ -130,6 +130,8 @@ def test_held_out_toxicity():
     scores = model.scores([*texts[400:], None, "", "12 %%"])
     assert ((scores[:100] >= 0.5) == np.array(labels[400:])).mean() > 0.95
     assert ((scores >= 0) & (scores <= 1)).all() and scores[100] == scores[101] == scores[102] < 0.5
+    few = toxicity.fit(["bad idea", "good day", None, "fine words"], [1, 0, 0, 0]).scores(["bad", "good", None])
+    assert np.isfinite(few).all()
     one = toxicity.fit(["a", "b"], [0, 0])
     assert one.scores(["x"]).tolist() == [0.25]
 
