@@ -380,6 +380,13 @@ def connected_components(spark, sf_dir):
     return graph.components(lines.select(F.col("l_partkey").alias("a"), (-F.col("l_suppkey")).alias("b")))
 
 
+@query()
+def connected_components_whole(spark, sf_dir):
+    """Parts p and suppliers s (as -1 - s, as both count from 0) that any line items join, without SQL."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_partkey is not null and l_suppkey is not null")
+    return graph.components(lines.select(F.col("l_partkey").alias("a"), (-1 - F.col("l_suppkey")).alias("b")))
+
+
 @query(r"""SELECT doc_id, CASE WHEN length(b) > 0 THEN trim(b) END AS code FROM (
   SELECT doc_id, regexp_extract('See:' || chr(10) || '```python' || chr(10) || substr(text, 1, 40) || '```' || chr(10) || 'end', '```[A-Za-z]*\n(.*?)```', 1, 's') AS b FROM documents)""")
 def code_block_extract(spark, sf_dir):
