@@ -22,7 +22,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't mark as toxic."""
-    model = toxicity.fit(*toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(*toxicity.training_rows(docs, labels), toxicity.training_counts(docs, labels))
     return toxicity.score_documents(docs.select(*COLUMNS), model).filter("score < 0.5").select(*COLUMNS)
 
 

@@ -10,9 +10,11 @@ back-propagation through time.
 
 The model is fitted on a bounded sample of labelled rows, ``sample`` of each
 class at most, those with the least hash of their id; every document is scored.
+Each class weighs as much as all its training rows, sampled or not, so that the
+decisions don't depend on the size of the input.
 
-Edge cases: a text without words (null, empty, junk) gets the toxic share of the
-sample; labels without a document or without a class are left out; with
+Edge cases: a text without words (null, empty, junk) gets the toxic share of all
+training rows; labels without a document or without a class are left out; with
 one class only, or no labels, the score is that class's smoothed share; repeated
 rows are scored each; an empty table gives an empty result; further columns are
 ignored.
@@ -294,10 +296,12 @@ class Model:
         out[[not len(x) for x in ids]] = self.share
 
 
-def fit(texts: list[str | None], toxic: list[int]) -> Model:
-    """A model from labelled texts."""
+def fit(texts: list[str | None], toxic: list[int], counts: list[int] | None = None) -> Model:
+    """A model from labelled texts, a sample of ``counts`` clean and toxic ones (default: all of them)."""
     labels = np.array(toxic, dtype=np.int64)
-    share = float((labels.sum() + 1) / (len(labels) + 2))
+    taken = np.bincount(labels, minlength=2)
+    stands_for = np.array(counts if counts is not None else taken)
+    share = float((stands_for[1] + 1) / (stands_for.sum() + 2))
     if labels.min(initial=1) == labels.max(initial=0) or not len(labels):
         return Model(None, None, share)
     words = [words_of(t) for t in texts]
@@ -335,18 +339,26 @@ def fit(texts: list[str | None], toxic: list[int]) -> Model:
             cells[i, : len(ws)] = [cell(w) for w in ws]
             mask[i, : len(ws)] = True
     target = np.array([label for _, label, _ in chosen], dtype=np.float32)
-    importance = np.where(target == 1, (target == 0).sum() / max(1, (target == 1).sum()), 1.0).astype(np.float32) ** 0.5
+    # Toxic windows for a clean one, as in all training rows; the loss evens out the root of that, as without sampling.
+    sampled = stands_for / taken
+    kept = sampled[1] / sampled[0]
+    ratio = (target == 0).sum() / max(1, (target == 1).sum()) / kept
+    importance = np.where(target == 1, kept * ratio**0.5, 1.0).astype(np.float32)
     network = Network()
     network.train(counted, cells, mask, target, importance)
     return Model(inputs, network, share)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str | None], list[int]]:
-    """Texts and classes of at most ``sample`` labelled documents of each class."""
+def _known(labels: DataFrame) -> DataFrame:
+    """Classes of the four fifths of labelled ids that training may see."""
     mod = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.filter(mod != 0)
-    ids = None
+    return known.filter(mod != 0)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str | None], list[int]]:
+    """Texts and classes of at most ``sample`` labelled documents of each class."""
+    known, ids = _known(labels), None
     for c in (0, 1):
         some = known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         ids = some if ids is None else ids.union(some)
@@ -355,6 +367,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
 
+def training_counts(docs: DataFrame, labels: DataFrame) -> list[int]:
+    """Numbers of all clean and of all toxic training rows, of which ``training_rows`` takes a sample."""
+    times = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = _known(labels).join(times, "doc_id").groupBy("toxic").agg(F.sum("n").alias("n")).collect()
+    found = {r["toxic"]: r["n"] for r in rows}
+    return [found.get(c, 0) for c in (0, 1)]
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a score of each text."""
     shared = docs.sparkSession.sparkContext.broadcast((model.inputs, model.network, model.share))
@@ -372,7 +392,8 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents; the model learns from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(*training_rows(docs, table(spark, sf_dir, "labels")))
+    labels = table(spark, sf_dir, "labels")
+    model = fit(*training_rows(docs, labels), training_counts(docs, labels))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     scored = score_documents(docs, model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
