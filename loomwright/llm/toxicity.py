@@ -38,7 +38,7 @@ SAMPLE = 3000
 WINDOW, STRIDE = 64, 48
 HIDDEN, EMBEDDED, ATTENTION = 8, 4, 8
 GRAM_BITS, WORD_CELLS = 18, 1 << 12
-GRAMS = (3, 4, 5, 6)
+GRAMS, LONGEST = (3, 4, 5, 6), 60
 EPOCHS, BATCH, RATE = 4, 256, 0.02
 LEAST_STEPS, FOLDS = 240, 3
 WORDS = re.compile(r"[^\W\d_]+")
@@ -46,13 +46,17 @@ CACHED = 200_000
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters."""
-    return WORDS.findall(text.lower()) if text else []
+    """Lower-cased runs of letters; longer ones as overlapping words of ``LONGEST`` letters, so that no n-gram is lost."""
+    found = WORDS.findall(text.lower()) if text else []
+    if max(map(len, found), default=0) <= LONGEST:
+        return found
+    step = LONGEST - max(GRAMS)
+    return [w[i : i + LONGEST] for w in found for i in range(0, max(1, len(w) - max(GRAMS)), step)]
 
 
 def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Cells of the n-grams, in bytes, of words with their ends marked; and where each word's begin."""
-    marked = [f"^{w[:60]}$".encode() for w in words]
+    marked = [f"^{w}$".encode() for w in words]
     sizes = np.array([len(m) for m in marked])
     starts = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(marked) + bytes(max(GRAMS)), dtype=np.uint8).astype(np.uint64) + np.uint64(1)

@@ -34,3 +34,15 @@ def test_an_evened_sample_decides_like_all_rows(spark):
     assert ((even.scores(new) >= 0.5) == np.array(truth)).mean() > 0.95
     # A word seen in both classes tells nothing: such a text is not near the evened sample's half.
     assert np.abs(even.scores(new[:100]) - whole.scores(new[:100])).mean() < 0.1
+
+
+def test_no_letter_of_a_long_run_is_left_out():
+    tail = "abcdefghijklmnopqrstuvwxyz" * 9
+    for n in (59, 60, 61, 66, 67, 114, 115, 234):
+        run = tail[:n]
+        parts = toxicity.words_of(run)
+        assert max(map(len, parts)) <= toxicity.LONGEST
+        assert all(any(run[i : i + 6] in p for p in parts) for i in range(n - 5))
+    assert toxicity.words_of("one " + "b" * 60) == ["one", "b" * 60]
+    clean, bad = toxicity.gram_cells(toxicity.words_of("x" * 70))[0], toxicity.gram_cells(toxicity.words_of("x" * 70 + "scum"))[0]
+    assert set(bad.tolist()) - set(clean.tolist())
