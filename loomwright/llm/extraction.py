@@ -12,8 +12,10 @@
 * The slots that remain are a page's text: not those of menus, footers and other
   containers that aren't the article, and no block that the template itself says.
 
-Each task adds up its own pages' vectors and passes on the tokens that half of
-them have; tokens of one class fare alike there.  Templates are a few kilobytes
+Each task adds up its own pages' vectors and passes on all of them, under a hash
+of the token.  What half of all pages have, half of some task's have as well, so
+the token itself goes along only from there; nothing is left out before the sums
+are complete, and the result doesn't depend on how pages are dealt.  Templates are a few kilobytes
 for each host; they go to all tasks if they are under ``SMALL`` bytes together,
 and meet their pages in a salted join if not.
 
@@ -142,27 +144,31 @@ def in_article(path: tuple[str, ...]) -> bool:
 
 
 VECTORS = "host string, token string, vector long, pages long, total long"
+PARTIAL = "host string, key long, token string, vector long, pages long, total long"
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """(host, token, vector, pages, total) over all pages (page_id, url, html); token '' is the host."""
+    """(host, token, vector, pages, total) over all pages (page_id, url, html); token '' is the host.
+
+    Tokens that fewer than ``SUPPORT`` of the host's pages have are left out, by the whole sums.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, dict[str, list[int]]] = defaultdict(dict)
         size = 0
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
 
         def flush():
             rows = []
             for host, tokens in seen.items():
                 n = tokens[""][1]
                 for token, (vector, k, total) in tokens.items():
-                    word = "\1" in token
-                    if k >= SUPPORT * n and (not word or n >= 4):
-                        rows.append((host, token, vector - (1 << 64) if vector >> 63 else vector, k, total))
+                    key = xxhash.xxh3_64_intdigest(token)
+                    rows.append((host, signed(key), token if k >= SUPPORT * n else None, signed(vector), k, total))
             seen.clear()
-            columns = zip(*rows, strict=True) if rows else [()] * 5
-            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in VECTORS.split(", ")])
+            columns = zip(*rows, strict=True) if rows else [()] * 6
+            types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in PARTIAL.split(", ")])
 
         for batch in batches:
             for page_id, url, source in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -189,10 +195,14 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
                 size = 0
         yield flush()
 
-    rows = pages.select("page_id", "url", "html").mapInArrow(run, VECTORS)
-    return rows.groupBy("host", "token").agg(
-        F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")
+    rows = pages.select("page_id", "url", "html").mapInArrow(run, PARTIAL)
+    sums = rows.groupBy("host", "key").agg(
+        F.max("token").alias("token"), F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")
     )
+    # A host's row is read by all of its tokens', so both are read from a written table.
+    found, _ = materialize(sums.filter("token is not null").drop("key"), "vectors")
+    hosts = found.filter("token = ''").select("host", F.col("pages").alias("all_pages"))
+    return found.join(hosts, "host").filter(F.col("pages") >= SUPPORT * F.col("all_pages")).drop("all_pages")
 
 
 def deduce(rows: list[tuple[str, int, int, int]]) -> dict:
