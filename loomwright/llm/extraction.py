@@ -58,7 +58,9 @@ NAMED = re.compile(
     re.I,
 )
 PIECE = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[a-zA-Z/](?:"[^"]*"|'[^']*'|[^'">])*$|[^<]+|<""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Any attribute, its value taken along, so that no name is found within another's value.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+MARKS = {"class": ".", "id": "#", "role": "@", "hidden": "!"}
 
 
 def host_of(url: str | None) -> str:
@@ -115,8 +117,9 @@ class Page:
                 if not closing:
                     label = name
                     for key, *values in ATTRIBUTE.findall(found[3]):
-                        value = next((v for v in values if v), "")
-                        label += {"class": ".", "id": "#", "role": "@", "hidden": "!"}[key.lower()] + value.strip().lower()
+                        if mark := MARKS.get(key.lower()):
+                            value = next((v for v in values if v), "").replace("!", " ")
+                            label += mark + value.strip().lower()
                     self.tags.append(f"<{label}" + "\0" + "\0".join(path))
                     stack.append((name, label))
                 elif any(n == name for n, _ in stack):
@@ -129,11 +132,13 @@ class Page:
 
 
 def is_main(path: tuple[str, ...]) -> bool:
-    """Whether no container on the path is for something else than the article."""
+    """Whether no container on the path is for something else than the article; the whole page's name doesn't tell."""
     inside = False
     for label in path:
         name, *marks = re.split(r"[.#@!]", label)
-        if name in NOT_MAIN or (name == "header" and not inside) or "!" in label or any(NAMED.search(m) for m in marks):
+        if name in NOT_MAIN or (name == "header" and not inside) or "!" in label:
+            return False
+        if name not in ("html", "body") and any(NAMED.search(m) for m in marks):
             return False
         inside = inside or name in ("article", "main")
     return True
@@ -267,12 +272,11 @@ def remaining_text(source: str | None, template: dict | None) -> str:
     if inside:
         kept = inside
     elif kept:
-        # Without an article: the container with the most words that aren't links, and those within it.
+        # Without an article: all containers but those of links; they have one around them that has no other text.
         mass: Counter = Counter()
         for path, text in kept:
             mass[path] += len(text.split())
-        best = max(mass, key=lambda p: (mass[p] - 2 * page.linked[p], -len(p), p))
-        kept = [x for x in kept if x[0][: len(best)] == best and 2 * page.linked[x[0]] <= mass[x[0]]] or kept
+        kept = [x for x in kept if 2 * page.linked[x[0]] <= mass[x[0]]] or kept
     return "\n".join(text for _, text in kept)
 
 

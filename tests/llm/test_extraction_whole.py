@@ -23,3 +23,18 @@ def test_vectors_have_whole_sums_of_supported_tokens_alone(spark):
     got = {r.token.split("\1")[0]: (r.pages, r.total) for r in X.occurrence_vectors(df).collect() if "\1" in r.token}
     counts = Counter(w for *_, h in rows for w in h[9:-11].split())
     assert got == {w: (n, n) for w, n in counts.items() if n >= 8} and set(got) == {"every", "half"}
+
+
+def test_text_of_all_containers_without_an_article():
+    words = lambda n, w: " ".join(f"{w}{i}" for i in range(n))
+    html = f"<body><div class=post><p>{words(30, 'p')}</p><ul><li>{words(40, 'l')}</li></ul></div><div class=links><a href='/'>away</a></div></body>"
+    assert X.remaining_text(html, None) == f"{words(30, 'p')}\n{words(40, 'l')}"
+    html = f"<body><section id=a><p>{words(9, 'a')}</p></section><section id=b><p>{words(20, 'b')}</p></section></body>"
+    assert X.remaining_text(html, None) == f"{words(9, 'a')}\n{words(20, 'b')}"
+
+
+def test_attributes_by_their_whole_names():
+    for mark in ("style='overflow:hidden'", 'aria-hidden="false"', "data-id=menu", 'class="!mt-0 post"', 'title="role=menu"'):
+        assert X.remaining_text(f"<body class='no-sidebar'><article><p>a</p><section {mark}><p>b</p></section></article></body>", None) == "a\nb", mark
+    for mark in ("hidden", 'HIDDEN=""', "class=menu", "id = 'sidebar'"):
+        assert X.remaining_text(f"<body><article><p>a</p><section {mark}><p>b</p></section></article></body>", None) == "a", mark
