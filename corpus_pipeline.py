@@ -27,15 +27,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs.select(*COLUMNS), model).filter("score < 0.5").select(*COLUMNS)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The distinct rows of ``docs`` with a ``key`` of their own, in the order of doc_id (null last), then text."""
+    docs = docs.select(*COLUMNS)
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").isEmpty():
+        return docs.withColumn("key", F.col("doc_id"))
+    in_order = docs.distinct().orderBy(F.col("doc_id").asc_nulls_last(), "text", *COLUMNS[2:])
+    return materialize(in_order.withColumn("key", F.monotonically_increasing_id()), "keyed")[0]
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the row with the smallest doc_id.
+    """Of each component of near duplicates the row with the smallest doc_id (null last), then text.
 
-    Rows that share the smallest doc_id (a repeated row) stay as one.
+    A repeated row, equal in all columns, is one row; rows that share a doc_id or
+    have none are documents of their own.
     """
-    found = near_dedup.near_duplicates(docs)
-    kept, _ = materialize(found.filter("kept").select(F.col("doc_id").alias("id")).distinct(), "kept")
-    one = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    return one.dropDuplicates(["doc_id"])
+    rows = with_row_key(docs)
+    found = near_dedup.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    kept, _ = materialize(found.filter("kept").select(F.col("doc_id").alias("key")).distinct(), "kept")
+    return rows.join(kept, "key", "left_semi").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
