@@ -100,6 +100,14 @@ def rejection_topk(spark, sf_dir):
     return stats.most_common(bad.select(F.concat(F.lit("validation:"), F.substring("text", 1, 12)).alias("reason")), "reason", 30)
 
 
+@query(f"""WITH {SAMPLES}, r AS (SELECT 'validation:' || text AS reason FROM samples WHERE quality = 0)
+SELECT reason, count(*) AS n FROM r GROUP BY reason ORDER BY n DESC, reason LIMIT 30""")
+def rejection_topk_whole(spark, sf_dir):
+    """As rejection_topk, with whole texts as reasons."""
+    bad = samples(spark, sf_dir).filter("quality = 0")
+    return stats.most_common(bad.select(F.concat(F.lit("validation:"), "text").alias("reason")), "reason", 30)
+
+
 @query("""SELECT doc_id, CASE lang WHEN 'en' THEN 'parameter' WHEN 'de' THEN 'add' WHEN 'fr' THEN 'delete' ELSE 'replace' END AS family,
   CASE WHEN lang = 'en' THEN 'parameter' ELSE 'structural' END AS mode FROM documents""")
 def branch_family_map(spark, sf_dir):
@@ -394,6 +402,14 @@ def code_block_extract(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", S.fenced_code(text).alias("code"))
 
 
+@query(r"""SELECT doc_id, CASE WHEN length(b) > 0 THEN trim(b) END AS code FROM (
+  SELECT doc_id, regexp_extract('See:' || chr(10) || '```python' || chr(10) || text || '```' || chr(10) || 'end', '```[A-Za-z]*\n(.*?)```', 1, 's') AS b FROM documents)""")
+def code_block_extract_whole(spark, sf_dir):
+    """As code_block_extract, of whole texts."""
+    text = F.concat(F.lit("See:\n```python\n"), "text", F.lit("```\nend"))
+    return table(spark, sf_dir, "documents").select("doc_id", S.fenced_code(text).alias("code"))
+
+
 @query(r"""SELECT page_id, trim(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si')) AS title FROM pages""")
 def tag_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", S.tagged(F.col("html"), "title").alias("title"))
@@ -637,6 +653,13 @@ def html_cards(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", reports.card(F.col("url"), F.substring("html", 1, 60)).alias("card"))
 
 
+@query("""SELECT page_id, '<article><h2>' || replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</h2><pre>'
+  || replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</pre></article>' AS card FROM pages""")
+def html_cards_whole(spark, sf_dir):
+    """As html_cards, of whole pages."""
+    return table(spark, sf_dir, "pages").select("page_id", reports.card(F.col("url"), F.col("html")).alias("card"))
+
+
 @query(r"""SELECT page_id, substr(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), 1, 80) AS name, substr(sha256(CAST(page_id AS VARCHAR) || '|' || url), 1, 16) AS cache_key FROM pages""")
 def safe_names_and_cache_keys(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
