@@ -7,11 +7,12 @@
   non-empty bin in i's own random order, the same for all documents.
 * Bins are banded; documents that share a band's key are in one bucket.
 * Star-shaped edges: in each bucket one member is the centre and the others are
-  compared with it alone.  A bucket whose members then are in several components
-  sheds its centre and gets ``GROWTH`` times as many in the next round, compared
-  with members of other components only, until its rest is in one component.  So
-  no pair that shares a bucket is left undecided, and a bucket of copies costs
-  one edge for each member.
+  compared with it alone, so a bucket costs one edge for each member.
+* A bucket whose other members are then still in several components may hold a
+  link that its star missed.  Its members are *open*, and all pairs of open nodes
+  of different components are searched by an exact prefix filter
+  (``open_pairs``), which makes few pairs where members differ by words of their
+  own, however many they are.  So no pair that shares a bucket is left undecided.
 * An edge becomes a link if the full sets pass the similarity exactly.
 
 Edge cases: a text with fewer words than a shingle is one shingle; null, empty
@@ -39,7 +40,10 @@ from .graph import components
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SALTS = 256
-GROWTH = 16
+#: Ratio of neighbouring size classes in the prefix filter.
+SIZE_STEP = 1.05
+#: Words whose hashes are kept: so many, of so many bytes at most.
+CACHED, LONGEST = 300_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,12 +54,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    """64-bit hashes of words, at most a million at a time."""
+    """64-bit hashes of words; at most ``CACHED``, and none of over ``LONGEST`` bytes, are kept."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= CACHED:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -139,20 +145,16 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
 
 
-def sketched(docs: DataFrame, wanted: DataFrame, words: int, bins: int) -> DataFrame:
-    """(node, size, sketch: a byte of each bin, hashes as packed 64-bit words) of wanted documents."""
+def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, hashes as packed 64-bit words) of the documents in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketch, packed = [], []
-            for text in batch.column(1).cast(pa.binary()):
-                s = shingles(text.as_py(), words)
-                sketch.append((mix(signature(s, bins)) & np.uint64(255)).astype(np.uint8).tobytes() if len(s) else b"")
-                packed.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketch, pa.binary()), pa.array(packed, pa.binary())], names=["node", "sketch", "hashes"])
+            packed = [shingles(text.as_py(), words).tobytes() for text in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
 
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "node long, sketch binary, hashes binary").distinct()
+    return texts.mapInArrow(run, "node long, hashes binary").distinct()
 
 
 def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -168,21 +170,7 @@ def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 
 
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``edges`` (a, b) whose full sets have the similarity.
-
-    Pairs whose sketches (a byte of each bin) agree in fewer bins than six
-    standard deviations below the similarity are far from it, and their sets
-    aren't fetched.
-    """
-
-    @F.pandas_udf("boolean")
-    def near(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right, strict=True):
-            same = np.frombuffer(x, dtype=np.uint8) == np.frombuffer(y, dtype=np.uint8)
-            p, n = percent / 100, max(1, len(same))
-            out.append(same.mean() >= p - 6 * (p * (1 - p) / n) ** 0.5)
-        return pd.Series(out, dtype=bool)
+    """The rows of ``edges`` (a, b) whose full sets have the similarity."""
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -196,10 +184,79 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * common >= percent * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
-    close, close_at = materialize(_joined(edges, sets, "sketch").filter(near("x", "y")).select("a", "b").distinct(), "close")
-    links, _ = materialize(_joined(close, sets, "hashes").filter(similar("x", "y")).select("a", "b").distinct(), "links")
-    discard(edges.sparkSession, close_at)
-    return links
+    return materialize(_joined(edges, sets, "hashes").filter(similar("x", "y")).select("a", "b").distinct(), "links")[0]
+
+
+def exploded(sets: DataFrame) -> DataFrame:
+    """(node, n, component, shingle) of ``sets`` (node, n, component, hashes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, len(batch), 64):  # a bounded number of sets at a time
+                part = batch.slice(i, 64)
+                values = [np.frombuffer(v.as_py(), dtype=np.int64) for v in part.column(3)]
+                sizes = [len(v) for v in values]
+                rows = [pa.array(np.repeat(part.column(k).to_numpy(zero_copy_only=False), sizes)) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*rows, pa.array(np.concatenate(values))], names=["node", "n", "component", "shingle"])
+
+    return sets.select("node", "n", "component", "hashes").mapInArrow(run, "node long, n long, component long, shingle long")
+
+
+def open_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may have the similarity; none that has it is left out.
+
+    ``sets``: written rows (node, n, component, size: of the component, hashes).
+    Shingles are ordered from the rarest among the open nodes, so that the first
+    that a pair has in common, at place i of n and j of m, tells that it has
+    n - i and m - j in common at most: m is then at most (n - i) * (1 + 1/t) - n
+    for the similarity t.  A shingle is sent once for each class of sizes that it
+    can have a partner in, and not at all if no other node has it.  In each key,
+    only members outside of its largest component look for partners.
+    """
+    rows = exploded(sets)
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    rarest = Window.partitionBy("node").orderBy("c", "shingle")
+    # Places of shingles that others have too: after all of the node's own.
+    placed = rows.join(common, "shingle").withColumns(
+        {"r": F.row_number().over(rarest), "shared": F.count(F.lit(1)).over(Window.partitionBy("node"))}
+    )
+    placed = placed.withColumn("at", F.col("n") - F.col("shared") + F.col("r") - 1)
+    most = F.floor(((F.col("n") - F.col("at")) * (100 + percent) - F.col("n") * percent) / F.lit(percent))
+    least = F.ceil(F.col("n") * percent / F.lit(100))
+    of_size = lambda n: F.floor(F.log(n.cast("double")) / F.lit(float(np.log(SIZE_STEP)))).cast("int")
+    placed = placed.withColumns({"least": least, "most": most}).filter("least <= most")
+    keyed = placed.select(
+        "shingle", of_size(F.col("n")).alias("own"),
+        F.explode(F.sequence(of_size(F.col("least")), of_size(F.col("most")))).alias("other"),
+        "node", "n", "most", "component",
+    )
+    keyed, keyed_at = materialize(keyed, "prefixes")
+    sizes = sets.select("component", "size").distinct()
+    largest = (
+        keyed.groupBy("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "component")
+        .agg(F.count(F.lit(1)).alias("here"))
+        .join(sizes, "component")
+        .groupBy("shingle", "low", "high")
+        .agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("k"))
+        .filter("k > 1")
+        .select("shingle", "low", "high", F.col("top.component").alias("top"))
+    )
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    asking = keyed.withColumns({"low": low, "high": high}).join(largest, ["shingle", "low", "high"]).filter("component <> top")
+    asking, asking_at = materialize(
+        asking.select("shingle", F.col("own").alias("x_own"), F.col("other").alias("x_other"), F.col("node").alias("x"), F.col("n").alias("x_n"),
+                      F.col("most").alias("x_most"), F.col("component").alias("x_component")),
+        "asking",
+    )
+    k, q = keyed.alias("k"), asking.alias("q")
+    met = q.join(
+        k,
+        (F.col("q.shingle") == F.col("k.shingle")) & (F.col("q.x_own") == F.col("k.other")) & (F.col("q.x_other") == F.col("k.own"))
+        & (F.col("q.x_component") != F.col("k.component")) & (F.col("k.n") <= F.col("q.x_most")) & (F.col("q.x_n") <= F.col("k.most")),
+    )
+    pairs, _ = materialize(met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), "pairs")
+    discard(sets.sparkSession, keyed_at, asking_at)
+    return pairs
 
 
 def near_duplicates(
@@ -216,65 +273,43 @@ def near_duplicates(
     )
     slots = nodes.filter("node is not null").select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
     shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    shared, shared_at = materialize(shared, "shared")
-    rest, rest_at = materialize(slots.join(shared, "key"), "buckets")
+    members, members_at = materialize(slots.join(shared, "key"), "buckets")
     # A member's weight is the size of all its buckets: what others are copies of has the greatest.
-    wanted, wanted_at = materialize(rest.groupBy("node").agg(F.sum("c").alias("weight")), "wanted")
-    sets, sets_at = materialize(sketched(docs, wanted.select(F.col("node").alias("doc_id")), words, bands * rows), "sets")
-    labels, labels_at = None, None
-    centres_each, turn = 1, 0
-
-    def with_component(rows: DataFrame) -> DataFrame:
-        if labels is None:
-            return rows.withColumn("component", F.col("node"))
-        return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    # named: members (key, node, n, weight) of buckets, with the component that they are in by now.
-    named, named_at = materialize(with_component(rest.select("key", "node", "n").join(wanted, "node")), "named")
-    discard(spark, rest_at)
-    while True:
-        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(centres_each))
-        whole = Window.partitionBy("key")  # of a key's slots, at most centres_each
-        centre = named.groupBy("key", slot.alias("slot")).agg(
-            F.min_by(F.struct("node", "n", "component"), F.struct(-F.col("weight"), "node")).alias("centre"),
-            F.min("component").alias("x"), F.max("component").alias("y"),
-        )
-        centre = centre.withColumn("mixed", F.min("x").over(whole) < F.max("y").over(whole)).filter("mixed")
-        centre = centre.select(
-            "key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"), F.col("centre.component").alias("c_component")
-        )
-        centre, centre_at = materialize(centre, "centres")
-        if centre.isEmpty():
-            discard(spark, centre_at, named_at)
-            break
-        able = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
-        edges = named.join(centre, "key").filter((F.col("component") != F.col("c_component")) & able)
-        edges = edges.select(F.col("c_node").alias("a"), F.col("node").alias("b")).distinct()
-        edges, edges_at = materialize(edges, "edges")
-        links = confirmed(edges, sets, percent)
-        if not links.isEmpty():
-            # Earlier components stay: each node is also linked with its own.
-            known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            new, new_at = components(known)
-            if labels_at:
-                discard(spark, labels_at)
-            labels, labels_at = new, new_at
-        left = named.drop("component").join(centre.select("key").distinct(), "key", "left_semi")
-        left = left.join(centre.select("key", F.col("c_node").alias("node")), ["key", "node"], "left_anti")
-        after, after_at = materialize(with_component(left), "named")
-        discard(spark, named_at, centre_at, edges_at)
-        named, named_at = after, after_at
-        centres_each, turn = centres_each * GROWTH, turn + 1
-    discard(spark, shared_at, wanted_at, sets_at)
+    wanted, wanted_at = materialize(members.groupBy("node", "n").agg(F.sum("c").alias("weight")), "wanted")
+    sets, sets_at = materialize(hashed(docs, wanted.select(F.col("node").alias("doc_id")), words), "sets")
+    members, weighted_at = materialize(members.select("key", "node", "n").join(wanted.select("node", "weight"), "node"), "weighted")
+    discard(spark, members_at)
+
+    centre = members.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.struct(-F.col("weight"), "node")).alias("centre"))
+    centre, centre_at = materialize(centre.select("key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n")), "centres")
+    able = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
+    rest = members.join(centre, "key").filter("node <> c_node")
+    edges, edges_at = materialize(rest.filter(able).select(F.col("c_node").alias("a"), F.col("node").alias("b")).distinct(), "edges")
+    links = confirmed(edges, sets, percent)
+    labels, labels_at = components(links)
+
+    # Open: members beside a centre, in a bucket where these are in several components.
+    rest = rest.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest, rest_at = materialize(rest, "rest")
+    mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    open_, open_at = materialize(rest.join(mixed, "key", "left_semi").select("node", "component").distinct(), "open")
+    size = open_.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    full = open_.join(size, "component").join(wanted.select("node", "n"), "node").join(sets, "node")
+    full, full_at = materialize(full.select("node", "n", "component", "size", "hashes"), "full")
+    pairs = open_pairs(full, percent)
+    further = confirmed(pairs, full, percent)
+    if not further.isEmpty():
+        # Earlier components stay: each node is also linked with its own.
+        labels, newer_at = components(further.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        discard(spark, labels_at)
+        labels_at = newer_at
+    discard(spark, wanted_at, sets_at, weighted_at, centre_at, edges_at, rest_at, open_at, full_at)
 
     groups = nodes.select("n_shingles", "set_a", "set_b", "node", "copies")
-    if labels is None:
-        named = groups.filter("copies > 1").withColumn("component", F.col("node"))
-    else:
-        named = groups.join(labels, "node", "left").filter("copies > 1 or component is not null")
-        named = named.withColumn("component", F.coalesce("component", "node"))
+    named = groups.join(labels, "node", "left").filter("copies > 1 or component is not null")
+    named = named.withColumn("component", F.coalesce("component", "node"))
     named, _ = materialize(named.select("n_shingles", "set_a", "set_b", "component"), "components")
-    discard(spark, nodes_at, *([labels_at] if labels_at else []))
+    discard(spark, nodes_at, labels_at)
     out = signs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["n_shingles", "set_a", "set_b"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
