@@ -40,14 +40,22 @@ def shared_dir(spark: SparkSession) -> str:
 _LOCAL: str | None = None
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+#: Tasks for each core that write a table of short rows.
+WAVES = 4
+
+
+def materialize(df: DataFrame, label: str, short: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder; return it reread, and its path.
 
     This cuts the lineage, and what later plans read is the same on each read,
     also after executors are lost.  ``discard`` removes it when it is no longer
-    read; what is left goes when the program ends.
+    read; what is left goes when the program ends.  ``short``: rows of a few
+    numbers, written by ``WAVES`` tasks for each core of the cluster, however many
+    partitions there are.
     """
     spark = df.sparkSession
+    if short:
+        df = df.coalesce(WAVES * spark.sparkContext.defaultParallelism)
     path = f"{shared_dir(spark)}/loomwright/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _LEFT.append((spark, path))
@@ -73,6 +81,20 @@ def _discard_all() -> None:
             return
 
 
+def ordered_key(docs: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a number of their own in ``key``, growing with doc_id (null last), then text and the other columns.
+
+    It is doc_id itself, and the second result true, where that is no row's twice
+    and never null.  Otherwise rows are sorted over all partitions, so that
+    neither a hot id nor null is one task's, and numbered as they then lie.
+    """
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").isEmpty():
+        return docs.withColumn(key, F.col("doc_id").cast("long")), True
+    sortable = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and f.dataType.simpleString() in ("string", "bigint", "int", "double")]
+    in_order = docs.orderBy(F.col("doc_id").asc_nulls_last(), "text", *sortable)
+    return materialize(in_order.withColumn(key, F.monotonically_increasing_id()), "keyed")[0], False
+
+
 def bucketed_prefix(
     df: DataFrame, levels: list[str], order: list[str], values: dict[str, str], group: list[str] | None = None
 ) -> DataFrame:

@@ -18,9 +18,9 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = links.sparkSession
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b")
-    edges, edges_at = materialize(both, "edges")
+    edges, edges_at = materialize(both, "edges", short=True)
     first = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    labels, labels_at = materialize(first.select("node", F.least("node", "m").alias("component")), "labels")
+    labels, labels_at = materialize(first.select("node", F.least("node", "m").alias("component")), "labels", short=True)
     # Labels only fall, so they stand still when their sum does.
     total = lambda x: x.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("s")).first()["s"]
     before = total(labels)
@@ -31,7 +31,7 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
         jumped = least.join(jump, "component", "left").select(
             "node", F.least("component", F.coalesce("further", "component")).alias("component")
         )
-        after, after_at = materialize(jumped, "labels")
+        after, after_at = materialize(jumped, "labels", short=True)
         discard(spark, labels_at)
         labels, labels_at, now = after, after_at, total(after)
         if now == before:

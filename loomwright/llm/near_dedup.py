@@ -16,10 +16,10 @@
 * An edge becomes a link if the full sets pass the similarity exactly.
 
 Edge cases: a text with fewer words than a shingle is one shingle; null, empty
-and blank texts have none and link with nothing; repeated rows are one node; rows
-of one doc_id with different texts count as one document; a null doc_id follows
-its equal texts' component and is otherwise its own; an empty table gives an
-empty result; further columns are ignored.
+and blank texts have none and link with nothing; rows with equal sets, repeated
+rows too, are one node; rows of one doc_id or without one are documents of their
+own, null after all others; an empty table gives an empty result; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, table
+from .common import discard, materialize, ordered_key, table
 from .graph import components
 
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
@@ -121,7 +121,7 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SIGNED = "key long, doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -130,19 +130,19 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, a, b, keys = [], [], [], []
-            for text in batch.column(1).cast(pa.binary()):
+            for text in batch.column(2).cast(pa.binary()):
                 s = shingles(text.as_py(), words)
                 n.append(len(s))
                 a.append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 b.append(int(mix(s ^ _C3).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 keys.append(band_keys(s, bands, rows) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                names=["key", "doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
+    return docs.select("key", "doc_id", "text").mapInArrow(run, SIGNED)
 
 
 def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -153,8 +153,8 @@ def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             packed = [shingles(text.as_py(), words).tobytes() for text in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "node long, hashes binary").distinct()
+    texts = docs.select("key", "text").join(wanted.select(F.col("node").alias("key")), "key", "left_semi")
+    return texts.mapInArrow(run, "node long, hashes binary")
 
 
 def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -184,7 +184,7 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * common >= percent * (len(a) + len(b) - common))
         return pd.Series(out, dtype=bool)
 
-    return materialize(_joined(edges, sets, "hashes").filter(similar("x", "y")).select("a", "b").distinct(), "links")[0]
+    return materialize(_joined(edges, sets, "hashes").filter(similar("x", "y")).select("a", "b").distinct(), "links", short=True)[0]
 
 
 def exploded(sets: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def open_pairs(sets: DataFrame, percent: int) -> DataFrame:
         F.explode(F.sequence(of_size(F.col("least")), of_size(F.col("most")))).alias("other"),
         "node", "n", "most", "component",
     )
-    keyed, keyed_at = materialize(keyed, "prefixes")
+    keyed, keyed_at = materialize(keyed, "prefixes", short=True)
     sizes = sets.select("component", "size").distinct()
     largest = (
         keyed.groupBy("shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "component")
@@ -247,6 +247,7 @@ def open_pairs(sets: DataFrame, percent: int) -> DataFrame:
         asking.select("shingle", F.col("own").alias("x_own"), F.col("other").alias("x_other"), F.col("node").alias("x"), F.col("n").alias("x_n"),
                       F.col("most").alias("x_most"), F.col("component").alias("x_component")),
         "asking",
+        short=True,
     )
     k, q = keyed.alias("k"), asking.alias("q")
     met = q.join(
@@ -254,7 +255,7 @@ def open_pairs(sets: DataFrame, percent: int) -> DataFrame:
         (F.col("q.shingle") == F.col("k.shingle")) & (F.col("q.x_own") == F.col("k.other")) & (F.col("q.x_other") == F.col("k.own"))
         & (F.col("q.x_component") != F.col("k.component")) & (F.col("k.n") <= F.col("q.x_most")) & (F.col("q.x_n") <= F.col("k.most")),
     )
-    pairs, _ = materialize(met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), "pairs")
+    pairs, _ = materialize(met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), "pairs", short=True)
     discard(sets.sparkSession, keyed_at, asking_at)
     return pairs
 
@@ -264,54 +265,63 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    docs, own = ordered_key(docs.select("doc_id", "text"), "key")
     signs, _ = materialize(signed(docs, words, bands, rows), "signed")
     nodes, nodes_at = materialize(
         signs.filter("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(
-            F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
+            F.min("key").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
         ),
         "nodes",
     )
-    slots = nodes.filter("node is not null").select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
+    slots = nodes.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
     shared = slots.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members, members_at = materialize(slots.join(shared, "key"), "buckets")
     # A member's weight is the size of all its buckets: what others are copies of has the greatest.
-    wanted, wanted_at = materialize(members.groupBy("node", "n").agg(F.sum("c").alias("weight")), "wanted")
-    sets, sets_at = materialize(hashed(docs, wanted.select(F.col("node").alias("doc_id")), words), "sets")
-    members, weighted_at = materialize(members.select("key", "node", "n").join(wanted.select("node", "weight"), "node"), "weighted")
-    discard(spark, members_at)
+    wanted, wanted_at = materialize(
+        slots.join(shared, "key").groupBy("node", "n").agg(F.sum("c").alias("weight"), F.collect_list("key").alias("keys")), "wanted", short=True
+    )
+    sets, sets_at = materialize(hashed(docs, wanted, words), "sets")
 
+    members = wanted.select("node", "n", "weight", F.explode("keys").alias("key"))
     centre = members.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.struct(-F.col("weight"), "node")).alias("centre"))
-    centre, centre_at = materialize(centre.select("key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n")), "centres")
+    centre = centre.select("key", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"))
+    rest, rest_at = materialize(members.drop("weight").join(centre, "key").filter("node <> c_node"), "rest", short=True)
     able = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
-    rest = members.join(centre, "key").filter("node <> c_node")
-    edges, edges_at = materialize(rest.filter(able).select(F.col("c_node").alias("a"), F.col("node").alias("b")).distinct(), "edges")
-    links = confirmed(edges, sets, percent)
-    labels, labels_at = components(links)
+    edges, edges_at = materialize(rest.filter(able).select(F.col("c_node").alias("a"), F.col("node").alias("b")).distinct(), "edges", short=True)
+    labels, labels_at = components(confirmed(edges, sets, percent))
 
     # Open: members beside a centre, in a bucket where these are in several components.
-    rest = rest.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest, rest_at = materialize(rest, "rest")
-    mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    open_, open_at = materialize(rest.join(mixed, "key", "left_semi").select("node", "component").distinct(), "open")
+    named = rest.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    named, named_at = materialize(named, "named", short=True)
+    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    open_, open_at = materialize(named.join(mixed, "key", "left_semi").select("node", "component").distinct(), "open", short=True)
     size = open_.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     full = open_.join(size, "component").join(wanted.select("node", "n"), "node").join(sets, "node")
     full, full_at = materialize(full.select("node", "n", "component", "size", "hashes"), "full")
-    pairs = open_pairs(full, percent)
-    further = confirmed(pairs, full, percent)
+    further = confirmed(open_pairs(full, percent), full, percent)
     if not further.isEmpty():
-        # Earlier components stay: each node is also linked with its own.
-        labels, newer_at = components(further.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        discard(spark, labels_at)
+        # Links between components make larger ones.
+        part = full.select("node", "component")
+        joined = further.join(part.toDF("a", "ca"), "a").join(part.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+        larger, larger_at = components(materialize(joined, "joined", short=True)[0])
+        larger = larger.toDF("component", "larger")
+        alone = larger.select(F.col("component").alias("node"), "component")  # also those that had no label yet
+        both = labels.union(alone).distinct().join(larger, "component", "left")
+        labels, newer_at = materialize(both.groupBy("node").agg(F.min(F.coalesce("larger", "component")).alias("component")), "labels", short=True)
+        discard(spark, labels_at, larger_at)
         labels_at = newer_at
-    discard(spark, wanted_at, sets_at, weighted_at, centre_at, edges_at, rest_at, open_at, full_at)
+    discard(spark, wanted_at, sets_at, rest_at, edges_at, named_at, open_at, full_at)
 
     groups = nodes.select("n_shingles", "set_a", "set_b", "node", "copies")
-    named = groups.join(labels, "node", "left").filter("copies > 1 or component is not null")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    named, _ = materialize(named.select("n_shingles", "set_a", "set_b", "component"), "components")
+    found = groups.join(labels, "node", "left").filter("copies > 1 or component is not null")
+    found = found.withColumn("component", F.coalesce("component", "node"))
+    found, _ = materialize(found.select("n_shingles", "set_a", "set_b", "component"), "components", short=True)
     discard(spark, nodes_at, labels_at)
-    out = signs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["n_shingles", "set_a", "set_b"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = signs.select("key", "doc_id", "n_shingles", "set_a", "set_b").join(found, ["n_shingles", "set_a", "set_b"], "left")
+    if own:
+        out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    else:
+        ids = docs.select(F.col("key").alias("component"), F.col("doc_id").alias("component_id"), F.lit(True).alias("there"))
+        out = out.join(ids, "component", "left").select("doc_id", "n_shingles", F.when(F.col("there"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
