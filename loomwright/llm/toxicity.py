@@ -11,20 +11,24 @@ back-propagation through time.
 The model is fitted on a bounded sample of labelled rows, ``sample`` of each
 class at most, those with the least hash of their id; every document is scored.
 Each class weighs as much as all its training rows, sampled or not, so that the
-decisions don't depend on the size of the input.
+decisions don't depend on the size of the input.  One task fits it: it reads the
+sample text by text, keeps words as numbers, and hands the driver the finished
+model, a few megabytes.
 
 Edge cases: a text without words (null, empty, junk) gets the toxic share of all
-training rows; labels without a document or without a class are left out; with
+training rows; labels without a document or without a class are left out; of
+training rows with one doc_id the text that sorts first is learnt from; with
 one class only, or no labels, the score is that class's smoothed share; repeated
-rows are scored each; an empty table gives an empty result; further columns are
-ignored.
+rows and rows without a doc_id are scored each; an empty table gives an empty
+result; further columns are ignored, but score_documents passes on all that it
+is given, whatever their names.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import discard, materialize, table
 
 SAMPLE = 3000
 WINDOW, STRIDE = 64, 48
@@ -42,7 +46,7 @@ GRAMS, LONGEST = (3, 4, 5, 6), 60
 EPOCHS, BATCH, RATE = 4, 256, 0.02
 LEAST_STEPS, FOLDS = 240, 3
 WORDS = re.compile(r"[^\W\d_]+")
-CACHED = 200_000
+CACHED = 120_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -74,6 +78,33 @@ def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return cells[fits], np.cumsum(each) - each
 
 
+class Coded:
+    """Texts as numbers of their words, and the n-grams' cells of each word."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        numbers: dict[str, int] = {}
+        self.texts = []
+        for text in texts:
+            ws = words_of(text)
+            self.texts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in ws), np.int32, len(ws)))
+        self.words = list(numbers)
+        cells, starts, filled = [], [], 0
+        for i in range(0, len(self.words), 20_000):  # a bounded number of words at a time
+            some, at = gram_cells(self.words[i : i + 20_000])
+            cells.append(some.astype(np.int32))
+            starts.append(at + filled)
+            filled += len(some)
+        self.cells = np.concatenate([np.zeros(0, np.int32), *cells])
+        self.starts = np.concatenate([np.zeros(0, np.int64), *starts])
+        self.ends = np.append(self.starts[1:], filled)
+
+    def cells_of(self, words: np.ndarray) -> np.ndarray:
+        """The cells of some words in a row."""
+        starts, sizes = self.starts[words], self.ends[words] - self.starts[words]
+        before = np.cumsum(sizes) - sizes
+        return self.cells[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class Inputs:
     """Rows of inputs for words; the parts that are counted, not learned by gradient."""
 
@@ -81,35 +112,41 @@ class Inputs:
         self.word_odds, self.gram_odds = word_odds, gram_odds
 
     @classmethod
-    def counted(cls, texts: list[list[str]], toxic: np.ndarray, known: dict[str, np.ndarray]) -> Inputs:
-        """Log odds of words and n-grams by the documents that have them; ``known``: cells of words."""
-        grams = np.zeros((2, 1 << GRAM_BITS))
-        words = (Counter(), Counter())
-        for ws, label in zip(texts, toxic.tolist(), strict=True):
-            distinct = set(ws)
-            words[label].update(distinct)
-            if distinct:
-                grams[label, np.unique(np.concatenate([known[w] for w in distinct]))] += 1
-        n = np.bincount(toxic, minlength=2)
+    def counted(cls, coded: Coded, texts: list[int], toxic: np.ndarray) -> tuple[Inputs, np.ndarray]:
+        """Log odds of words and n-grams by the documents of ``texts`` that have them; and the rows of all coded words."""
+        grams, words = np.zeros((2, 1 << GRAM_BITS), np.int32), np.zeros((2, len(coded.words)), np.int32)
+        for i in texts:
+            distinct = np.unique(coded.texts[i])
+            words[toxic[i], distinct] += 1
+            grams[toxic[i], np.unique(coded.cells_of(distinct))] += 1
+        n = np.bincount(toxic[texts], minlength=2)
         share = (n[1] + 0.5) / (n.sum() + 1)
 
         def odds(clean, bad):
             """Smoothed towards no evidence; few occurrences tell little."""
             return np.log((bad + 4 * share) / (clean + 4 * (1 - share))) - np.log(share / (1 - share))
 
-        word_odds = {w: float(odds(words[0][w], k)) for w, k in words[1].items() if k >= 2}
-        return cls(word_odds, odds(grams[0], grams[1]).astype(np.float32))
+        known = np.flatnonzero(words[1] >= 2)
+        each = np.zeros(len(coded.words))
+        each[known] = odds(words[0][known], words[1][known])
+        made = cls({coded.words[i]: float(each[i]) for i in known.tolist()}, odds(grams[0], grams[1]).astype(np.float32))
+        return made, made.combined(each, coded.cells, coded.starts)
 
-    def rows(self, words: list[str]) -> np.ndarray:
+    def combined(self, word_odds: np.ndarray, cells: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The word's odds, and the greatest and mean of its n-grams'."""
-        cells, starts = gram_cells(words)
-        values = self.gram_odds[cells]
-        out = np.empty((len(words), 3), dtype=np.float32)
-        out[:, 0] = [self.word_odds.get(w, 0.0) for w in words]
-        out[:, 1] = np.maximum.reduceat(values, starts)
-        out[:, 2] = np.add.reduceat(values, starts) / np.diff(np.append(starts, len(values)))
+        out = np.zeros((len(word_odds), 3), dtype=np.float32)
+        if len(word_odds):
+            values = self.gram_odds[cells]
+            out[:, 0] = word_odds
+            out[:, 1] = np.maximum.reduceat(values, starts)
+            out[:, 2] = np.add.reduceat(values, starts) / np.diff(np.append(starts, len(values)))
         return out / 4
 
+    def rows(self, words: list[str]) -> np.ndarray:
+        """The inputs of any words."""
+        cells, starts = gram_cells(words)
+        return self.combined(np.array([self.word_odds.get(w, 0.0) for w in words]), cells, starts)
+
 
 def cell(word: str) -> int:
     """The embedding's cell of a word."""
@@ -300,48 +337,39 @@ class Model:
         out[[not len(x) for x in ids]] = self.share
 
 
-def fit(texts: list[str | None], toxic: list[int], counts: list[int] | None = None) -> Model:
+def fit(texts: Iterable[str | None] | Coded, toxic: list[int], counts: list[int] | None = None) -> Model:
     """A model from labelled texts, a sample of ``counts`` clean and toxic ones (default: all of them)."""
     labels = np.array(toxic, dtype=np.int64)
     taken = np.bincount(labels, minlength=2)
     stands_for = np.array(counts if counts is not None else taken)
     share = float((stands_for[1] + 1) / (stands_for.sum() + 2))
-    if labels.min(initial=1) == labels.max(initial=0) or not len(labels):
+    if not len(labels) or labels.min() == labels.max():
         return Model(None, None, share)
-    words = [words_of(t) for t in texts]
-    every = sorted({w for ws in words for w in ws})
-    known: dict[str, np.ndarray] = {}
-    if every:
-        cells, starts = gram_cells(every)
-        known = dict(zip(every, np.split(cells, starts[1:]), strict=True))
-    inputs = Inputs.counted(words, labels, known)
+    coded = texts if isinstance(texts, Coded) else Coded(texts)
+    inputs, _ = Inputs.counted(coded, list(range(len(labels))), labels)
+    word_cells = np.array([cell(w) for w in coded.words], dtype=np.int64)
     # A text's own label isn't in the counts that it is trained with: others' folds give them.
     fold = np.zeros(len(labels), dtype=np.int64)
     for c in (0, 1):  # each fold with its part of either class
         fold[labels == c] = np.arange((labels == c).sum()) % FOLDS
-    chosen: list[tuple[list[str], int, list[list[float]]]] = []
+    chosen: list[tuple[np.ndarray, int, np.ndarray]] = []
     for k in range(FOLDS):
-        rest = np.flatnonzero(fold != k)
-        apart = Inputs.counted([words[i] for i in rest], labels[rest], known)
-        here = np.flatnonzero(fold == k).tolist()
-        distinct = sorted({w for n in here for w in words[n]})
-        rows = dict(zip(distinct, apart.rows(distinct).tolist(), strict=True)) if distinct else {}
-        for n in here:
-            ws, label = words[n], int(labels[n])
-            starts = window_starts(len(ws))
+        _, rows = Inputs.counted(coded, np.flatnonzero(fold != k).tolist(), labels)
+        evidence = rows[:, 0] + rows[:, 1]
+        for n in np.flatnonzero(fold == k).tolist():
+            ws, label = coded.texts[n], int(labels[n])
+            starts = np.array(window_starts(len(ws)))
             # Of toxic texts the window with the most evidence; of clean ones two such, and another.
-            heat = np.array([sum(sorted((rows[w][0] + rows[w][1] for w in ws[s : s + WINDOW]), reverse=True)[:3]) for s in starts])
-            order = np.argsort(-heat, kind="stable").tolist()
-            for i in order[:1] if label else {*order[:2], order[n % len(order)]}:
+            part = np.append(evidence[ws], np.full(WINDOW, -9.0))
+            heat = np.sort(part[starts[:, None] + np.arange(WINDOW)], axis=1)[:, -3:]
+            order = np.argsort(-np.where(heat > -9, heat, 0).sum(axis=1), kind="stable").tolist()
+            for i in order[:1] if label else sorted({*order[:2], order[n % len(order)]}):
                 part = ws[starts[i] : starts[i] + WINDOW]
-                chosen.append((part, label, [rows[w] for w in part]))
+                chosen.append((part, label, rows[part]))
     counted = np.zeros((len(chosen), WINDOW, 3), np.float32)
     cells, mask = np.zeros((len(chosen), WINDOW), dtype=np.int64), np.zeros((len(chosen), WINDOW), dtype=bool)
     for i, (ws, _, values) in enumerate(chosen):
-        if ws:
-            counted[i, : len(ws)] = values
-            cells[i, : len(ws)] = [cell(w) for w in ws]
-            mask[i, : len(ws)] = True
+        counted[i, : len(ws)], cells[i, : len(ws)], mask[i, : len(ws)] = values, word_cells[ws], True
     target = np.array([label for _, label, _ in chosen], dtype=np.float32)
     # Toxic windows for a clean one, as in all training rows; the loss evens out the root of that, as without sampling.
     sampled = stands_for / taken
@@ -360,34 +388,63 @@ def _known(labels: DataFrame) -> DataFrame:
     return known.filter(mod != 0)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str | None], list[int]]:
-    """Texts and classes of at most ``sample`` labelled documents of each class."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, text and class of at most ``sample`` labelled documents of each class, in order."""
     known, ids = _known(labels), None
     for c in (0, 1):
         some = known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         ids = some if ids is None else ids.union(some)
     # At most 2 * sample ids, so the broadcast is bounded.
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").collect()
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return rows.select("doc_id", "text", "toxic")
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
+    """A model of ``training_rows``, fitted by one task and packed; see ``score_documents``."""
+    counts = training_counts(docs, labels)
+    found, at = materialize(training_rows(docs, labels, sample), "training")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic: list[int] = []
+
+        def texts():
+            for batch in batches:
+                for text, label in zip(batch.column(0), batch.column(1), strict=True):
+                    toxic.append(label.as_py())
+                    yield text.as_py()
+
+        coded = Coded(texts())
+        model = fit(coded, toxic, counts)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.inputs, model.network, model.share))], pa.binary())], names=["model"])
+
+    in_order = found.orderBy("doc_id").select("text", "toxic").coalesce(1)
+    packed = in_order.mapInArrow(run, "model binary").first()
+    discard(docs.sparkSession, at)
+    if packed is None:  # no rows, no task
+        model = fit([], [], counts)
+        return pickle.dumps((model.inputs, model.network, model.share))
+    return packed["model"]
 
 
 def training_counts(docs: DataFrame, labels: DataFrame) -> list[int]:
-    """Numbers of all clean and of all toxic training rows, of which ``training_rows`` takes a sample."""
-    times = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = _known(labels).join(times, "doc_id").groupBy("toxic").agg(F.sum("n").alias("n")).collect()
+    """Numbers of all clean and of all toxic documents to learn from, of which ``training_rows`` takes a sample."""
+    rows = _known(labels).join(docs.select("doc_id").distinct(), "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     found = {r["toxic"]: r["n"] for r in rows}
     return [found.get(c, 0) for c in (0, 1)]
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a score of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.inputs, model.network, model.share))
+def score_documents(docs: DataFrame, packed: bytes) -> DataFrame:
+    """``docs`` with a last column, the score of each text by a model that ``fitted`` gave."""
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    text = docs.columns.index("text")
+    size = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local = Model(*shared.value)
+        local = Model(*pickle.loads(shared.value))
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local.scores(texts))], names=[*batch.schema.names, "score"])
+            scores = np.concatenate([np.zeros(0), *(local.scores(batch.column(text).slice(i, 512).to_pylist()) for i in range(0, len(batch), 512))])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:size], pa.array(scores)], names=[*batch.schema.names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, score double")
@@ -397,7 +454,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents; the model learns from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
-    model = fit(*training_rows(docs, labels), training_counts(docs, labels))
+    model = fitted(docs, labels)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     scored = score_documents(docs, model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
