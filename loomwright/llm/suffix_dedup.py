@@ -21,8 +21,14 @@ a cover chosen by content instead of position:
   decides the rest.
 
 Names are 64-bit hashes; a decision compares two of them (sample and
-surroundings).  No pairs are formed, and a repeat in very many documents is a run
-in a sorted partition that is read as a stream.
+surroundings).  No pairs are formed.  Before the sort each task decides what its
+own samples decide: those that read as an earlier one of the task are repeated,
+wherever else the string occurs.  Where a task sees a name with several
+surroundings, its samples are open in any case; they are sorted by name and
+surroundings, and two of them go to the name's place to tell the others.  So a
+string that very many documents have is a few rows of each task and is spread
+over all of them.  What another task's samples would have decided earlier is then
+decided by the next, longer names; in the last round a name has one surrounding.
 
 Edge cases: null and empty texts lose nothing; texts shorter than ``length``
 neither; rows with one doc_id are ordered by their text; a null doc_id comes
@@ -31,23 +37,23 @@ last; an empty table gives an empty result; further columns are kept aside.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, ordered_key, table
 from .near_dedup import mix
 
 LENGTH = 100
 NAMES = (50, 90, 100)
 _C = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_NAMES = mix(np.arange(1, 257, dtype=np.uint64) * _C)
-LAST = (1 << 63) - 1
+#: Samples that a task sorts at once.
+BATCH = 2_000_000
 
 
 def names(data: np.ndarray, lengths: tuple[int, ...]) -> dict[int, np.ndarray]:
@@ -114,10 +120,14 @@ def samples(data: np.ndarray, spans: list[tuple[int, int]], k: int, length: int)
     return named[k][at], mix(mix(whole[first] * _C + whole[last]) * _C + inside), first, last
 
 
-SAMPLES = "name long, around long, doc long, copy int, first int, last int"
-FOUND = "doc long, copy int, first int, last int, repeated boolean"
-_SCHEMA = pa.schema([("name", pa.int64()), ("around", pa.int64()), ("doc", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
-_FOUND = pa.schema([("doc", pa.int64()), ("copy", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("repeated", pa.bool_())])
+SAMPLES = "name long, around long, doc long, first int, last int, kind int"
+FOUND = "doc long, first int, last int, repeated boolean"
+_SCHEMA = pa.schema([("name", pa.int64()), ("around", pa.int64()), ("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("kind", pa.int32())])
+_FOUND = pa.schema([("doc", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("repeated", pa.bool_())])
+#: Kinds of samples: to be decided, decided as repeated, open but for an equal earlier one, and copies that tell of such.
+TO_DECIDE, REPEATED, OPEN, TELLING = range(4)
+#: So many surroundings of a name in one batch make its samples open at once.
+SEVERAL = 8
 
 
 def _merged(spans: list[int]) -> list[tuple[int, int]]:
@@ -132,30 +142,64 @@ def _merged(spans: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def combined(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Samples (name, around, doc, first, last) of one task, with their kinds; what they decide alone is decided."""
+    name, around, doc, first, _ = rows
+    order = np.lexsort((first, doc, around, name))
+    rows = [x[order] for x in rows]
+    name, around = rows[:2]
+    new_name = np.append(True, name[1:] != name[:-1])
+    new = new_name | np.append(True, around[1:] != around[:-1])
+    kind = np.where(new, TO_DECIDE, REPEATED)
+    heads = np.flatnonzero(new)
+    start = np.flatnonzero(new_name[heads])
+    each = np.diff(np.append(start, len(heads)))
+    several = np.repeat(each >= SEVERAL, each)
+    kind[heads[several]] = OPEN
+    # The first two surroundings of such a name go to the name's place as well.
+    told = start[each >= SEVERAL]
+    tell = heads[np.concatenate([told, told + 1])]
+    # Decided samples need no name any more.
+    for x in rows[:2]:
+        x[kind == REPEATED] = 0
+    return [*(np.concatenate([x, x[tell]]) for x in rows), np.concatenate([kind, np.full(len(tell), TELLING)])]
+
+
 def _sampled(docs: DataFrame, k: int, length: int) -> DataFrame:
-    """Samples of ``docs`` (doc, copy, text[, spans: all windows where absent])."""
+    """Samples of ``docs`` (doc, text[, spans: all windows where absent])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        size = 0
+
+        def flush():
+            made = combined([np.concatenate(c) for c in out])
+            for c in out:
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(made, _SCHEMA, strict=True)], schema=_SCHEMA)
+
         for batch in batches:
-            spans = batch.column(3).to_pylist() if batch.num_columns > 3 else None
-            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
-            for i, (doc, copy, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True)):
+            spans = batch.column(2).to_pylist() if batch.num_columns > 2 else None
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True)):
                 data = np.frombuffer(text.as_py() or b"", dtype=np.uint8)
                 if len(data) < length:
                     continue
                 rows = samples(data, [(0, len(data) - length)] if spans is None else _merged(spans[i]), k, length)
                 n = len(rows[0])
-                for column, value in zip(out, (rows[0].view(np.int64), rows[1].view(np.int64), np.full(n, doc), np.full(n, copy), rows[2], rows[3]), strict=True):
+                for column, value in zip(out, (rows[0].view(np.int64), rows[1].view(np.int64), np.full(n, doc), rows[2], rows[3]), strict=True):
                     column.append(value)
-            if out[0]:
-                arrays = [pa.array(np.concatenate(c).astype(f.type.to_pandas_dtype())) for c, f in zip(out, _SCHEMA, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
+                size += n
+                if size > BATCH:
+                    yield flush()
+                    size = 0
+        if size:
+            yield flush()
 
     return docs.mapInArrow(run, SAMPLES)
 
 
 def _compared(found: DataFrame) -> DataFrame:
-    """Decisions on sorted samples: repeated, or open; freed windows give no row."""
+    """Decisions on samples: repeated, or open; freed windows give no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_name = last_around = None
@@ -163,64 +207,59 @@ def _compared(found: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
+            kind = batch.column(5).to_numpy()
+            decided = kind == REPEATED
+            rows = batch.select(["doc", "first", "last"])
+            if decided.any():
+                done = rows.filter(pa.array(decided))
+                yield pa.RecordBatch.from_arrays([*done.columns, pa.array(np.ones(len(done), dtype=bool))], schema=_FOUND)
+                rows, batch, kind = rows.filter(pa.array(~decided)), batch.filter(pa.array(~decided)), kind[~decided]
+                if not batch.num_rows:
+                    continue
             name, around = (batch.column(i).to_numpy() for i in (0, 1))
             new_name = np.append(last_name is None or name[0] != last_name, name[1:] != name[:-1])
             new = new_name | np.append(last_around is None or around[0] != last_around, around[1:] != around[:-1])
             heads = np.flatnonzero(new)
-            # A head is open if the head before or after it has the same name.
+            # A head is open if the head before or after it has the same name, or its task says so.
             as_before = ~new_name[heads]
             as_after = np.append(as_before[1:], False)
             open_ = np.zeros(len(name), dtype=bool)
-            open_[heads[as_before | as_after]] = True
-            take = np.flatnonzero(open_ | ~new)
-            parts = [batch.select(["doc", "copy", "first", "last"]).take(pa.array(take))]
-            flags = [~open_[take]]
+            open_[heads[as_before | as_after | (kind[heads] == OPEN)]] = True
+            take = np.flatnonzero((open_ | ~new) & (kind != TELLING))
+            parts, flags = [rows.take(pa.array(take))], [~open_[take]]
             if held is not None and len(heads) and as_before[0]:
                 parts.append(held)
                 flags.append(np.zeros(1, dtype=bool))
             if len(heads):
                 at = int(heads[-1])
-                held = None if open_[at] else batch.select(["doc", "copy", "first", "last"]).slice(at, 1)
+                held = None if open_[at] or kind[at] == TELLING else rows.slice(at, 1)
             last_name, last_around = name[-1], around[-1]
             for part, flag in zip(parts, flags, strict=True):
                 if part.num_rows:
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(flag)], schema=_FOUND)
 
-    ordered = found.repartition("name").sortWithinPartitions("name", "around", "doc", "copy", "first")
+    place = F.when(F.col("kind") == REPEATED, F.xxhash64("doc", "first")).when(F.col("kind") == OPEN, F.xxhash64("name", "around")).otherwise(F.col("name"))
+    ordered = found.repartition(place).sortWithinPartitions("name", "around", "doc", "first", "kind")
     return ordered.mapInArrow(run, FOUND)
 
 
 def _spans_of(found: DataFrame) -> DataFrame:
     packed = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long"))
-    return found.groupBy("doc", "copy").agg(F.collect_list(packed).alias("spans"))
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``doc`` (doc_id, null last) and ``copy`` (number among rows of one doc_id)."""
-    docs = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    if docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        return docs.withColumn("copy", F.lit(0))
-    order = [F.col(c) for c in docs.columns if c != "doc" and docs.schema[c].dataType.simpleString() in ("string", "bigint", "int")]
-    numbered = docs.withColumn("copy", F.row_number().over(Window.partitionBy("doc").orderBy("text", *order)) - 1)
-    return materialize(numbered, "keyed")[0]
+    return found.groupBy("doc").agg(F.collect_list(packed).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, names_of: tuple[int, ...] = NAMES) -> tuple[DataFrame, list[str]]:
-    """(doc, copy, spans) of ``docs`` (doc, copy, text): starts of repeated windows, packed."""
-    spark = docs.sparkSession
-    texts = docs.select("doc", "copy", "text")
+    """(doc, spans) of ``docs`` (doc, text): starts of repeated windows, packed."""
+    texts = docs.select("doc", "text")
     todo, found, paths = texts, None, []
     for k in names_of:
         here, path = materialize(_compared(_sampled(todo, k, length)), "found")
         paths.append(path)
-        # Shuffle files go once the driver has collected the plans that own them.
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
         repeated = here.filter("repeated")
         found = repeated if found is None else found.union(repeated)
         if k < length:
             left = _spans_of(here.filter("not repeated"))
-            todo = texts.join(left, ["doc", "copy"]).select("doc", "copy", "text", "spans")
+            todo = texts.join(left, "doc").select("doc", "text", "spans")
     return _spans_of(found), paths
 
 
@@ -229,9 +268,9 @@ CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False, names_of: tuple[int, ...] = NAMES) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and kept (bytes; their SHA-256 with ``digest``)."""
-    rows = keyed(docs)
+    rows, _ = ordered_key(docs.drop("doc", "spans"), "doc")
     spans, _ = repeated_spans(rows, length, names_of)
-    joined = rows.join(spans, ["doc", "copy"], "left")
+    joined = rows.join(spans, "doc", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
