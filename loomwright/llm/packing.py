@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from .common import bucketed_prefix, materialize, table
 
 CAPACITY = 2048
-CACHED = 600_000
+#: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
+CACHED, LONGEST, PLACE = 48_000_000, 64, 176
 _TOKENIZERS: dict[str, "WordCache"] = {}
 
 
@@ -42,7 +43,8 @@ class WordCache:
 
     The vocabulary drops white space, and no token, normalisation or special
     token of it spans white space, so a text's ids are its words' ids in a row.
-    Two generations of ``CACHED`` words bound the memory.
+    Two generations of ``CACHED`` bytes bound the memory; words of over
+    ``LONGEST`` bytes are never kept.
     """
 
     def __init__(self, path: str):
@@ -55,8 +57,10 @@ class WordCache:
         )
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        """The ids of ``words`` in ``into``."""
         texts = [w.decode() for w in words]
         odd = [i for i, t in enumerate(texts) if self.mark in t]
         for i in odd:
@@ -66,10 +70,10 @@ class WordCache:
         ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
         raw = ids.tobytes()
         for word, a, b in zip(words, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            self.young[word] = raw[4 * a + 4 : 4 * b]
+            into[word] = raw[4 * a + 4 : 4 * b]
         for i in odd:
             one = self.tokenizer.encode(words[i].decode(), add_special_tokens=False)
-            self.young[words[i]] = np.array(one.ids, dtype="<u4").tobytes()
+            into[words[i]] = np.array(one.ids, dtype="<u4").tobytes()
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text."""
@@ -79,18 +83,25 @@ class WordCache:
             return b"".join([young[w] for w in words])
         except KeyError:
             missing = {w for w in words if w not in young}
-        if len(young) + len(missing) > CACHED:
-            self.old, self.young = young, {}
+        if self.size > CACHED:
+            self.old, self.young, self.size = young, {}, 0
             young, missing = self.young, set(words)
-        new = []
+        old, new, long = self.old, [], {}
         for w in missing:
-            if (known := self.old.get(w)) is None:
+            if len(w) > LONGEST:
+                long[w] = b""
+            elif (known := old.get(w)) is None:
                 new.append(w)
             else:
                 young[w] = known
+                self.size += len(w) + len(known) + PLACE
         if new:
-            self._learn(new)
-        return b"".join([young[w] for w in words])
+            self._learn(new, young)
+            self.size += sum(len(w) + len(young[w]) + PLACE for w in new)
+        if not long:
+            return b"".join([young[w] for w in words])
+        self._learn(list(long), long)
+        return b"".join([long[w] if len(w) > LONGEST else young[w] for w in words])
 
 
 def cached_tokenizer(path: str) -> WordCache:
@@ -110,7 +121,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
         cache = cached_tokenizer(tokenizer)
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):  # one text at a time
                 ids = memoryview(cache.ids(text.as_py() or b"") + b"\0\0\0\0")
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
