@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import table
+from .common import ordered_key, table
 from .near_dedup import mix, probes
 
 CELLS = 64
 LEVELS = 4
 FEW = 16
 CHUNK = 300_000
+BLOCKS = 3
 _C = np.uint64(0x9E3779B97F4A7C15)
 _LOWEST = np.array([0] + [(x & -x).bit_length() - 1 for x in range(1, 256)], dtype=np.uint8)
 
@@ -143,13 +144,13 @@ _TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.floa
 def in_order_with_next(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) in blocks of ids, each followed by the next block's first row.
 
-    Adds ``block`` and ``ahead`` (true for such a following row).  Rows are sorted
-    within partitions by block, ahead, doc_id and text; the last block is followed
-    by the first.  Only the block's limits, a few numbers for each partition, come
-    to the driver.
+    Adds ``block`` and ``ahead`` (true for such a following row).  A block is a
+    partition, of which there are ``BLOCKS`` for each of the input's; its rows are
+    sorted by ahead, doc_id and text, and the last block is followed by the first.
+    Only the blocks' limits, a few numbers for each, come to the driver.
     """
-    parts = max(1, docs.rdd.getNumPartitions())
-    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    parts = BLOCKS * max(1, docs.rdd.getNumPartitions())
+    keyed, _ = ordered_key(docs, "__id")
     limits = sorted(set(keyed.stat.approxQuantile("__id", [i / parts for i in range(1, parts)], 1 / (8 * parts)))) if parts > 1 else []
     edges = np.array([int(x) for x in limits], dtype=np.int64)
 
@@ -177,7 +178,7 @@ def in_order_with_next(docs: DataFrame) -> DataFrame:
     placed = keyed.withColumn("follow", follows("__id")) if firsts else keyed.withColumn("follow", F.lit(-1))
     placed = placed.select("doc_id", "text", "__id", F.explode(F.filter(F.array(here, there), lambda x: x["block"] >= 0)).alias("at"))
     placed = placed.select("doc_id", "text", "__id", "at.*")
-    return placed.repartition(parts, "block").sortWithinPartitions("block", "ahead", "__id", "text")
+    return placed.repartitionById(parts, "block").sortWithinPartitions("block", "ahead", "__id", "text")
 
 
 def compare_with_edit(docs: DataFrame) -> DataFrame:
