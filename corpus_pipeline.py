@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import mixing, near_dedup, packing, suffix_dedup, toxicity
-from loomwright.llm.common import materialize, table
+from loomwright.llm.common import materialize, ordered_key, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -23,17 +23,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't mark as toxic."""
     labels = table(spark, sf_dir, "labels")
-    model = toxicity.fit(*toxicity.training_rows(docs, labels), toxicity.training_counts(docs, labels))
+    model = toxicity.fitted(docs, labels)
     return toxicity.score_documents(docs.select(*COLUMNS), model).filter("score < 0.5").select(*COLUMNS)
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
     """The distinct rows of ``docs`` with a ``key`` of their own, in the order of doc_id (null last), then text."""
-    docs = docs.select(*COLUMNS)
-    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null").isEmpty():
-        return docs.withColumn("key", F.col("doc_id"))
-    in_order = docs.distinct().orderBy(F.col("doc_id").asc_nulls_last(), "text", *COLUMNS[2:])
-    return materialize(in_order.withColumn("key", F.monotonically_increasing_id()), "keyed")[0]
+    return ordered_key(docs.select(*COLUMNS).distinct(), "key")[0]
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
