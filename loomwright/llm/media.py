@@ -1,7 +1,9 @@
 """Media columns: payloads stored as lossless WebP, read back as pixel arrays.
 
 Four payload bytes are one pixel (blue, green, red, alpha); images are 16 pixels
-wide, or a multiple of that where more than 16,384 rows would be needed.
+wide, or a multiple of that where more than 16,384 rows would be needed.  Each file
+uses the transform, colour cache and back-references that pay in it (see
+``webp.encode_samples``).
 
 Edge cases: a null or empty text is one block of 64 zero bytes; equal texts give
 equal files; a text of over a gibibyte doesn't fit an image and raises; repeated
@@ -19,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import lean, table
 from .webp import decode, encode_samples
 
 BLOCK = 64
 TALLEST = 16_384
-IMAGES = 2048
-SAMPLES = 8_000_000
+IMAGES = 8192
+SAMPLES = 24_000_000
 
 
 def payload(text: bytes) -> bytes:
@@ -71,7 +73,7 @@ def store(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "payload_bytes", "media"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, STORED)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), STORED)
 
 
 def samples_of(files: list[bytes], sizes: list[int]) -> Iterator[tuple[np.ndarray, tuple[int, int]]]:
@@ -102,7 +104,7 @@ def read_back(stored: DataFrame) -> DataFrame:
             made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=names)
 
-    return stored.mapInArrow(run, READ)
+    return stored.mapInArrow(lean(run), READ)
 
 
 def op5_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:

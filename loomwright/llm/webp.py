@@ -10,7 +10,6 @@ Pixels are 32-bit ARGB numbers in rows.
 
 from __future__ import annotations
 
-import heapq
 import struct
 from collections.abc import Iterable
 
@@ -193,99 +192,93 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
                     size += len(code.table)
                 offset[k, row], mask[k, row] = placed[id(code)], (1 << code.bits) - 1
             row += 1
-    flat = np.concatenate(tables).astype(np.int64)
+    flat = np.concatenate(tables)
     group0 = np.array(group0)
     tiled = [i for i, j in enumerate(jobs) if j.tiles is not None]
     cached = np.array([j.cache_bits for j in jobs])
-    cache_at = np.concatenate([[0], np.cumsum(np.where(cached > 0, 1 << cached, 0))])
-    cache = np.zeros(int(cache_at[-1]) + 1, dtype=np.int64)
+    # Images without a cache have one cell, which nothing reads.
+    cache_at = np.concatenate([[0], np.cumsum(1 << cached)])
+    cache, shift = np.zeros(int(cache_at[-1]), dtype=np.int64), 32 - cached
+    cache_at = cache_at[:-1]
     base = np.concatenate([[0], np.cumsum(n)])[:-1]
     out = np.zeros(int(n.sum()), dtype=np.int64)
     copy_left, copy_back = np.zeros(len(jobs), dtype=np.int64), np.zeros(len(jobs), dtype=np.int64)
     near = np.array(NEAR)
     width = np.array([j.width for j in jobs])
-    active, any_cache, any_copy = len(jobs), bool(cached.any()), False
     u = np.uint64
     group = group0.copy()
     off, msk = offset[:, group], mask[:, group]
+    any_cache, any_copy = bool(cached.any()), False
+    active = len(jobs)
 
-    def take(k, lanes, where):
-        """One symbol of code k in each of ``lanes``."""
-        value = words[where >> 3] >> (where & 7).astype(u)
-        entry = flat[off[k, lanes] + (value & msk[k, lanes]).astype(np.int64)]
-        return entry >> 4, where + (entry & 15)
+    def entries(k, todo, value):
+        return flat[off[k, todo] + (value & msk[k, todo]).astype(np.int64)].astype(np.int64)
+
+    def window(where):
+        return words[where >> 3] >> (where & 7).astype(u)
 
     def extended(prefix, where):
         """The number of a length or distance prefix."""
         extra = np.maximum(prefix - 2, 0) >> 1
-        value = (words[where >> 3] >> (where & 7).astype(u)).astype(np.int64) & ((1 << extra) - 1)
+        value = window(where).astype(np.int64) & ((1 << extra) - 1)
         return np.where(prefix < 4, prefix + 1, ((2 + (prefix & 1)) << extra) + value + 1), where + np.where(prefix < 4, 0, extra)
 
     for step in range(int(n[0]) if len(n) else 0):
         while n[active - 1] <= step:
             active -= 1
-        lanes = slice(0, active)
         for i in tiled:
             if i < active:
                 j = jobs[i]
                 y, x = divmod(step, j.width)
                 g = group0[i] + int(j.tiles[y >> j.tile_bits, x >> j.tile_bits])
                 off[:, i], msk[:, i] = offset[:, g], mask[:, g]
-        if any_copy and copy_left[lanes].any():
-            todo = np.flatnonzero(copy_left[lanes] == 0)
-        else:
-            todo, any_copy = lanes, False
+        todo = slice(0, active)
+        if any_copy:
+            still = copy_left[:active] > 0
+            if any_copy := bool(still.any()):
+                todo = np.flatnonzero(~still)
         where = at[todo]
-        value = words[where >> 3] >> (where & 7).astype(u)
-        entry = flat[off[0, todo] + (value & msk[0, todo]).astype(np.int64)]
+        value = window(where)
+        entry = entries(0, todo, value)
         symbol, used = entry >> 4, entry & 15
-        if symbol.size and symbol.max() < 256:
-            value >>= used.astype(u)
-            entry = flat[off[1, todo] + (value & msk[1, todo]).astype(np.int64)]
-            red, used = entry >> 4, used + (entry & 15)
-            where = where + used
-            value = words[where >> 3] >> (where & 7).astype(u)
-            entry = flat[off[2, todo] + (value & msk[2, todo]).astype(np.int64)]
-            blue, used = entry >> 4, entry & 15
-            value >>= used.astype(u)
-            entry = flat[off[3, todo] + (value & msk[3, todo]).astype(np.int64)]
-            at[todo] = where + used + (entry & 15)
-            out[base[todo] + step] = (entry >> 4) << 24 | red << 16 | symbol << 8 | blue
-        elif symbol.size:
-            index = np.arange(active) if isinstance(todo, slice) else todo
-            where = where + used
-            literal, length = symbol < 256, (symbol >= 256) & (symbol < 256 + LENGTH_CODES)
-            stored = ~literal & ~length
-            if literal.any():
-                one, w = index[literal], where[literal]
-                red, w = take(1, one, w)
-                blue, w = take(2, one, w)
-                alpha, w = take(3, one, w)
-                where[literal] = w
-                out[base[one] + step] = alpha << 24 | red << 16 | symbol[literal] << 8 | blue
-            if length.any():
-                one, w = index[length], where[length]
-                count, w = extended(symbol[length] - 256, w)
-                prefix, w = take(4, one, w)
-                code, w = extended(prefix, w)
-                where[length] = w
+        # As if all were literals; what isn't takes its pixel from elsewhere, and only its first symbol's bits.
+        entry = entries(1, todo, value >> used.astype(u))
+        red, size = entry >> 4, used + (entry & 15)
+        value = window(where + size)
+        entry = entries(2, todo, value)
+        blue, more = entry >> 4, entry & 15
+        entry = entries(3, todo, value >> more.astype(u))
+        pixel = (entry >> 4) << 24 | red << 16 | symbol << 8 | blue
+        size += more + (entry & 15)
+        if symbol.size and symbol.max() >= 256:
+            literal = symbol < 256
+            size = np.where(literal, size, used)
+            if any_cache:
+                stored = symbol - 256 - LENGTH_CODES
+                pixel = np.where(literal, pixel, cache[cache_at[todo] + np.where(stored > 0, stored, 0)])
+            at[todo] = where + size
+            copies = np.flatnonzero(~literal & (symbol < 256 + LENGTH_CODES))
+            if len(copies):
+                one = copies if isinstance(todo, slice) else todo[copies]
+                count, w = extended(symbol[copies] - 256, at[one])
+                entry = entries(4, one, window(w))
+                code, w = extended(entry >> 4, w + (entry & 15))
+                at[one] = w
                 close = near[np.minimum(code, len(NEAR)) - 1]
                 back = np.where(code > len(NEAR), code - len(NEAR), np.maximum(1, close[:, 0] + close[:, 1] * width[one]))
                 if (back > step).any():
                     raise ValueError("a back-reference goes before the image")
                 copy_left[one], copy_back[one], any_copy = count, back, True
-            if stored.any():
-                one = index[stored]
-                out[base[one] + step] = cache[cache_at[one] + symbol[stored] - 256 - LENGTH_CODES]
-            at[index] = where
+        else:
+            at[todo] = where + size
+        out[base[todo] + step] = pixel
         if any_copy:
-            copying = np.flatnonzero(copy_left[lanes] > 0)
+            copying = np.flatnonzero(copy_left[:active] > 0)
             out[base[copying] + step] = out[base[copying] + step - copy_back[copying]]
             copy_left[copying] -= 1
         if any_cache:
-            one = np.flatnonzero(cached[lanes] > 0)
-            pixel = out[base[one] + step]
-            cache[cache_at[one] + ((pixel * CACHE_FACTOR & 0xFFFFFFFF) >> (32 - cached[one]))] = pixel
+            pixel = out[base[:active] + step]
+            cache[cache_at[:active] + ((pixel * CACHE_FACTOR & 0xFFFFFFFF) >> shift[:active])] = pixel
     result: list = [None] * len(images)
     for k, i in enumerate(order):
         images[i].source.at += int(at[k] - begin[k])
@@ -325,6 +318,8 @@ def predicted(mode: int, left, top, top_right, top_left) -> list[int]:
 def _predict(pixels: np.ndarray, modes: np.ndarray, bits: int, sign: int) -> np.ndarray:
     """Add (sign 1) or subtract (-1) the prediction; ``modes`` for each tile."""
     height, width = pixels.shape
+    if (modes == 1).all() or (modes == 2).all():
+        return _along(pixels, int(modes.flat[0]), sign)
     given = _channels(pixels).reshape(-1, 4).tolist()
     done: list[list[int]] = []
     whole = done if sign > 0 else given
@@ -343,6 +338,28 @@ def _predict(pixels: np.ndarray, modes: np.ndarray, bits: int, sign: int) -> np.
     return _joined(np.array(done, dtype=np.int64).reshape(height, width, 4))
 
 
+def _along(pixels: np.ndarray, mode: int, sign: int) -> np.ndarray:
+    """The prediction from the left (1) or from above (2) throughout, as running sums or differences."""
+    c = _channels(pixels)
+    black = np.array([255, 0, 0, 0])
+    if sign > 0:
+        c[0, 0] += black
+        if mode == 1:
+            c[:, 0] = np.cumsum(c[:, 0], axis=0)
+            return _joined(np.cumsum(c, axis=1))
+        c[0] = np.cumsum(c[0], axis=0)
+        return _joined(np.cumsum(c, axis=0))
+    out = c.copy()
+    if mode == 1:
+        out[:, 1:] -= c[:, :-1]
+        out[1:, 0] -= c[:-1, 0]
+    else:
+        out[1:] -= c[:-1]
+        out[0, 1:] -= c[0, :-1]
+    out[0, 0] -= black
+    return _joined(out)
+
+
 def _cross(pixels: np.ndarray, tiles: np.ndarray, bits: int, sign: int) -> np.ndarray:
     height, width = pixels.shape
     t = tiles[np.arange(height)[:, None] >> bits, np.arange(width)[None] >> bits]
@@ -432,45 +449,66 @@ def decode(files: Iterable[bytes]) -> list[np.ndarray]:
 
 def code_lengths(counts: list[int], most: int = 12) -> list[int]:
     """Huffman code lengths of at most ``most`` bits."""
-    used = [i for i, c in enumerate(counts) if c]
     lengths = [0] * len(counts)
-    weights = {i: counts[i] for i in used}
-    while len(used) > 1:
-        heap = [(w, i, -1, -1) for i, w in weights.items()]
-        heapq.heapify(heap)
-        nodes, number = {}, len(counts)
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            nodes[number] = (a[1], b[1])
-            heapq.heappush(heap, (a[0] + b[0], number, -1, -1))
-            number += 1
-        depth = {number - 1: 0}
-        for k in range(number - 1, len(counts) - 1, -1):
-            d = depth[k] + 1
-            for child in nodes[k]:
-                depth[child] = d
-                if child < len(counts):
-                    lengths[child] = d
-        if max(lengths) <= most:
+    used = sorted((c, i) for i, c in enumerate(counts) if c)
+    if len(used) == 1:
+        lengths[used[0][1]] = 1
+    if len(used) < 2:
+        return lengths
+    weights = [c for c, _ in used]
+    n = len(weights)
+    while True:
+        # Leaves in order, and joined nodes, which come in order, too.
+        joined, parent, leaf, node = [], [0] * (2 * n - 1), 0, 0
+        for made in range(n - 1):
+            total = 0
+            for _ in range(2):
+                if leaf < n and (node >= made or weights[leaf] <= joined[node]):
+                    total += weights[leaf]
+                    parent[leaf] = n + made
+                    leaf += 1
+                else:
+                    total += joined[node]
+                    parent[n + node] = n + made
+                    node += 1
+            joined.append(total)
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth[:n]) <= most:
+            for (_, i), d in zip(used, depth, strict=False):
+                lengths[i] = d
             return lengths
-        weights = {i: w // 2 + 1 for i, w in weights.items()}
-    for i in used:
-        lengths[i] = 1
-    return lengths
+        weights = sorted(w // 2 + 1 for w in weights)
+
+
+def spelled(lengths: list[int]) -> dict[int, str]:
+    """Canonical codes by symbol, their bits in stream order."""
+    out, code, last = {}, 0, 0
+    for size, i in sorted((x, i) for i, x in enumerate(lengths) if x):
+        code <<= size - last
+        last = size
+        out[i] = f"{code:0{size}b}"
+        code += 1
+    return out
 
 
 def codes(lengths: list[int]) -> list[int]:
-    """Canonical codes, bits in stream order."""
-    out, code = [0] * len(lengths), 0
-    for size in range(1, max(lengths, default=0) + 1):
-        for i, x in enumerate(lengths):
-            if x == size:
-                out[i] = int(f"{code:0{size}b}"[::-1], 2)
-                code += 1
-        code <<= 1
+    """Canonical codes as numbers, the first bit lowest."""
+    out = [0] * len(lengths)
+    for i, bits in spelled(lengths).items():
+        out[i] = int(bits[::-1], 2)
     return out
 
 
+def _lowest_first(value: int, bits: int) -> str:
+    return f"{value:0{bits}b}"[::-1] if bits else ""
+
+
+_GAPS = {n: (17, _lowest_first(n - 3, 3)) if n <= 10 else (18, _lowest_first(n - 11, 7)) for n in range(3, 139)}
+_SIZES_SPELLED = [_lowest_first(n, 3) for n in range(8)]
+
+
 class Writer:
     """Collects numbers, least significant bit first."""
 
@@ -488,38 +526,26 @@ class Writer:
             self.write(0b101 if symbol > 1 else 0b001, 3)
             self.write(symbol, 8 if symbol > 1 else 1)
             return
-        items: list[tuple[int, int, int]] = []  # symbol, extra, its bits
-        i, last = 0, max(used) + 1
-        while i < last:
-            run = 1
-            while i + run < last and lengths[i + run] == lengths[i]:
-                run += 1
-            if lengths[i] == 0 and run >= 3:
-                run = min(run, 138)
-                items.append((17, run - 3, 3) if run <= 10 else (18, run - 11, 7))
-            else:
-                run = 1
-                items.append((lengths[i], 0, 0))
-            i += run
+        items: list[tuple[int, str]] = []  # symbol, extra bits
+        last = -1
+        for i in used:
+            gap = i - last - 1
+            while gap >= 3:
+                items.append(_GAPS[min(gap, 138)])
+                gap -= min(gap, 138)
+            items.extend([(0, "")] * gap)
+            items.append((lengths[i], ""))
+            last = i
         counts = [0] * 19
-        for s, *_ in items:
+        for s, _ in items:
             counts[s] += 1
         sizes = code_lengths(counts, 7)
-        short = codes(sizes)
-        if sum(1 for x in sizes if x) == 1:
-            short = [0] * 19
-        self.write(0, 1)
-        self.write(15, 4)
-        for s in CODE_LENGTH_ORDER:
-            self.write(sizes[s], 3)
-        self.write(1, 1)
+        short = spelled(sizes) if sum(1 for x in sizes if x) > 1 else dict.fromkeys(range(19), "")
         n = max(0, -(-max(1, (len(items) - 2).bit_length()) // 2) - 1)
-        self.write(n, 3)
-        self.write(len(items) - 2, 2 + 2 * n)
-        one = sum(1 for x in sizes if x) == 1
-        for s, extra, bits in items:
-            self.write(short[s], 0 if one else sizes[s])
-            self.write(extra, bits)
+        bits = ["01111", *[_SIZES_SPELLED[sizes[s]] for s in CODE_LENGTH_ORDER], "1", _lowest_first(n, 3), _lowest_first(len(items) - 2, 2 + 2 * n)]
+        bits += [short[s] + extra for s, extra in items]
+        stream = "".join(bits)
+        self.write(int(stream[::-1], 2), len(stream))
 
 
 def _file(body: bytes) -> bytes:
@@ -537,40 +563,190 @@ def _header(width: int, height: int) -> Writer:
     return w
 
 
-def encode_samples(samples: bytes, width: int, height: int) -> bytes:
-    """A file of 4 * width * height 8-bit samples (blue, green, red, alpha), literals in one code."""
+#: Bits of the longest code in files of ``encode_samples``, of the largest cache, and of tiles.
+MOST_BITS, MOST_CACHE, TILE_BITS = 11, 9, 9
+#: What a part of the format must save, as a share of the estimate without it.
+WORTH = 0.97
+_CROSS_ELEMENT = 16 | 16 << 8  # half of green from red and from blue
+
+
+def _bits_needed(*parts: np.ndarray) -> float:
+    """Entropy of bytes."""
+    counts = np.bincount(parts[0], minlength=256)
+    for data in parts[1:]:
+        counts += np.bincount(data, minlength=256)
+    counts = counts[counts > 0]
+    return float((counts * np.log2(counts.sum() / counts)).sum())
+
+
+def _transform(samples: bytes, pixels: np.ndarray) -> tuple[str, np.ndarray | int | None]:
+    """The transform that promises the smallest file: (its name, what it needs).
+
+    Estimates are entropies of all the bytes that are left (of all but the first
+    row or pixel, where these are told from others).
+    """
+    data, width = np.frombuffer(samples, dtype=np.uint8), pixels.shape[1]
+    ordered = np.sort(pixels, axis=None)
+    new = np.flatnonzero(ordered[1:] != ordered[:-1])
+    if 1 <= len(new) <= 255 and 3 * len(new) + 3 <= len(ordered):
+        return "palette", ordered[np.append(0, new + 1)]
+    best, name, given = WORTH * _bits_needed(data), "none", None
+    blue, green, red, alpha = (data[i::4] for i in range(4))
+    half = (green.view(np.int8) >> 1).view(np.uint8)
+    tries = [("predictor", 1, (data[4:] - data[:-4],)), ("green", None, (red - green, blue - green, green, alpha)), ("cross", None, (red - half, blue - half, green, alpha))]
+    if len(data) > 8 * width:
+        tries.append(("predictor", 2, (data[4 * width :] - data[: -4 * width],)))
+    for kind, mode, parts in tries:
+        if (bits := _bits_needed(*parts)) < best:
+            best, name, given = bits, kind, mode
+    return name, given
+
+
+def _copies(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """(place, count, distance) of back-references, apart from each other: runs of three pixels or more that came before."""
+    n = len(pixels)
+    if n < 4:
+        return []
+    p = pixels.astype(np.uint64)
+    key = (p[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ p[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93) ^ p[2:]
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if not len(same):
+        return []
+    here, before = order[same + 1], order[same]
+    right = (p[here] == p[before]) & (p[here + 1] == p[before + 1]) & (p[here + 2] == p[before + 2])
+    back = np.zeros(n, dtype=np.int64)
+    back[here[right]] = here[right] - before[right]
+    edges = np.flatnonzero(np.diff(back, prepend=0, append=0))
+    out, end = [], 0
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if distance := int(back[a]):
+            a, stop = max(a, end), b + 2
+            while stop - a >= 3:
+                count = min(4096, stop - a)
+                out.append((a, count, distance))
+                a += count
+            end = max(end, a)
+    return out
+
+
+def _stored(pixels: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cache's cell of each pixel, and whether it holds the pixel when it comes to it."""
+    slot = (pixels * CACHE_FACTOR & 0xFFFFFFFF) >> (32 - bits)
+    order = np.argsort(slot, kind="stable")
+    hit = np.zeros(len(pixels), dtype=bool)
+    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+    return slot, hit
+
+
+def _packed(head: Writer, values: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The writer's bits, then ``sizes`` bits of each value (56 at most)."""
+    ends = np.cumsum(sizes) + head.size % 8
+    at = ends - sizes
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    last = int(ends[-1]) if len(ends) else head.size % 8
+    packed = np.zeros((last >> 6) + 2, dtype=np.uint64)
+    if len(ends):
+        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        packed[word[heads]] = np.bitwise_or.reduceat(values << shift, heads)
+        over = np.flatnonzero((at & 63) + sizes > 64)
+        packed[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    start = head.value.to_bytes((head.size + 7) // 8, "little")
+    body = packed.astype("<u8").tobytes()[: (last + 7) // 8]
+    return start[: head.size // 8] + bytes([start[-1] | body[0]]) + body[1:] if head.size % 8 else start + body
+
+
+def encode_samples(samples: bytes, width: int, height: int, used: dict[str, int] | None = None) -> bytes:
+    """A file of 4 * width * height 8-bit samples (blue, green, red, alpha).
+
+    The transform, the colour cache and back-references are used where they make
+    the file smaller, by estimate; ``used`` counts what is.
+    """
     w = _header(width, height)
-    w.write(0, 1)  # no transform
-    w.write(0, 1)  # no colour cache
+    pixels = np.frombuffer(samples, dtype="<u4").astype(np.int64).reshape(height, width)
+    name, given = _transform(samples, pixels)
+    tiles = -(-height >> TILE_BITS) * -(-width >> TILE_BITS)
+    if name == "palette":
+        w.write(1 | PALETTE << 1, 3)
+        w.write(len(given) - 1, 8)
+        steps = _channels(given)
+        steps[1:] -= _channels(given)[:-1]
+        _write_image(w, _joined(steps).tolist())
+        bits = _palette_bits(len(given))
+        index = np.pad(np.searchsorted(given, pixels), ((0, 0), (0, -width % (1 << bits))))
+        pixels = (index.reshape(height, -1, 1 << bits) << ((8 >> bits) * np.arange(1 << bits))).sum(axis=2) << 8 | 0xFF << 24
+    elif name == "predictor":
+        w.write(1 | PREDICTOR << 1, 3)
+        w.write(TILE_BITS - 2, 3)
+        _write_image(w, [given << 8 | 0xFF << 24] * tiles)
+        pixels = _along(pixels, given, -1)
+    elif name == "cross":
+        w.write(1 | CROSS_COLOUR << 1, 3)
+        w.write(TILE_BITS - 2, 3)
+        _write_image(w, [_CROSS_ELEMENT | 0xFF << 24] * tiles)
+        pixels = _cross(pixels, np.full((1, 1), _CROSS_ELEMENT), 14, -1)
+    elif name == "green":
+        w.write(1 | SUBTRACT_GREEN << 1, 3)
+        pixels = _green(pixels, -1)
+    w.write(0, 1)
+    pixels = pixels.ravel()
+    n = len(pixels)
+    copies = _copies(pixels)
+    token = np.ones(n, dtype=bool)  # places where a symbol is written
+    for a, count, _ in copies:
+        token[a + 1 : a + count] = False
+    bits = min(MOST_CACHE, max(1, (n // 2).bit_length()))
+    slot, hit = _stored(pixels, bits)
+    starts = np.array([a for a, *_ in copies], dtype=np.int64)
+    hit &= token
+    hit[starts] = False
+    # A hit saves three symbols; each cell in use needs a code.
+    cells = np.unique(slot[hit])
+    if 12 * int(hit.sum()) <= 64 + 10 * len(cells):
+        bits, hit[:] = 0, False
+    if used is not None:
+        for part, is_used in ((name, True), ("copies", bool(copies)), ("cache", bits > 0)):
+            used[part] = used.get(part, 0) + int(is_used)
+    w.write(bool(bits), 1)
+    if bits:
+        w.write(bits, 4)
     w.write(0, 1)  # one group of codes
-    data = np.frombuffer(samples, dtype=np.uint8)
-    lengths = code_lengths(np.bincount(data, minlength=256).tolist())
+
+    first = pixels >> 8 & 255
+    first[hit] = slot[hit] + 256 + LENGTH_CODES
+    lengths_, distances = [_prefix(c) for _, c, _ in copies], [_prefix(d + len(NEAR)) for *_, d in copies]
+    first[starts] = [256 + x[0] for x in lengths_]
+    places = np.flatnonzero(token)
+    literal = token & ~hit
+    literal[starts] = False
+    others = np.stack([pixels >> 16 & 255, pixels & 255, pixels >> 24 & 255])
+    counts = np.bincount(first[places], minlength=256 + LENGTH_CODES + (1 << bits if bits else 0))
+    green = code_lengths(counts.tolist(), MOST_BITS)
+    rest = code_lengths(np.bincount(others[:, literal].ravel(), minlength=256).tolist(), MOST_BITS)
+    far = code_lengths(np.bincount([x[0] for x in distances], minlength=DISTANCE_CODES).tolist(), MOST_BITS) if copies else [1]
+    w.write_code(green)
     described = Writer()
-    described.write_code(lengths)
-    for _ in range(4):
+    described.write_code(rest)
+    for _ in range(3):
         w.write(described.value, described.size)
-    w.write_code([1])
-    if sum(1 for x in lengths if x) == 1:
-        return _file(w.value.to_bytes((w.size + 7) // 8, "little"))
-    order = data.reshape(-1, 4)[:, [1, 2, 0, 3]].ravel()
-    size = np.array(lengths, dtype=np.int64)[order]
-    code = np.array(codes(lengths), dtype=np.uint64)[order]
-    ends = np.cumsum(size) + w.size % 8
-    at = ends - size
-    word, shift = at >> 6, (at & 63).astype(np.uint64)
-    packed = np.zeros(int(ends[-1] >> 6) + 2, dtype=np.uint64)
-    heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    packed[word[heads]] = np.bitwise_or.reduceat(code << shift, heads)
-    over = np.flatnonzero((at & 63) + size > 64)
-    packed[word[over] + 1] |= code[over] >> (np.uint64(64) - shift[over])
-    head = w.value.to_bytes((w.size + 7) // 8, "little")
-    total = w.size // 8 * 8 + int(ends[-1])
-    body = packed.astype("<u8").tobytes()
-    if w.size % 8:
-        body = head[: w.size // 8] + bytes([head[-1] | body[0]]) + body[1:]
-    else:
-        body = head + body
-    return _file(body[: (total + 7) // 8])
+    w.write_code(far)
+
+    def coded(lengths):
+        """Codes and sizes by symbol; a code of one symbol has no bits."""
+        alone = sum(1 for x in lengths if x) <= 1
+        return np.array(codes(lengths), dtype=np.uint64), np.zeros(len(lengths), dtype=np.int64) if alone else np.array(lengths, dtype=np.int64)
+
+    # Up to four parts a token: literals' channels, or a copy's codes and extra bits.
+    values, sizes = np.zeros((n, 4), dtype=np.uint64), np.zeros((n, 4), dtype=np.int64)
+    code, size = coded(green)
+    values[places, 0], sizes[places, 0] = code[first[places]], size[first[places]]
+    code, size = coded(rest)
+    at = np.flatnonzero(literal)
+    values[at[:, None], [1, 2, 3]], sizes[at[:, None], [1, 2, 3]] = code[others[:, at].T], size[others[:, at].T]
+    code, size = coded(far)
+    for place, (_, extra, extra_bits), (symbol, value, value_bits) in zip(starts.tolist(), lengths_, distances, strict=True):
+        values[place, 1:], sizes[place, 1:] = (extra, code[symbol], value), (extra_bits, size[symbol], value_bits)
+    return _file(_packed(w, values[places].ravel() & ((np.uint64(1) << sizes[places].ravel().astype(np.uint64)) - np.uint64(1)), sizes[places].ravel()))
 
 
 def _prefix(value: int) -> tuple[int, int, int]:
