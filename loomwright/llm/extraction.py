@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import lean, materialize, table
 
 LEAST_PAGES = 8
 SUPPORT = 0.5
@@ -287,7 +287,7 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    rows = pages.select("page_id", "url", "html").mapInArrow(run, TOKENS)
+    rows = pages.select("page_id", "url", "html").mapInArrow(lean(run), TOKENS)
     sums = rows.groupBy("host", "key").agg(
         F.max("tag").alias("tag"), F.max("slot").alias("slot"), F.bit_xor("vector").alias("vector"),
         *[F.sum(c).alias(c) for c in ("pages", "total", "words", "linked")],
@@ -431,7 +431,7 @@ def extracted(pages: DataFrame) -> DataFrame:
         keyed = rows.withColumns({"host": host("url"), "salt": salt})
         copies = made.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rows = keyed.join(copies, ["host", "salt"], "left").select("page_id", "url", "html", "template")
-    return rows.mapInArrow(run, RESULT)
+    return rows.mapInArrow(lean(run), RESULT)
 
 
 def op1_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import ordered_key, table
+from .common import lean, ordered_key, table
 from .near_dedup import mix, probes
 
 CELLS = 64
@@ -208,7 +208,7 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
             if done:
                 yield result(done)
 
-    return in_order_with_next(docs).select("doc_id", "text", "block", "ahead").mapInArrow(run, RESULT)
+    return in_order_with_next(docs).select("doc_id", "text", "block", "ahead").mapInArrow(lean(run), RESULT)
 
 
 def op8_parsing_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, ordered_key, table
+from .common import discard, lean, materialize, ordered_key, table
 from .graph import components
 
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
@@ -43,7 +43,7 @@ SALTS = 256
 #: Ratio of neighbouring size classes in the prefix filter.
 SIZE_STEP = 1.05
 #: Words whose hashes are kept: so many, of so many bytes at most.
-CACHED, LONGEST = 300_000, 64
+CACHED, LONGEST = 150_000, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 names=["key", "doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
-    return docs.select("key", "doc_id", "text").mapInArrow(run, SIGNED)
+    return docs.select("key", "doc_id", "text").mapInArrow(lean(run), SIGNED)
 
 
 def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -154,7 +154,7 @@ def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
 
     texts = docs.select("key", "text").join(wanted.select(F.col("node").alias("key")), "key", "left_semi")
-    return texts.mapInArrow(run, "node long, hashes binary")
+    return texts.mapInArrow(lean(run), "node long, hashes binary")
 
 
 def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -199,7 +199,7 @@ def exploded(sets: DataFrame) -> DataFrame:
                 rows = [pa.array(np.repeat(part.column(k).to_numpy(zero_copy_only=False), sizes)) for k in range(3)]
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(np.concatenate(values))], names=["node", "n", "component", "shingle"])
 
-    return sets.select("node", "n", "component", "hashes").mapInArrow(run, "node long, n long, component long, shingle long")
+    return sets.select("node", "n", "component", "hashes").mapInArrow(lean(run), "node long, n long, component long, shingle long")
 
 
 def open_pairs(sets: DataFrame, percent: int) -> DataFrame:

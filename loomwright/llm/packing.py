@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucketed_prefix, materialize, table
+from .common import bucketed_prefix, lean, materialize, table
 
 CAPACITY = 2048
 #: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
-CACHED, LONGEST, PLACE = 48_000_000, 64, 176
+CACHED, LONGEST, PLACE = 32_000_000, 64, 176
 _TOKENIZERS: dict[str, "WordCache"] = {}
 
 
@@ -133,7 +133,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), PIECES)
 
 
 def _combination(gap: int, have: np.ndarray, pairs: np.ndarray) -> tuple[int, ...] | None:

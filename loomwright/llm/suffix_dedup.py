@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, ordered_key, table
+from .common import lean, materialize, ordered_key, table
 from .near_dedup import mix
 
 LENGTH = 100
@@ -195,7 +195,7 @@ def _sampled(docs: DataFrame, k: int, length: int) -> DataFrame:
         if size:
             yield flush()
 
-    return docs.mapInArrow(run, SAMPLES)
+    return docs.mapInArrow(lean(run), SAMPLES)
 
 
 def _compared(found: DataFrame) -> DataFrame:
@@ -240,7 +240,7 @@ def _compared(found: DataFrame) -> DataFrame:
 
     place = F.when(F.col("kind") == REPEATED, F.xxhash64("doc", "first")).when(F.col("kind") == OPEN, F.xxhash64("name", "around")).otherwise(F.col("name"))
     ordered = found.repartition(place).sortWithinPartitions("name", "around", "doc", "first", "kind")
-    return ordered.mapInArrow(run, FOUND)
+    return ordered.mapInArrow(lean(run), FOUND)
 
 
 def _spans_of(found: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False,
     keep = [c for c in docs.columns if c in ("doc_id", "lang", "source", "n_chars") or not digest and c != "text"]
     ordered = joined.select(*keep, *[c for c in ("text", "spans")])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return ordered.mapInArrow(cut, f"{schema}, {CUT}")
+    return ordered.mapInArrow(lean(cut), f"{schema}, {CUT}")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, table
+from .common import discard, lean, materialize, table
 
 SAMPLE = 3000
 WINDOW, STRIDE = 64, 48
@@ -46,7 +46,7 @@ GRAMS, LONGEST = (3, 4, 5, 6), 60
 EPOCHS, BATCH, RATE = 4, 256, 0.02
 LEAST_STEPS, FOLDS = 240, 3
 WORDS = re.compile(r"[^\W\d_]+")
-CACHED = 120_000
+CACHED = 80_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -419,7 +419,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.inputs, model.network, model.share))], pa.binary())], names=["model"])
 
     in_order = found.orderBy("doc_id").select("text", "toxic").coalesce(1)
-    packed = in_order.mapInArrow(run, "model binary").first()
+    packed = in_order.mapInArrow(lean(run), "model binary").first()
     discard(docs.sparkSession, at)
     if packed is None:  # no rows, no task
         model = fit([], [], counts)
@@ -447,7 +447,7 @@ def score_documents(docs: DataFrame, packed: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:size], pa.array(scores)], names=[*batch.schema.names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return docs.mapInArrow(lean(run), f"{schema}, score double")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
