@@ -29,7 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def with_row_key(docs: DataFrame) -> DataFrame:
     """The distinct rows of ``docs`` with a ``key`` of their own, in the order of doc_id (null last), then text."""
-    return ordered_key(docs.select(*COLUMNS).distinct(), "key")[0]
+    rows, own = ordered_key(docs.select(*COLUMNS), "key")
+    # Where ids are unique no row is repeated.
+    return rows if own else ordered_key(docs.select(*COLUMNS).distinct(), "key")[0]
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
