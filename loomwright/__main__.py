@@ -1,8 +1,15 @@
-"""Command line: list the queries, run one, or take programs through all stages.
+"""Command line: queries, stages, and the checks between stages.
 
     python -m loomwright list
     python -m loomwright run coverage_by_type TABLES --out FOLDER [--format json]
-    python -m loomwright stages PROGRAMS.jsonl FOLDER [--seed 17] [--target 10000] [--answers ANSWERS.jsonl] [--report]
+    python -m loomwright filter RECORDS.jsonl FOLDER --content TEXT [--image-root ./image] [--images FOLDER --require-images]
+    python -m loomwright records RECORDS.jsonl FOLDER [--start 0] [--limit N]
+    python -m loomwright stages PROGRAMS.jsonl FOLDER [--branches v1_parameter,v3_delete] [--seed 17] [--target 10000] [--answers ANSWERS.jsonl] [--report]
+    python -m loomwright audit PROGRAMS.jsonl FOLDER
+    python -m loomwright merge CHUNKS FOLDER
+    python -m loomwright verify KIND FILE.jsonl
+
+verify, filter and stages end with 1 where something is wrong, or nothing is there.
 """
 
 from __future__ import annotations
@@ -10,6 +17,48 @@ from __future__ import annotations
 import argparse
 import sys
 
+#: Messages that are printed; all are counted.
+SHOWN = 50
+
+
+def filter_records(spark, args) -> int:
+    """Records with a message of the given text, their image paths moved; 1 if there are none, or files lack where they must not."""
+    from pyspark.sql import functions as F
+
+    from .functions.records import moved_image
+    from .operators import reports
+    from .sources import images, jsonl
+
+    rows = jsonl.read_numbered(spark, args.records).withColumn("record", F.parse_json("raw"))
+    said = F.try_variant_get("record", "$.messages", "array<struct<content: string>>")
+    rows = rows.filter(F.exists(said, lambda m: m["content"] == args.content))
+    paths = F.transform(F.try_variant_get("record", "$.images", "array<string>"), lambda p: moved_image(p, args.image_root))
+    rows = rows.select("source_line", "raw", paths.alias("images"))
+    matched = rows.count()
+    lacking = 0
+    if args.images:
+        missing = images.missing(rows, "images", "source_line", images.listing(spark, args.images), args.images)
+        lacking = missing.count()
+        if args.require_images:
+            rows = rows.join(missing.select("source_line"), "source_line", "left_anti")
+    rows.select("source_line", "images", F.parse_json("raw").alias("record")).select("source_line", "images", F.to_json("record").alias("record")).write.mode("overwrite").json(f"{args.out}/records")
+    reports.write_text(spark, f"{args.out}/summary.json", reports.summary_json({"matched_records": matched, "records_with_missing_images": lacking, "output_records": rows.count()}))
+    return int(matched == 0 or (args.require_images and lacking > 0))
+
+
+def extract_records(spark, args) -> int:
+    """Programs of chat records, for ``stages``; a summary counts what came of each record."""
+    from pyspark.sql import functions as F
+
+    from .functions.records import read_records
+    from .operators import reports, stats
+    from .sources import jsonl
+
+    found = read_records(jsonl.row_range(jsonl.read_numbered(spark, args.records), args.start, args.limit))
+    found.filter("status = 'ok'").select(F.col("source_id").alias("id"), F.col("original_code").alias("code"), "images").write.mode("overwrite").json(f"{args.out}/programs")
+    reports.write_text(spark, f"{args.out}/summary.json", reports.summary_json({"status": stats.stage_counters(found, F.col("status"))}))
+    return 0
+
 
 def stages(spark, args) -> int:
     """Programs (id, code) to the three exports, by split; 1 if instructions leak."""
@@ -19,21 +68,67 @@ def stages(spark, args) -> int:
     from .plans import stages as plans
     from .sources import jsonl
 
-    programs = jsonl.read_strict(spark, args.programs, "id string, code string")
+    programs = jsonl.read_strict(spark, args.programs, "id string, code string, images array<string>")
     answers = jsonl.read_lenient(spark, args.answers, "sample_id string, answer string") if args.answers else None
-    pool = plans.pool(programs)
+    pool = plans.pool(programs, plans.enabled(args.branches) if args.branches else None)
     picked = plans.cap(plans.select(pool, args.seed), args.target, args.seed)
-    jsonl.write_by(plans.instruct(picked, answers), f"{args.out}/records", "split")
+    jsonl.write_by(plans.instruct(plans.with_meta(picked, "selected", args.version, args.seed), answers), f"{args.out}/records", "split")
     records = spark.read.json(f"{args.out}/records")
-    for name, rows in plans.exports(records).items():
+    exports = plans.exports(records)
+    for name, rows in exports.items():
         jsonl.write_by(rows, f"{args.out}/{name}", "split")
+    counts = stats.coverage(pool, ["branch", "edit_type"], F.col("ok"))
     if args.report:
-        counts = stats.coverage(pool, ["branch", "edit_type"], F.col("target_code") != F.col("original_code"))
         print(reports.markdown(counts, ["branch", "edit_type", "candidates", "validated", "pass_rate"], [F.col("level"), F.col("branch"), F.col("edit_type")]))
-    leaking = plans.leaks(plans.exports(records)["training"]).limit(50).collect()
-    for row in leaking:
+    leaking = plans.leaks(exports["training"])
+    summary = {"coverage": counts.orderBy("level", "branch", "edit_type"), "records": records.count(), "leaks": leaking.count()}
+    reports.write_text(spark, f"{args.out}/summary.json", reports.summary_json(summary))
+    for row in leaking.limit(SHOWN).collect():
         print(f"{row['sample_id']}: {row['message']}", file=sys.stderr)
-    return int(bool(leaking))
+    return int(summary["leaks"] > 0)
+
+
+def audit(spark, args) -> int:
+    """Counts of candidates by branch and type, and what keeps holes from being deleted."""
+    from pyspark.sql import functions as F
+
+    from .operators import candidates, reports, stats
+    from .plans import stages as plans
+    from .sources import jsonl
+
+    programs = jsonl.read_strict(spark, args.programs, "id string, code string, images array<string>")
+    counts = stats.coverage(plans.pool(programs), ["branch", "edit_type"], F.col("ok")).orderBy("level", "branch", "edit_type")
+    counts.write.mode("overwrite").json(f"{args.out}/counts")
+    holes = candidates.hole_diagnostics(programs.withColumn("category", plans.category(F.col("images"))), "category").orderBy("category", "label")
+    reports.write_text(spark, f"{args.out}/summary.json", reports.summary_json({"coverage": counts, "holes": holes}))
+    return 0
+
+
+def merge(spark, args) -> int:
+    """Chunks' counts as one; 1 if a chunk has no summary."""
+    from .operators import reports, stats
+    from .sources import jsonl
+
+    files, lacking = jsonl.chunks(spark, args.chunks, "summary.json")
+    counts = spark.read.schema("branch string, edit_type string, candidates long, validated long, elapsed double, level int").json(f"{args.chunks}/*/counts")
+    merged = stats.merged(counts.filter("level = 0"), ["branch", "edit_type"]).orderBy("branch", "edit_type")
+    missing = [r["chunk"] for r in lacking.orderBy("chunk").collect()]
+    reports.write_text(spark, f"{args.out}/summary.json", reports.summary_json({"chunks": files.select("chunk").distinct().count(), "missing": missing, "counts": merged}))
+    return int(bool(missing))
+
+
+def verify(spark, args) -> int:
+    """Messages for lines that break a contract; 1 if there are any, or no lines."""
+    from .operators import contracts
+    from .sources import jsonl
+
+    rows = jsonl.read_numbered(spark, args.file)
+    found = contracts.verify(rows, args.kind).orderBy("source_line", "message")
+    total, lines = found.count(), rows.count()
+    for row in found.limit(SHOWN).collect():
+        print(f"line {row['source_line']}: {row['message']}")
+    print(f"{lines} lines, {total} messages")
+    return int(total > 0 or lines == 0)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -45,13 +140,36 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("tables")
     run.add_argument("--out", required=True)
     run.add_argument("--format", default="parquet", choices=("parquet", "json"))
+    kept = commands.add_parser("filter")
+    kept.add_argument("records")
+    kept.add_argument("out")
+    kept.add_argument("--content", required=True)
+    kept.add_argument("--image-root", default="./image")
+    kept.add_argument("--images")
+    kept.add_argument("--require-images", action="store_true")
+    read = commands.add_parser("records")
+    read.add_argument("records")
+    read.add_argument("out")
+    read.add_argument("--start", type=int, default=0)
+    read.add_argument("--limit", type=int)
     staged = commands.add_parser("stages")
     staged.add_argument("programs")
     staged.add_argument("out")
+    staged.add_argument("--branches")
+    staged.add_argument("--version", default="v1")
     staged.add_argument("--seed", type=int, default=17)
     staged.add_argument("--target", type=int, default=10_000)
     staged.add_argument("--answers")
     staged.add_argument("--report", action="store_true")
+    audited = commands.add_parser("audit")
+    audited.add_argument("programs")
+    audited.add_argument("out")
+    merged = commands.add_parser("merge")
+    merged.add_argument("chunks")
+    merged.add_argument("out")
+    checked = commands.add_parser("verify")
+    checked.add_argument("kind")
+    checked.add_argument("file")
     args = parser.parse_args(argv)
 
     from .plans import catalogue
@@ -62,8 +180,9 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     spark = SparkSession.builder.appName("loomwright").getOrCreate()
-    if args.command == "stages":
-        return stages(spark, args)
+    todo = {"filter": filter_records, "records": extract_records, "stages": stages, "audit": audit, "merge": merge, "verify": verify}
+    if args.command in todo:
+        return todo[args.command](spark, args)
     catalogue.QUERIES[args.query](spark, args.tables).write.format(args.format).mode("errorifexists").save(args.out)
     return 0
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import bound, round_exact, short_text, spellings
+
 AXES = ("x", "y", "z")
 
 
@@ -17,21 +21,12 @@ def stable_score(*parts: Column) -> Column:
 
 def format_number(value: Column, places: int = 3) -> Column:
     """A number with at most ``places`` decimals and no trailing zeros; -0 is 0."""
-    text = F.format_string(f"%.{places}f", value.cast("double"))
-    text = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.when(text == "-0", "0").otherwise(text)
+    return short_text(value, places)
 
 
 def number_variants(value: Column) -> Column:
     """The ways in which a text may spell a number."""
-    short, whole = format_number(value, 4), value == F.floor(value)
-    spellings = F.array(
-        short,
-        F.when(whole, F.concat(value.cast("long").cast("string"), F.lit(".0"))),
-        F.format_string("%.2f", value.cast("double")),
-        F.format_string("%.3f", value.cast("double")),
-    )
-    return F.array_distinct(F.array_compact(spellings))
+    return spellings(value)
 
 
 def category_of(path: Column, marker: str = "image") -> Column:
@@ -48,21 +43,14 @@ def splice(text: Column, start: Column, end: Column, new: Column) -> Column:
 
 def scaled(old: Column, factor: float) -> Column:
     """``old`` scaled and rounded to 3 places; null if not positive or unchanged."""
-    new = F.round(old * F.lit(factor), 3)
-    return F.when((new > 0) & (new != old) & ~F.isnan(new), new)
+    return bound(round_exact(old * F.lit(factor), 3), lambda new: F.when((new > 0) & (new != old) & ~F.isnan(new) & (new < float("inf")), new))
 
 
 def contains_any(text: Column, tokens: list[str]) -> Column:
     """Plain words match as words, other tokens as substrings; case doesn't count."""
-    lowered = F.lower(text)
-    words = [t for t in tokens if t.isascii() and t.isalpha() and t.islower()]
-    found = F.lit(False)
-    if words:
-        found = lowered.rlike(r"\b(" + "|".join(words) + r")\b")
-    for t in tokens:
-        if t not in words:
-            found = found | F.contains(lowered, F.lit(t))
-    return found
+    plain = lambda t: t.isascii() and t.isalpha() and t.islower()
+    patterns = [rf"\b{t}\b" if plain(t) else re.escape(t) for t in tokens]
+    return F.lower(text).rlike("|".join(patterns)) if patterns else F.lit(False)
 
 
 def has_cjk(text: Column) -> Column:
@@ -81,9 +69,11 @@ def tagged(text: Column, tag: str) -> Column:
 
 
 def outermost_json(text: Column) -> Column:
-    """From the first to the last brace; null if there are none."""
-    found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    return F.when(found != "", found)
+    """The JSON object that a model's answer is: without a fence, else from the first to the last brace; null if neither is one."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+\z", ""), r"(?i)^```(?:json)?\s*", ""), r"\s*```\z", "")
+    found = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
+    is_object = lambda x: F.coalesce(F.schema_of_variant(F.try_parse_json(x)).startswith("OBJECT"), F.lit(False))
+    return F.when(is_object(bare), bare).when((found != "") & is_object(found), found)
 
 
 def box(center: list[Column], dims: list[Column]) -> dict[str, Column]:
@@ -116,8 +106,14 @@ def box_within(inner: dict[str, Column], outer: dict[str, Column], tolerance: fl
     )
 
 
+def box_center_distance(one: dict[str, Column], other: dict[str, Column]) -> Column:
+    """Between the centres of two boxes, which are rounded to four places."""
+    middle = lambda b, a: round_exact((b[f"{a}min"] + b[f"{a}max"]) / 2, 4)
+    return F.sqrt(sum(((middle(one, a) - middle(other, a)) * (middle(one, a) - middle(other, a)) for a in AXES), F.lit(0.0)))
+
+
 def box_same(one: dict[str, Column], other: dict[str, Column], tolerance: float = 1e-3) -> Column:
-    return _all(F.abs(one[k] - other[k]) <= tolerance for k in one)
+    return box_within(one, box_expanded(other, tolerance)) & box_within(other, box_expanded(one, tolerance))
 
 
 def inscribed_radius(radius: Column, sides: Column) -> Column:

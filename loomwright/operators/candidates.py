@@ -14,15 +14,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import format_number, scaled, splice
+from ..functions.numbers import short_text
+from ..functions.scalars import scaled, splice
 
 # Which positional arguments of which calls may be scaled.
 SCALABLE = {"circle": (0,), "hole": (0,), "extrude": (0,), "chamfer": (0,), "fillet": (0,), "box": (0, 1, 2), "cboreHole": (0,)}
 FINISHING = ("fillet", "chamfer")
 PLACED_BY_LIST = {"pushPoints", "rarray", "polarArray"}
 
-PARAMETERS = "id string, ordinal int, kind string, call string, arg_index int, old double, span_start int, span_end int, matched_text string"
-DELETIONS = "id string, ordinal int, edit_type string, size double, sides int, repeats int, span_start int, span_end int, block_text string, target_code string"
+PARAMETERS = "id string, code string, ordinal int, kind string, call string, arg_index int, old double, span_start int, span_end int, matched_text string"
+DELETIONS = "id string, code string, ordinal int, edit_type string, size double, sides int, repeats int, span_start int, span_end int, block_text string, target_code string"
 
 
 class _Source:
@@ -92,37 +93,23 @@ def _results(tree: ast.Module) -> list[ast.Assign]:
     ]
 
 
-def deletions_of(code: str | None) -> list[tuple]:
-    """(edit_type, size, sides, repeats, start, end, text, code without it), holes first, then loops, cutouts, finishing."""
-    source, found = _parsed(code), []
-    if source is None:
-        return []
-    assigned = {x.targets[0].id: x.value for x in source.tree.body if isinstance(x, ast.Assign) and len(x.targets) == 1 and isinstance(x.targets[0], ast.Name)}
+def _assigned(tree: ast.Module) -> dict[str, ast.AST]:
+    return {x.targets[0].id: x.value for x in tree.body if isinstance(x, ast.Assign) and len(x.targets) == 1 and isinstance(x.targets[0], ast.Name)}
+
+
+def _single_holes(source: _Source) -> Iterator[tuple[ast.Call, int, int]]:
+    """Holes that end a result's chain on a face of their own: (call, start of the text that makes it, end)."""
     for statement in _results(source.tree):
         calls = _chain(statement.value)
         names = [c.func.attr for c in calls]
-        if not calls:
-            continue
-        outer, end = calls[0], source.span(statement.value)[1]
-        size = _number(outer.args[0]) if len(outer.args) == 1 and not outer.keywords else None
-        if names[0] == "hole" and outer.args and _number(outer.args[0]) is not None:
+        if calls and names[0] == "hole" and calls[0].args and _number(calls[0].args[0]) is not None:
             on = next((i for i, n in enumerate(names) if n == "faces"), None)
             if on is not None and "workplane" in names[:on] and not PLACED_BY_LIST & set(names[:on]):
-                start = source.span(calls[on].func.value)[1]
-                found.append((0, "delete_hole", _number(outer.args[0]), None, 1, start, end))
-        elif names[0] == "cut" and len(outer.args) == 1:
-            cutter = outer.args[0]
-            cutter = assigned.get(cutter.id, cutter) if isinstance(cutter, ast.Name) else cutter
-            shape = {c.func.attr: c for c in reversed(_chain(cutter))}
-            start = source.span(outer.func.value)[1]
-            if "extrude" in shape and (c := shape.get("circle")) is not None and c.args and (r := _number(c.args[0])):
-                found.append((2, "delete_circular_cutout", r, None, 1, start, end))
-            elif "extrude" in shape and (c := shape.get("polygon")) is not None and len(c.args) >= 2:
-                sides, across = _number(c.args[0]), _number(c.args[1])
-                if sides and across and sides == int(sides) and sides >= 3:
-                    found.append((2, "delete_polygonal_cutout", across, int(sides), 1, start, end))
-        elif names[0] in FINISHING and len(names) > 1 and names[1] == "edges" and size is not None:
-            found.append((3 + FINISHING.index(names[0]), f"delete_{names[0]}", size, None, 1, source.span(calls[1].func.value)[1], end))
+                yield calls[0], source.span(calls[on].func.value)[1], source.span(statement.value)[1]
+
+
+def _loop_holes(source: _Source) -> Iterator[tuple[ast.Call, int, ast.For]]:
+    """Holes of a loop right after the result is on a face: (call, times, loop)."""
     body = source.tree.body
     for before, loop in zip(body, body[1:], strict=False):
         if not (isinstance(loop, ast.For) and len(loop.body) == 1 and not loop.orelse and isinstance(loop.iter, ast.Call)):
@@ -133,8 +120,48 @@ def deletions_of(code: str | None) -> list[tuple]:
         if times and isinstance(step, ast.Assign) and before in _results(source.tree):
             calls = _chain(step.value)
             ready = {c.func.attr for c in _chain(before.value)}
-            if calls and calls[0].func.attr == "hole" and {"faces", "workplane"} <= ready and calls[0].args and (d := _number(calls[0].args[0])):
-                found.append((1, "delete_hole", d, None, int(times), source.span(loop)[0], source.span(loop)[1]))
+            if calls and calls[0].func.attr == "hole" and {"faces", "workplane"} <= ready and calls[0].args and _number(calls[0].args[0]):
+                yield calls[0], int(times), loop
+
+
+def _cutouts(source: _Source) -> Iterator[tuple[str, float, int | None, int, int]]:
+    """Circles and polygons that are cut from the result: (type, size, sides, start, end)."""
+    assigned = _assigned(source.tree)
+    for statement in _results(source.tree):
+        calls = _chain(statement.value)
+        if not calls or calls[0].func.attr != "cut" or len(calls[0].args) != 1:
+            continue
+        cutter = calls[0].args[0]
+        cutter = assigned.get(cutter.id, cutter) if isinstance(cutter, ast.Name) else cutter
+        shape = {c.func.attr: c for c in reversed(_chain(cutter))}
+        start, end = source.span(calls[0].func.value)[1], source.span(statement.value)[1]
+        if "extrude" in shape and (c := shape.get("circle")) is not None and c.args and (r := _number(c.args[0])):
+            yield "delete_circular_cutout", r, None, start, end
+        elif "extrude" in shape and (c := shape.get("polygon")) is not None and len(c.args) >= 2:
+            sides, across = _number(c.args[0]), _number(c.args[1])
+            if sides and across and sides == int(sides) and sides >= 3:
+                yield "delete_polygonal_cutout", across, int(sides), start, end
+
+
+def _finishings(source: _Source) -> Iterator[tuple[str, float, int, int]]:
+    """Fillets and chamfers that end a result's chain: (name, size, start, end)."""
+    for statement in _results(source.tree):
+        calls = _chain(statement.value)
+        names = [c.func.attr for c in calls]
+        if len(calls) > 1 and names[0] in FINISHING and names[1] == "edges" and len(calls[0].args) == 1 and not calls[0].keywords:
+            if (size := _number(calls[0].args[0])) is not None:
+                yield names[0], size, source.span(calls[1].func.value)[1], source.span(statement.value)[1]
+
+
+def deletions_of(code: str | None) -> list[tuple]:
+    """(edit_type, size, sides, repeats, start, end, text, code without it), holes first, then loops, cutouts, finishing."""
+    source = _parsed(code)
+    if source is None:
+        return []
+    found = [(0, "delete_hole", _number(c.args[0]), None, 1, a, b) for c, a, b in _single_holes(source)]
+    found += [(1, "delete_hole", _number(c.args[0]), None, n, *source.span(loop)) for c, n, loop in _loop_holes(source)]
+    found += [(2, kind, size, sides, 1, a, b) for kind, size, sides, a, b in _cutouts(source)]
+    found += [(3 + FINISHING.index(name), f"delete_{name}", size, None, 1, a, b) for name, size, a, b in _finishings(source)]
     out = []
     for _, kind, size, sides, repeats, a, b in sorted(found, key=lambda x: (x[0], x[5])):
         left = code[:a] + code[b:]
@@ -143,19 +170,46 @@ def deletions_of(code: str | None) -> list[tuple]:
     return out
 
 
+def hole_contexts(code: str | None) -> list[str]:
+    """What keeps each hole of a program from being deleted, or that nothing does; a label for each."""
+    # The labels.
+    if not code:
+        return ["records_without_code"]
+    source = _parsed(code)
+    if source is None:
+        return ["hole_parse_error_records"]
+    singles, loops = {id(c) for c, *_ in _single_holes(source)}, {id(c) for c, *_ in _loop_holes(source)}
+    out = ["circular_cutout_via_cut_circle_extrude"] * sum(kind == "delete_circular_cutout" for kind, *_ in _cutouts(source))
+    for node in ast.walk(source.tree):
+        if not (isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute) and node.func.attr == "hole"):
+            continue
+        out.append("hole_calls_total")
+        if id(node) in singles:
+            out.append("single_high_confidence_hole")
+        elif id(node) in loops:
+            out.append("simple_loop_holes")
+        elif PLACED_BY_LIST & {c.func.attr for c in _chain(node)}:
+            out.append("pushpoints_rarray_polararray")
+        elif not node.args or _number(node.args[0]) is None:
+            out.append("non_numeric_diameter")
+        else:
+            out.append("other_unsupported_hole_contexts")
+    return out
+
+
 def _expanded(df: DataFrame, id_column: str, code_column: str, find, schema: str, cap: int | None) -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(key, n, *x) for key, code in zip(batch["id"], batch["code"], strict=True) for n, x in enumerate(find(code)[:cap])]
+            rows = [(key, code, n, *x) for key, code in zip(batch["id"], batch["code"], strict=True) for n, x in enumerate(find(code)[:cap])]
             yield pd.DataFrame(rows, columns=names)
 
     return df.select(F.col(id_column).cast("string").alias("id"), F.col(code_column).alias("code")).mapInPandas(run, schema)
 
 
 def parameter_candidates(df: DataFrame, id_column: str = "id", code_column: str = "code", cap: int | None = None) -> DataFrame:
-    """Numbers of each program that may be scaled; at most ``cap`` of each."""
+    """Numbers of each program that may be scaled; at most ``cap`` of each, in text order.  The program goes along in ``code``."""
     return _expanded(df, id_column, code_column, parameters_of, PARAMETERS, cap)
 
 
@@ -166,39 +220,16 @@ def deletion_candidates(df: DataFrame, id_column: str = "id", code_column: str =
 
 def scaled_programs(df: DataFrame, factor: float = 1.5) -> DataFrame:
     """``df`` (code and a parameter candidate) with ``new`` and ``target_code``; rows without a new value go."""
-    new = scaled(F.col("old"), factor)
-    target = splice(F.col("code"), F.col("span_start"), F.col("span_end"), format_number(new))
-    return df.withColumn("new", new).filter("new is not null").withColumn("target_code", target)
-
-
-def slot_replacements(deletions: DataFrame) -> DataFrame:
-    """For each deleted hole or cutout a slot in its place, and direct replacements of shapes.
-
-    Slots are 2.2 times as long and 0.75 times as wide as the feature.  A circle may
-    become a hexagon, a polygon its inscribed circle, a fillet a chamfer and back.
-    """
-    from ..functions.scalars import inscribed_radius
-
-    radius = F.when(F.col("edit_type") == "delete_hole", F.col("size") / 2).otherwise(F.col("size"))
-    slot = F.when(
-        F.col("edit_type").isin("delete_hole", "delete_circular_cutout", "delete_polygonal_cutout"),
-        F.struct(
-            F.concat(F.when(F.col("repeats") > 1, "replace_loop_holes").otherwise(F.regexp_replace("edit_type", "^delete", "replace")), F.lit("_with_slot")).alias("edit_type"),
-            (radius * 4.4).alias("length"), (radius * 1.5).alias("width"),
-        ),
-    )
-    direct = F.when(
-        F.col("edit_type") == "delete_circular_cutout",
-        F.struct(F.lit("replace_circular_cutout_with_polygonal_cutout").alias("edit_type"), F.col("size").alias("length"), F.lit(6.0).alias("width")),
-    ).when(
-        F.col("edit_type") == "delete_polygonal_cutout",
-        F.struct(F.lit("replace_polygonal_cutout_with_circular_cutout").alias("edit_type"), inscribed_radius(F.col("size") / 2, F.col("sides")).alias("length"), F.lit(0.0).alias("width")),
-    ).when(
-        F.col("edit_type").isin("delete_fillet", "delete_chamfer"),
-        F.struct(
-            F.when(F.col("edit_type") == "delete_fillet", "replace_fillet_with_chamfer").otherwise("replace_chamfer_with_fillet").alias("edit_type"),
-            F.col("size").alias("length"), F.lit(0.0).alias("width"),
-        ),
-    )
-    rows = deletions.withColumn("new", F.explode(F.array_compact(F.array(slot, direct))))
-    return rows.select("id", "ordinal", F.col("edit_type").alias("old_type"), "new.*")
+    target = splice(F.col("code"), F.col("span_start"), F.col("span_end"), short_text(F.col("new"), 3))
+    return df.withColumn("new", scaled(F.col("old"), factor)).filter("new is not null").withColumn("target_code", target)
+
+
+def hole_diagnostics(df: DataFrame, category: str, code_column: str = "code") -> DataFrame:
+    """(category, label, n): how often each context of holes occurs in the programs of a category."""
+
+    @F.pandas_udf("array<string>")
+    def labels(codes: pd.Series) -> pd.Series:
+        return pd.Series([hole_contexts(c) for c in codes], dtype=object)
+
+    rows = df.select(category, F.explode(labels(code_column)).alias("label"))
+    return rows.groupBy(category, "label").agg(F.count(F.lit(1)).alias("n"))

@@ -12,12 +12,20 @@ from pyspark.sql import functions as F
 from ..functions.scalars import stable_score
 
 
+#: Stretches of the hashed order of groups that are ranked apart.
+STRETCHES = 4096
+
+
 def diverse_top_k(df: DataFrame, source: str, branch: str, kind: str, score: Column, tie: Column, branch_order: Column, k: int, kind_tie: Column) -> DataFrame:
-    """Per source at most ``k`` rows: branches take turns, within them kinds take turns."""
+    """Per source at most ``k`` rows: branches take turns, within them kinds take turns.
+
+    A row's rank among its kind is at most its rank in the branch, and that its
+    rank in the source, so rows beyond ``k`` go after each step.
+    """
     within = Window.partitionBy(source, branch, kind).orderBy(score.desc(), tie, "sample_id")
-    rows = df.withColumn("__i", F.row_number().over(within))
+    rows = df.withColumn("__i", F.row_number().over(within)).filter(F.col("__i") <= k)
     turn = Window.partitionBy(source, branch).orderBy("__i", kind_tie, kind)
-    rows = rows.withColumn("__n", F.row_number().over(turn))
+    rows = rows.withColumn("__n", F.row_number().over(turn)).filter(F.col("__n") <= k)
     last = Window.partitionBy(source).orderBy("__n", branch_order)
     return rows.withColumn("pick", F.row_number().over(last)).filter(F.col("pick") <= k).drop("__i", "__n")
 
@@ -28,8 +36,10 @@ def balanced_downsample(df: DataFrame, part: str, kind: str, limits: DataFrame,
     rows = df.withColumn("__i", F.row_number().over(of_kind.orderBy(tie, "sample_id"))).withColumn(
         "__size", F.count(F.lit(1)).over(of_kind)
     )
+    # A row's rank in its part is at least its rank among its kind.
+    rows = rows.join(limits, part).filter(F.col("__i") <= F.col("target"))
     order = Window.partitionBy(part).orderBy("__i", "__size", kind_tie, kind)
-    rows = rows.withColumn("__r", F.row_number().over(order)).join(limits, part)
+    rows = rows.withColumn("__r", F.row_number().over(order))
     return rows.filter(F.col("__r") <= F.col("target")).drop("__i", "__size", "__r")
 
 
@@ -71,14 +81,39 @@ def water_fill(counts: DataFrame, key: str, target: Column, group: list[str] | N
     )
 
 
-def stratified_cap(df: DataFrame, kind: str, part: str, target: int, tie: Column) -> DataFrame:
-    """``target`` rows: kinds by water filling, parts of a kind by largest remainder, then by ``tie``."""
-    strata = df.groupBy(kind, part).agg(F.count(F.lit(1)).alias("n"))
+def stratified_cap(df: DataFrame, kind: str, part: str | list[str], target: int, tie: Column, score: Column | None = None) -> DataFrame:
+    """``target`` rows: kinds by water filling, parts of a kind by largest remainder, level by level, then the best by score and tie."""
+    parts = [part] if isinstance(part, str) else part
+    strata = df.groupBy(kind, *parts).agg(F.count(F.lit(1)).alias("n"))
     kinds = strata.groupBy(kind).agg(F.sum("n").alias("n"))
-    of_kind = water_fill(kinds, kind, F.lit(target)).select(kind, F.col("quota").alias("__kind_quota"))
-    quota = largest_remainder(strata.join(of_kind, kind), part, F.col("__kind_quota"), [kind])
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(kind, part).orderBy(tie, "sample_id")))
-    return ranked.join(quota.select(kind, part, "quota"), [kind, part]).filter(F.col("__r") <= F.col("quota")).drop("__r", "quota")
+    quota = water_fill(kinds, kind, F.lit(target)).select(kind, "quota")
+    for level in range(len(parts)):
+        above, here = [kind, *parts[:level]], parts[level]
+        counts = strata.groupBy(*above, here).agg(F.sum("n").alias("n")).join(quota.withColumnRenamed("quota", "__above"), above)
+        quota = largest_remainder(counts, here, F.col("__above"), above).select(*above, here, "quota")
+    best = [score.desc()] if score is not None else []
+    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(kind, *parts).orderBy(*best, tie, "sample_id")))
+    return ranked.join(quota, [kind, *parts]).filter(F.col("__r") <= F.col("quota")).drop("__r", "quota")
+
+
+def branch_caps(df: DataFrame, branch: str, caps: dict[str, int | None], kind: str, parts: list[str], tie: Column, score: Column | None = None) -> DataFrame:
+    """Each branch of ``caps`` with at most its number of rows, all of them where it is None; others go.
+
+    Whatever the quotas leave open is filled with the best of the rest.
+    """
+    kept = None
+    for name, most in caps.items():
+        rows = df.filter(F.col(branch) == name)
+        if most is not None:
+            picked = stratified_cap(rows, kind, parts, most, tie, score)
+            rest = rows.join(picked.select("sample_id"), "sample_id", "left_anti")
+            lacking = most - picked.count()
+            best = [score.desc()] if score is not None else []
+            rows = picked.select(*rows.columns)
+            if lacking > 0:
+                rows = rows.unionByName(rest.orderBy(*best, tie, "sample_id").limit(lacking))
+        kept = rows if kept is None else kept.unionByName(rows)
+    return df.limit(0) if kept is None else kept
 
 
 def sample_per_key(df: DataFrame, keys: list[str], k: int, order: list[Column]) -> DataFrame:
@@ -94,12 +129,26 @@ def one_per_stratum(df: DataFrame, keys: list[str], total: int, first: list[Colu
     return rows.orderBy(F.desc("is_first"), *fill).limit(total)
 
 
+def first_per_key(df: DataFrame, keys: list[str], k: int, arrival: Column) -> DataFrame:
+    """The first ``k`` rows of each key as they arrived."""
+    return sample_per_key(df, keys, k, [arrival])
+
+
 def grouped_split(df: DataFrame, group: str, seed: int, train: float = 0.8, val: float = 0.1) -> DataFrame:
-    """Whole groups to train, val or test by a hashed order of the groups."""
-    groups = df.select(group).distinct()
-    order = Window.partitionBy(F.lit(0)).orderBy(stable_score(F.lit(seed), F.col(group)), group)
+    """Whole groups to train, val or test by a hashed order of the groups.
+
+    The order is cut into stretches of the hash; groups are ranked within a
+    stretch, and the stretches' counts are added up, so no task sorts all groups.
+    """
+    score = stable_score(F.lit(seed), F.col(group))
+    groups = df.select(group).distinct().withColumn("__s", score)
+    groups = groups.withColumn("__stretch", F.least(F.floor(F.col("__s") * STRETCHES), F.lit(STRETCHES - 1)).cast("int"))
+    counts = groups.groupBy("__stretch").agg(F.count(F.lit(1)).alias("__c"))  # at most STRETCHES rows
+    in_order = Window.partitionBy(F.lit(0)).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))
-    ranked = groups.withColumns({"__r": F.row_number().over(order), "__n": F.count(F.lit(1)).over(whole)})
+    starts = counts.select("__stretch", F.coalesce(F.sum("__c").over(in_order), F.lit(0)).alias("__before"), F.sum("__c").over(whole).alias("__n"))
+    local = F.row_number().over(Window.partitionBy("__stretch").orderBy("__s", group))
+    ranked = groups.withColumn("__l", local).join(F.broadcast(starts), "__stretch").withColumn("__r", F.col("__before") + F.col("__l"))
     to_train = F.bround(F.col("__n") * F.lit(train))
     to_val = to_train + F.least(F.bround(F.col("__n") * F.lit(val)), F.col("__n") - to_train)
     split = F.when(F.col("__r") <= to_train, "train").when(F.col("__r") <= to_val, "val").otherwise("test")

@@ -8,35 +8,12 @@ facts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import instructions as I
 from ..functions import scalars as S
-from ..operators import candidates, graph, joins, policies, reports, rules, selection, stats, verify
-from . import stages
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    """Register a query of (spark, sf_dir) under its name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from ..operators import graph, joins, reports, rules, selection, stats, verify
+from .registry import QUERIES, SQL, query, table
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as samples, with labels."""
@@ -93,17 +70,9 @@ def gate_all_reasons(spark, sf_dir):
     return rules.reason_counts(samples(spark, sf_dir), rules.all_reasons(_rules()))
 
 
-@query(f"""WITH {SAMPLES}, r AS (SELECT 'validation:' || substr(text, 1, 12) AS reason FROM samples WHERE quality = 0)
-SELECT reason, count(*) AS n FROM r GROUP BY reason ORDER BY n DESC, reason LIMIT 30""")
-def rejection_topk(spark, sf_dir):
-    bad = samples(spark, sf_dir).filter("quality = 0")
-    return stats.most_common(bad.select(F.concat(F.lit("validation:"), F.substring("text", 1, 12)).alias("reason")), "reason", 30)
-
-
 @query(f"""WITH {SAMPLES}, r AS (SELECT 'validation:' || text AS reason FROM samples WHERE quality = 0)
 SELECT reason, count(*) AS n FROM r GROUP BY reason ORDER BY n DESC, reason LIMIT 30""")
-def rejection_topk_whole(spark, sf_dir):
-    """As rejection_topk, with whole texts as reasons."""
+def rejection_topk(spark, sf_dir):
     bad = samples(spark, sf_dir).filter("quality = 0")
     return stats.most_common(bad.select(F.concat(F.lit("validation:"), "text").alias("reason")), "reason", 30)
 
@@ -334,11 +303,12 @@ h AS (SELECT *, row_number() OVER (PARTITION BY is_full ORDER BY n DESC, {key} D
 q AS (SELECT *, CAST(CASE WHEN is_full THEN n ELSE rest // greatest(m, 1) + CASE WHEN r <= rest % greatest(m, 1) THEN 1 ELSE 0 END END AS BIGINT) AS quota FROM h)"""
 
 
-@query(f"""WITH c AS (SELECT p_brand, count(*) AS n FROM part WHERE p_size < 20 OR p_brand < 'Brand#3' GROUP BY 1),
-{_FILL.format(target=1200, part='', key='p_brand', rows='c')} SELECT p_brand, n, quota FROM q""")
+@query(f"""WITH c AS (SELECT p_brand || '/' || p_size // 8 AS kind, count(*) AS n FROM part GROUP BY 1),
+{_FILL.format(target=900, part='', key='kind', rows='c')} SELECT kind, n, quota FROM q""")
 def waterfill_quota(spark, sf_dir):
-    part = table(spark, sf_dir, "part").filter("p_size < 20 or p_brand < 'Brand#3'")
-    return selection.water_fill(part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")), "p_brand", F.lit(1200))
+    kind = F.concat_ws("/", "p_brand", F.floor(F.col("p_size") / 8).cast("string"))
+    counts = table(spark, sf_dir, "part").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return selection.water_fill(counts, "kind", F.lit(900))
 
 
 @query(f"""WITH {SAMPLES}, st AS (SELECT edit_type, source, count(*) AS n FROM samples GROUP BY 1, 2),
@@ -379,33 +349,16 @@ def grouped_split(spark, sf_dir):
     return selection.grouped_split(docs, "source", 11).select("doc_id", "source", "split")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, -l_suppkey AS b FROM lineitem WHERE l_orderkey % 400 = 0),
-x AS (SELECT a, b FROM e UNION SELECT b, a FROM e), w(n, m) AS (SELECT a, a FROM x UNION SELECT w.n, x.b FROM w JOIN x ON w.m = x.a)
-SELECT n AS node, min(m) AS component FROM w GROUP BY n""")
-def connected_components(spark, sf_dir):
-    """Parts and suppliers (negative) that the line items of every 400th order join."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 400 = 0")
-    return graph.components(lines.select(F.col("l_partkey").alias("a"), (-F.col("l_suppkey")).alias("b")))
-
-
 @query()
-def connected_components_whole(spark, sf_dir):
+def connected_components(spark, sf_dir):
     """Parts p and suppliers s (as -1 - s, as both count from 0) that any line items join, without SQL."""
     lines = table(spark, sf_dir, "lineitem").filter("l_partkey is not null and l_suppkey is not null")
     return graph.components(lines.select(F.col("l_partkey").alias("a"), (-1 - F.col("l_suppkey")).alias("b")))
 
 
-@query(r"""SELECT doc_id, CASE WHEN length(b) > 0 THEN trim(b) END AS code FROM (
-  SELECT doc_id, regexp_extract('See:' || chr(10) || '```python' || chr(10) || substr(text, 1, 40) || '```' || chr(10) || 'end', '```[A-Za-z]*\n(.*?)```', 1, 's') AS b FROM documents)""")
-def code_block_extract(spark, sf_dir):
-    text = F.concat(F.lit("See:\n```python\n"), F.substring("text", 1, 40), F.lit("```\nend"))
-    return table(spark, sf_dir, "documents").select("doc_id", S.fenced_code(text).alias("code"))
-
-
 @query(r"""SELECT doc_id, CASE WHEN length(b) > 0 THEN trim(b) END AS code FROM (
   SELECT doc_id, regexp_extract('See:' || chr(10) || '```python' || chr(10) || text || '```' || chr(10) || 'end', '```[A-Za-z]*\n(.*?)```', 1, 's') AS b FROM documents)""")
-def code_block_extract_whole(spark, sf_dir):
-    """As code_block_extract, of whole texts."""
+def code_block_extract(spark, sf_dir):
     text = F.concat(F.lit("See:\n```python\n"), "text", F.lit("```\nend"))
     return table(spark, sf_dir, "documents").select("doc_id", S.fenced_code(text).alias("code"))
 
@@ -415,10 +368,10 @@ def tag_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", S.tagged(F.col("html"), "title").alias("title"))
 
 
-@query(r"""SELECT doc_id, regexp_matches(lower(text), '\b(add|the|remove)\b') OR contains(lower(text), '%%%') AS found FROM documents WHERE lang = 'en'""")
+@query(r"""SELECT doc_id, regexp_matches(lower(text), '\b(add|the|remove)\b') OR contains(lower(text), '%%%') AS found FROM documents""")
 def token_match_word_boundary(spark, sf_dir):
     found = S.contains_any(F.col("text"), ["add", "the", "remove", "%%%"])
-    return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", found.alias("found"))
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("found"))
 
 
 @query(r"""SELECT doc_id, regexp_matches(text, '[\x{4e00}-\x{9fff}]') AS cjk FROM documents""")
@@ -426,75 +379,6 @@ def cjk_flag(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", S.has_cjk(F.col("text")).alias("cjk"))
 
 
-@query(r"""SELECT p_partkey, regexp_replace(regexp_replace(printf('%.3f', p_size / 4.0), '(\.\d*?)0+$', '\1'), '\.$', '') AS short,
-  printf('%.2f', p_size / 4.0) AS two FROM part""")
-def number_format_variants(spark, sf_dir):
-    value = F.col("p_size") / 4.0
-    return table(spark, sf_dir, "part").select("p_partkey", S.format_number(value).alias("short"), S.number_variants(value)[1].alias("whole"), F.format_string("%.2f", value).alias("two")).drop("whole")
-
-
-_EDITS = """CASE event_type WHEN 'click' THEN 'parameter_hole' WHEN 'view' THEN 'add_blind_hole' WHEN 'purchase' THEN 'delete_fillet' ELSE 'replace_hole_with_slot' END"""
-
-
-def _edit_type() -> Column:
-    e = F.col("event_type")
-    return F.when(e == "click", "parameter_hole").when(e == "view", "add_blind_hole").when(e == "purchase", "delete_fillet").otherwise("replace_hole_with_slot")
-
-
-@query(f"""WITH e AS (SELECT event_id, {_EDITS} AS t, CAST(user_id AS VARCHAR) AS n FROM events)
-SELECT event_id, CASE t WHEN 'parameter_hole' THEN 'Change the hole from ' || n || ' mm to ' || n || ' mm and keep all other geometry unchanged.'
-  WHEN 'add_blind_hole' THEN 'Add a blind hole of size ' || n || ' mm and keep all other geometry unchanged.'
-  WHEN 'delete_fillet' THEN 'Remove the fillet and keep all other geometry unchanged.'
-  ELSE 'Replace the hole with slot and keep all other geometry unchanged.' END AS instruction FROM e""")
-def fallback_template(spark, sf_dir):
-    text = I.template(_edit_type(), F.col("user_id"), F.col("user_id"))
-    return table(spark, sf_dir, "events").select("event_id", text.alias("instruction"))
-
-
-_SAID = """CASE CAST(event_id % 5 AS INT) WHEN 0 THEN 'Add a hole and keep the rest.' WHEN 1 THEN 'Remove the fillet.' WHEN 2 THEN ''
-  WHEN 3 THEN 'Replace it in the workplane, all else unchanged' ELSE 'Move the slot' END"""
-_WORD = r"regexp_matches(lower(s), '\b({0})\b')"
-_ADDS, _DELS, _REPS, _MOVES, _KEEPS = (
-    _WORD.format("|".join(w)) for w in (I.ADD_WORDS, I.DELETE_WORDS, I.REPLACE_WORDS, I.MOVE_WORDS, I.KEEP_WORDS)
-)
-_WHY = f"""e AS (SELECT event_id, {_EDITS} AS t, trim({_SAID}) AS s FROM events),
-m AS (SELECT *, CASE WHEN t LIKE 'add@_%' ESCAPE '@' THEN 'a' WHEN t LIKE 'delete@_%' ESCAPE '@' THEN 'd' WHEN t LIKE 'replace@_%' ESCAPE '@' THEN 'r' ELSE 'p' END AS k FROM e),
-w AS (SELECT event_id, list_filter([
-  CASE WHEN s = '' THEN 'empty instruction' END,
-  CASE WHEN contains(lower(s), 'cq') OR contains(lower(s), 'workplane') OR contains(lower(s), '```') OR contains(lower(s), 'result =') THEN 'instruction contains code or implementation detail' END,
-  CASE WHEN {_MOVES} THEN 'instruction mentions unsupported move/rotate/copy edit' END,
-  CASE WHEN NOT {_KEEPS} THEN 'instruction does not preserve other geometry' END,
-  CASE WHEN k = 'p' AND ({_ADDS} OR {_DELS} OR {_REPS}) THEN 'parameter instruction mentions structural edit' END,
-  CASE WHEN k = 'a' AND NOT {_ADDS} THEN 'structural add instruction does not mention add operation' END,
-  CASE WHEN k = 'a' AND ({_DELS} OR {_REPS}) THEN 'structural add instruction mentions delete or replace' END,
-  CASE WHEN k = 'd' AND NOT {_DELS} THEN 'structural delete instruction does not mention delete operation' END,
-  CASE WHEN k = 'd' AND ({_ADDS} OR {_REPS}) THEN 'structural delete instruction mentions add or replace' END,
-  CASE WHEN k = 'r' AND NOT {_REPS} THEN 'structural replace instruction does not mention replace operation' END], lambda x: x IS NOT NULL) AS reasons FROM m)"""
-
-
-def _why(spark, sf_dir) -> DataFrame:
-    n = F.col("event_id") % 5
-    said = (
-        F.when(n == 0, "Add a hole and keep the rest.").when(n == 1, "Remove the fillet.").when(n == 2, "")
-        .when(n == 3, "Replace it in the workplane, all else unchanged").otherwise("Move the slot")
-    )
-    return table(spark, sf_dir, "events").select("event_id", I.validation_reasons(said, _edit_type()).alias("reasons"))
-
-
-@query(f"WITH {_WHY} SELECT event_id, array_to_string(reasons, '; ') AS reasons FROM w")
-def validate_instruction(spark, sf_dir):
-    return _why(spark, sf_dir).select("event_id", F.concat_ws("; ", "reasons").alias("reasons"))
-
-
-@query(f"""WITH {_WHY}, u AS (SELECT event_id, unnest(reasons) AS r, generate_subscripts(reasons, 1) AS i FROM w),
-k AS (SELECT event_id, i, CASE WHEN contains(r, 'preserve') THEN 'unchanged geometry wasn''t named' WHEN contains(r, 'code or implementation') THEN 'code was exposed'
-  WHEN contains(r, 'not English') THEN 'it wasn''t English' WHEN contains(r, 'mention') THEN 'the operation was wrong' ELSE r END AS c FROM u),
-d AS (SELECT event_id, c, min(i) AS i FROM k GROUP BY 1, 2)
-SELECT event_id, 'Template used because ' || string_agg(c, '; ' ORDER BY i) || '.' AS summary FROM d GROUP BY event_id""")
-def fallback_reason_summary(spark, sf_dir):
-    return _why(spark, sf_dir).filter(F.size("reasons") > 0).select("event_id", I.summary(F.col("reasons")).alias("summary"))
-
-
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_extract_outermost(spark, sf_dir):
     wrapped = F.concat(F.lit("Here: ```json\n"), "props", F.lit("\n``` done"))
@@ -516,57 +400,6 @@ def bbox_algebra(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(x * y * z, 6).alias("volume"), S.box_within(b, unit).alias("inside"))
 
 
-def _facts(spark, sf_dir) -> tuple[DataFrame, dict]:
-    """Line items as measured facts: a part of l_quantity cubed with a hole in it."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    q = F.col("l_quantity")
-    return lines, {"v0": q * q * q, "cut": q * q * F.col("l_discount"), "box": S.box([F.lit(0.0)] * 3, [q, q, q]), "q": q}
-
-
-@query("""WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_quantity * l_quantity * l_quantity AS v0, l_quantity * l_quantity * l_discount AS cut, l_tax FROM lineitem),
-c AS (SELECT *, round((v0 - cut) - v0, 4) AS delta, cut * (1 + 5 * l_tax) AS changed FROM f),
-k AS (SELECT *, v0 > 1e-6 AS c1, v0 - cut > 1e-6 AS c2, delta < -1e-6 AS c3, changed > 1e-6 AND q / 2 <= q / 4 + q * 0.02 + q * 0.25 + 1e-3 AS c6,
-  abs(abs(delta) - changed) <= greatest(abs(delta) * 0.25, 1e-3) AS c7 FROM c)
-SELECT l_orderkey, l_linenumber, c1 AND c2 AND c3 AND c6 AND c7 AS ok, array_to_string(list_filter([CASE WHEN NOT c1 THEN 'failed check: original_executes' END,
-  CASE WHEN NOT c2 THEN 'failed check: edited_executes' END, CASE WHEN NOT c3 THEN 'failed check: volume_direction_ok' END,
-  CASE WHEN NOT c6 THEN 'failed check: locality_ok' END, CASE WHEN NOT c7 THEN 'failed check: volume_delta_matches_changed_region' END], lambda x: x IS NOT NULL), ';') AS errors FROM k""")
-def policy_add(spark, sf_dir):
-    lines, f = _facts(spark, sf_dir)
-    q, changed = f["q"], f["cut"] * (1 + 5 * F.col("l_tax"))
-    checks = policies.added(f["v0"], f["v0"] - f["cut"], f["box"], f["box"], S.box([F.lit(0.0)] * 3, [q, q, q]), changed, f["box"])
-    return lines.select("l_orderkey", "l_linenumber", policies.accepted(checks).alias("ok"), F.concat_ws(";", rules.failed_checks(checks)).alias("errors"))
-
-
-@query("""WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity * l_quantity * l_quantity AS v0, l_quantity * l_quantity * l_discount AS cut, l_tax, l_discount FROM lineitem),
-c AS (SELECT *, round(v0 - (v0 - cut), 4) AS delta, cut * (1 + 5 * l_tax) AS changed FROM f)
-SELECT l_orderkey, l_linenumber, v0 - cut > 1e-6 AND v0 > 1e-6 AND delta > 1e-6 AND changed > 1e-6 AND (l_discount * 10 <= 0.8)
-  AND abs(delta - changed) <= greatest(delta * 0.25, 1e-3) AS ok FROM c""")
-def policy_cutout(spark, sf_dir):
-    lines, f = _facts(spark, sf_dir)
-    q, size = f["q"], F.col("l_discount") * 10
-    checks = policies.cutout_deleted(f["v0"] - f["cut"], f["v0"], f["box"], f["box"], f["cut"] * (1 + 5 * F.col("l_tax")), [q * size, q * size, q])
-    return lines.select("l_orderkey", "l_linenumber", policies.accepted(checks).alias("ok"))
-
-
-@query("""WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity * l_quantity * l_quantity AS v0, l_quantity * l_quantity * l_discount AS cut, l_tax FROM lineitem)
-SELECT l_orderkey, l_linenumber, v0 - cut > 1e-6 AND v0 > 1e-6 AND l_tax < 0.05 AND abs(round(v0 - (v0 - cut), 4)) > greatest((v0 - cut) * 1e-7, 1e-4)
-  AND cut > greatest((v0 - cut) * 1e-7, 1e-4) AS ok FROM f""")
-def policy_finishing(spark, sf_dir):
-    lines, f = _facts(spark, sf_dir)
-    checks = policies.finishing_deleted(f["v0"] - f["cut"], f["v0"], F.col("l_tax") < 0.05, f["cut"])
-    return lines.select("l_orderkey", "l_linenumber", policies.accepted(checks).alias("ok"))
-
-
-@query("SELECT p_partkey, round(p_size / 2.0 * 4.4, 6) AS length, round(p_size / 2.0 * 1.5, 6) AS width FROM part")
-def slot_sizing(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("id"), F.lit(0).alias("ordinal"), F.lit("delete_hole").alias("edit_type"),
-        F.col("p_size").cast("double").alias("size"), F.lit(None).cast("int").alias("sides"), F.lit(1).alias("repeats"),
-    )
-    slots = candidates.slot_replacements(part)
-    return slots.select(F.col("id").cast("long").alias("p_partkey"), F.round("length", 6).alias("length"), F.round("width", 6).alias("width"))
-
-
 @query("SELECT p_partkey, round(p_size * cos(pi() / (3 + p_partkey % 6)), 6) AS radius FROM part")
 def polygon_to_circle(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.round(S.inscribed_radius(F.col("p_size"), 3 + F.col("p_partkey") % 6), 6).alias("radius"))
@@ -578,42 +411,6 @@ def span_splice(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", S.splice(F.col("text"), F.lit(3), F.lit(7), new).alias("text"))
 
 
-def _programs(spark, sf_dir) -> DataFrame:
-    """A program for each part: a plate, with a feature by the part's number."""
-    size, n = F.col("p_size").cast("string"), F.col("p_partkey") % 6
-    plate = F.concat(F.lit('import cadquery as cq\nresult = cq.Workplane("XY").box(80, 60, '), size, F.lit(")"))
-    ring = F.concat(F.lit('import cadquery as cq\nbody = cq.Workplane("XY").circle(88).extrude('), size, F.lit(")\n"))
-    code = (
-        F.when(n == 0, F.concat(plate, F.lit('.faces(">Z").workplane().hole(10)\n')))
-        .when(n == 1, F.concat(plate, F.lit('.edges("|Z").fillet(5)\n')))
-        .when(n == 2, F.concat(plate, F.lit('.edges("|Z").chamfer(4)\n')))
-        .when(n == 3, F.concat(ring, F.lit('result = body.cut(cq.Workplane("XY").circle(46).extrude(40))\n')))
-        .when(n == 4, F.concat(ring, F.lit('cutter = cq.Workplane("XY").polygon(6, 30).extrude(40)\nresult = body.cut(cutter)\n')))
-        .otherwise(F.concat(plate, F.lit('.faces(">Z").workplane()\nfor i in range(3):\n    result = result.rotate((0, 0, 0), (0, 0, 1), 120).hole(6)\n')))
-    )
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), code.alias("code"))
-
-
-@query()
-def candidates_udtf(spark, sf_dir):
-    """Numbers of each part's program, and the program with each scaled."""
-    programs = _programs(spark, sf_dir)
-    found = candidates.parameter_candidates(programs).join(programs, "id")
-    return candidates.scaled_programs(found).drop("code")
-
-
-@query()
-def delete_spans_udtf(spark, sf_dir):
-    """Features of each part's program that may be deleted."""
-    return candidates.deletion_candidates(_programs(spark, sf_dir))
-
-
-@query()
-def replace_candidates(spark, sf_dir):
-    """What may take the place of each deleted feature."""
-    return candidates.slot_replacements(candidates.deletion_candidates(_programs(spark, sf_dir)))
-
-
 @query("""WITH c AS (SELECT l_suppkey % 8 AS chunk, l_returnflag, count(*) AS candidates, count(*) FILTER (l_quantity > 25) AS validated, max(l_extendedprice) AS elapsed FROM lineitem GROUP BY 1, 2)
 SELECT l_returnflag, CAST(sum(candidates) AS BIGINT) AS candidates, CAST(sum(validated) AS BIGINT) AS validated, max(elapsed) AS elapsed, round(sum(validated) * 100.0 / sum(candidates), 4) AS pass_rate FROM c GROUP BY 1""")
 def chunk_merge_agg(spark, sf_dir):
@@ -647,16 +444,9 @@ def markdown_report(spark, sf_dir):
     return reports.markdown_rows(counts, ["lang", "n"], [F.desc("n"), F.col("lang")])
 
 
-@query("""SELECT page_id, '<article><h2>' || replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</h2><pre>'
-  || replace(replace(replace(replace(replace(substr(html, 1, 60), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</pre></article>' AS card FROM pages""")
-def html_cards(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", reports.card(F.col("url"), F.substring("html", 1, 60)).alias("card"))
-
-
 @query("""SELECT page_id, '<article><h2>' || replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</h2><pre>'
   || replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '</pre></article>' AS card FROM pages""")
-def html_cards_whole(spark, sf_dir):
-    """As html_cards, of whole pages."""
+def html_cards(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", reports.card(F.col("url"), F.col("html")).alias("card"))
 
 
@@ -667,12 +457,13 @@ def safe_names_and_cache_keys(spark, sf_dir):
     )
 
 
-@query("""WITH c AS (SELECT substr(sha256(source), 1, 16) AS k, min(doc_id) AS cached FROM documents WHERE doc_id < 12 GROUP BY 1)
-SELECT doc_id, cached, cached IS NOT NULL AS hit FROM documents LEFT JOIN c ON substr(sha256(source), 1, 16) = k""")
+@query("""WITH c AS (SELECT substr(sha256(lang || '|' || source), 1, 16) AS k, min(page_id) AS cached FROM pages JOIN documents ON page_id = doc_id GROUP BY 1)
+SELECT doc_id, cached, cached IS NOT NULL AS hit FROM documents LEFT JOIN c ON substr(sha256(lang || '|' || source), 1, 16) = k""")
 def cache_lookup(spark, sf_dir):
-    """Answers by content key; here those of the first twelve documents are cached."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", reports.cache_key(F.col("source")).alias("k"))
-    cached = docs.filter("doc_id < 12").select("k", F.col("doc_id").alias("cached"))
+    """Answers by content key; here pages are the answers to the documents of their numbers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", reports.cache_key(F.col("lang"), F.col("source")).alias("k"))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("cached"))
+    cached = docs.join(pages, F.col("doc_id") == F.col("cached")).select("k", "cached")
     return joins.lookup(docs, cached, "k", [F.col("cached")]).select("doc_id", "cached", F.col("matched").alias("hit"))
 
 
@@ -689,14 +480,6 @@ def set_operations(spark, sf_dir):
     return out
 
 
-@query("""SELECT vec_id, CASE WHEN abs(embedding[1]) >= abs(embedding[2]) AND abs(embedding[1]) >= abs(embedding[3]) THEN 'x'
-  WHEN abs(embedding[2]) >= abs(embedding[3]) THEN 'y' ELSE 'z' END AS axis FROM embeddings""")
-def dominant_axis(spark, sf_dir):
-    x, y, z = (F.abs(F.col("embedding")[i]) for i in range(3))
-    axis = F.when((x >= y) & (x >= z), "x").when(y >= z, "y").otherwise("z")
-    return table(spark, sf_dir, "embeddings").select("vec_id", axis.alias("axis"))
-
-
 @query("""SELECT event_type, sum(CAST(value > 50 AS INT)) AS passed, count(*) AS n, bool_and(value >= 0) AS ready FROM events GROUP BY event_type""")
 def readiness(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(
@@ -704,14 +487,4 @@ def readiness(spark, sf_dir):
     )
 
 
-@query()
-def assembled_training_rows(spark, sf_dir):
-    """Programs through all stages: pool, select, cap, instruct, export."""
-    edits = stages.cap(stages.select(stages.pool(_programs(spark, sf_dir)), 17), 400, 17)
-    return stages.exports(stages.instruct(edits))["training"]
-
-
-@query()
-def training_leaks(spark, sf_dir):
-    """No instruction of the assembled rows shows code: an empty table."""
-    return stages.leaks(assembled_training_rows(spark, sf_dir))
+from . import edits  # noqa: E402, F401 - registers the queries over programs, records and instructions

@@ -7,15 +7,16 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomwright.functions import instructions, scalars
-from loomwright.operators import candidates, graph, joins, rules, selection
-from loomwright.sources import jsonl
+from loomwright.functions import instructions, numbers, records, scalars
+from loomwright.operators import candidates, graph, joins, reports, rules, selection
+from loomwright.sources import images, jsonl, providers
 from loomwright.streaming import resume
 
 QUIET = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def test_water_fill_published_case(spark):
+    # Published counts.
     have = {"chamfer": 1122, "circle": 6402, "extrude": 15971, "fillet": 2171, "hole": 2845}
     rows = spark.createDataFrame(list(have.items()), "k string, n long")
     got = {r.k: r.quota for r in selection.water_fill(rows, "k", F.lit(10000)).collect()}
@@ -86,45 +87,142 @@ def test_reasons(spark):
     assert [(r.a, r.b) for r in got] == [("small", ["small", "odd"]), (None, []), ("missing", ["missing"])]
 
 
-BOX = 'import cadquery as cq\nresult = cq.Workplane("XY").box(80, 60, 20)'
+BLOCK = 'import cadquery as cq\nresult = cq.Workplane("XZ").box(41, 29, 13)'
 
 
 def test_parameters_and_scaling(spark):
-    code = "r = w.circle(88).extrude(é_1, 3)\nr = r.box(1, -2, True)"
-    assert [x[:4] + x[6:] for x in candidates.parameters_of(code)] == [("circle", "circle", 0, 88.0, "88"), ("box", "box", 0, 1.0, "1")]
-    df = spark.createDataFrame([("p", "w.circle(88)")], "id string, code string")
-    out = candidates.scaled_programs(candidates.parameter_candidates(df).join(df, "id")).first()
-    assert (out.new, out.target_code) == (132.0, "w.circle(132)")
+    code = "r = w.circle(17).extrude(é_1, 3)\nr = r.box(1, -2, True).cboreHole(5, 9, 2)"
+    found = candidates.parameters_of(code)
+    assert [x[:4] + x[6:] for x in found] == [("circle", "circle", 0, 17.0, "17"), ("box", "box", 0, 1.0, "1"), ("hole", "cboreHole", 0, 5.0, "5")]
+    df = spark.createDataFrame([("p", "é = w.circle(88)"), ("q", "w.hole(0.001)")], "id string, code string")
+    out = {r.id: (r.new, r.target_code) for r in candidates.scaled_programs(candidates.parameter_candidates(df)).collect()}
+    assert out == {"p": (132.0, "é = w.circle(132)"), "q": (0.002, "w.hole(0.002)")}
     assert candidates.parameters_of("not (a program") == [] and candidates.parameters_of(None) == []
 
 
 def test_deletions():
-    hole = BOX + '.faces(">Z").workplane().hole(10)'
-    assert [(x[0], x[1], x[6]) for x in candidates.deletions_of(hole)] == [("delete_hole", 10.0, '.faces(">Z").workplane().hole(10)')]
-    assert candidates.deletions_of(hole)[0][7] == BOX
-    assert candidates.deletions_of(BOX + '.faces(">Z").workplane().pushPoints([(0, 0)]).hole(10)') == []
-    assert [x[:2] for x in candidates.deletions_of(BOX + '.edges("|Z").fillet(5)')] == [("delete_fillet", 5.0)]
-    loop = BOX + '.faces(">Z").workplane()\nfor i in range(3):\n    result = result.rotate((0, 0, 0), (0, 0, 1), 120).hole(6)\n'
-    assert [x[:4] for x in candidates.deletions_of(loop)] == [("delete_hole", 6.0, None, 3)]
-    ring = 'b = w.circle(88).extrude(32)\nresult = b.cut(w.polygon(6, 30).extrude(32))'
-    assert [x[:3] for x in candidates.deletions_of(ring)] == [("delete_polygonal_cutout", 30.0, 6)]
+    hole = BLOCK + '.faces(">Y").workplane().hole(9)'
+    assert [(x[0], x[1], x[6]) for x in candidates.deletions_of(hole)] == [("delete_hole", 9.0, '.faces(">Y").workplane().hole(9)')]
+    assert candidates.deletions_of(hole)[0][7] == BLOCK
+    placed = BLOCK + '.faces(">Y").workplane().pushPoints([(0, 0)]).hole(9)'
+    assert candidates.deletions_of(placed) == []
+    assert [x[:2] for x in candidates.deletions_of(BLOCK + '.edges("|Y").chamfer(2)')] == [("delete_chamfer", 2.0)]
+    loop = BLOCK + '.faces(">Y").workplane()\nfor k in range(5):\n    result = result.rotate((0, 0, 0), (0, 1, 0), 72).hole(4)\n'
+    assert [x[:4] for x in candidates.deletions_of(loop)] == [("delete_hole", 4.0, None, 5)]
+    disc = 'b = w.circle(50).extrude(12)\nresult = b.cut(w.polygon(5, 18).extrude(12))'
+    assert [x[:3] for x in candidates.deletions_of(disc)] == [("delete_polygonal_cutout", 18.0, 5)]
+    assert candidates.hole_contexts(hole) == ["hole_calls_total", "single_high_confidence_hole"]
+    assert candidates.hole_contexts(placed)[1] == "pushpoints_rarray_polararray" and candidates.hole_contexts(loop)[1] == "simple_loop_holes"
+    assert candidates.hole_contexts("x = y.hole(d)")[1] == "non_numeric_diameter" and candidates.hole_contexts("x = y.hole(3)")[1] == "other_unsupported_hole_contexts"
+    assert candidates.hole_contexts("x = (") == ["hole_parse_error_records"] and candidates.hole_contexts(None) == ["records_without_code"]
 
 
 def test_numbers_and_text(spark):
-    df = spark.createDataFrame([(1.5, "Add a hole"), (10.0, "address 汉"), (0.125, "Keep {\"k\": 1} it")], "x double, t string")
+    df = spark.createDataFrame([(1.5, "Add a hole"), (10.0, "address 汉"), (0.125, "```json\nKeep {\"k\": 1} it\n```"), (2.0, '{"a": [1')], "x double, t string")
     got = df.select(
         scalars.format_number(F.col("x")).alias("n"), scalars.contains_any(F.col("t"), ["add", "汉"]).alias("c"),
         scalars.has_cjk(F.col("t")).alias("j"), scalars.outermost_json(F.col("t")).alias("o"), scalars.number_variants(F.col("x")).alias("v"),
     ).collect()
-    assert [r.n for r in got] == ["1.5", "10", "0.125"] and [r.c for r in got] == [True, True, False]
-    assert [r.j for r in got] == [False, True, False] and got[2].o == '{"k": 1}' and "10.0" in got[1].v
+    assert [r.n for r in got] == ["1.5", "10", "0.125", "2"] and [r.c for r in got] == [True, True, False, False]
+    assert [r.j for r in got] == [False, True, False, False] and [r.o for r in got] == [None, None, '{"k": 1}', None]
+    assert set(got[1].v) == {"10", "10.0"} and set(got[2].v) == {"0.125", "0.12", "0.1"}
 
 
-def test_instruction_of_each_mode_is_valid(spark):
-    kinds = [("parameter_circle",), ("add_pocket",), ("delete_fillet",), ("replace_hole_with_slot",)]
-    df = spark.createDataFrame(kinds, "t string")
-    text = instructions.template(F.col("t"), F.lit(4), F.lit(6))
-    assert all(r.w == [] for r in df.select(instructions.validation_reasons(text, F.col("t")).alias("w")).collect())
+@QUIET
+@given(st.lists(st.one_of(st.floats(-1e9, 1e9), st.integers(-99999, 99999).map(lambda n: n / 1000), st.sampled_from([2.675, 0.00015, 2.5, 1.0005, -0.00004, 0.0, 1e-30, 5e13])), min_size=1, max_size=60))
+def test_numbers_are_rounded_as_python_does(spark, values):
+    x = F.col("x")
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(
+        "x", numbers.round_exact(x, 4).alias("four"), numbers.round_exact(x, 0).alias("none"), numbers.fixed_text(x, 2).alias("fixed"),
+        numbers.float_text(numbers.round_exact(x, 3)).alias("text"), numbers.float_text(x).alias("whole"),
+    )
+    for r in df.collect():
+        assert (r.four, r.none, r.fixed) == (round(r.x, 4), round(r.x, 0), f"{r.x:.2f}" if abs(r.x) >= 0.005 or r.x >= 0 else r.fixed), r
+        assert float(r.text) == round(r.x, 3) and float(r.whole) == r.x and r.text.strip("-") == repr(abs(round(r.x, 3))), r
+
+
+def test_instruction_of_each_type_is_valid_and_says_its_numbers(spark):
+    df = spark.createDataFrame([(t,) for t in [*instructions.SENTENCES, "parameter_circle"]], "t string")
+    sizes = {n: F.lit(float(i + 2)) for i, n in enumerate(("diameter", "radius", "length", "width", "depth", "distance"))} | {"sides": F.lit(5), "count": F.lit(3)}
+    edit = instructions.edit_of(F.lit("circle"), None, F.lit(4.0), F.lit(6.5), hints=sizes, parameters=sizes, old_feature=sizes, new_feature=sizes)
+    rows = df.select("t", instructions.template(F.col("t"), edit).alias("i"), instructions.validation_reasons(instructions.template(F.col("t"), edit), F.col("t"), edit).alias("w")).collect()
+    said = {r.t: r.i for r in rows}
+    assert said["parameter_circle"] == "Change the circle radius from 4 to 6.5, keeping the rest of the part unchanged."
+    assert said["delete_hole"] == "Remove the group of 3 circular holes with a diameter of 2 mm, keeping the rest of the part unchanged."
+    # A plain polygon or circle replacement doesn't name the diameter that comes first.
+    silent = {"replace_circular_cutout_with_polygonal_cutout", "replace_polygonal_cutout_with_circular_cutout", "delete_polygonal_cutout"}
+    assert {r.t for r in rows if r.w} <= silent and all("missing key dimension" in x for r in rows for x in r.w)
+
+
+def test_programs_in_records(spark, tmp_path):
+    code = 'import cadquery as cq\nresult = cq.Workplane("XY").box(1, 2, 3)'
+    raws = [
+        {"hidden": {"original_code": f" {code}\r\n"}}, {"messages": [{"role": "user", "content": "x"}, {"from": "GPT", "value": f"```python\n{code}\n```"}], "views": "v.PNG"},
+        {"conversations": [{"role": "assistant", "content": [{"text": f"<think>a</think><answer>So:\n{code}\n</answer>"}]}], "id": 7}, {"deep": {"list": ["p.jpg", {"note": f"see\n{code}\n```\nend"}, "p.jpg"]}},
+        {"messages": "none"},
+    ]
+    (tmp_path / "r.jsonl").write_text("".join(json.dumps(r) + "\n" for r in raws) + "3\n")
+    got = records.read_records(jsonl.read_numbered(spark, str(tmp_path / "r.jsonl"))).orderBy("source_line").collect()
+    assert [r.status for r in got] == ["ok"] * 4 + ["no_code", "not_an_object"]
+    assert [r.original_code for r in got[:4]] == [code] * 4
+    assert [r.images for r in got[:4]] == [[], ["v.PNG"], [], ["p.jpg"]] and [r.source_id for r in got] == ["line_000001", "line_000002", "7", "line_000004", "line_000005", "line_000006"]
+
+
+def test_lines_are_numbered_over_blocks(spark, tmp_path):
+    rows = [json.dumps({"n": i, "pad": "x" * (i % 50)}) if i % 7 else "" for i in range(1, 4000)]
+    (tmp_path / "big.jsonl").write_text("\n".join(rows) + "\n")
+    (tmp_path / "small.jsonl").write_text('{"n": 1}\r\n{"n": 2}')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = jsonl.read_numbered(spark, str(tmp_path))
+        assert found.select("file").distinct().count() == 2 and found.rdd.getNumPartitions() > 3
+        assert all(json.loads(r.raw)["n"] == r.source_line for r in found.collect()) and found.count() == sum(map(bool, rows)) + 2
+        assert [r.source_line for r in jsonl.row_range(found.filter("file like '%big%'"), 10, 3).collect()] == [10, 11, 12]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert jsonl.read_lenient(spark, str(tmp_path / "absent"), "n long").count() == 0
+
+
+def test_answers_are_cached_and_retried(spark, tmp_path, monkeypatch):
+    questions = spark.createDataFrame([(f"k{i}", json.dumps({"n": i})) for i in range(5)], "key string, question string")
+    tries = tmp_path / "tries"
+
+    def provider(question):
+        with tries.open("a") as f:
+            f.write(f"{question['n']}\n")
+        if question["n"] == 3 or (question["n"] == 1 and tries.read_text().split().count("1") < 2):
+            raise ValueError("busy")
+        return f"answer {question['n']}"
+
+    found = {r.key: r for r in providers.asked(questions, provider, retries=2).collect()}
+    assert found["k1"].answer == "answer 1" and found["k1"].attempts == 2 and found["k3"].answer is None and "busy" in found["k3"].error
+    cache = str(tmp_path / "cache")
+    first = {r.key: (r.answer, r.cached) for r in providers.with_cache(questions, cache, provider, 0).collect()}
+    assert first["k0"] == ("answer 0", False) and first["k3"] == (None, False)
+    offline = {r.key: (r.answer, r.cached) for r in providers.with_cache(questions, cache, None).collect()}
+    assert offline["k0"] == ("answer 0", True) and offline["k3"] == (None, False)
+    monkeypatch.setenv("SECOND_KEY", "v")
+    assert providers.first_secret(["FIRST_KEY", "SECOND_KEY"]) == ("v", "SECOND_KEY")
+
+
+def test_images_and_reports(spark, tmp_path):
+    (tmp_path / "im").mkdir()
+    (tmp_path / "im/a.png").write_bytes(b"abc")
+    urls = images.data_urls(spark, str(tmp_path / "im")).collect()
+    assert [r.url for r in urls] == ["data:image/png;base64,YWJj"]
+    rows = spark.createDataFrame([(1, ["im/a.png"]), (2, ["im/a.png", "im/b.png"]), (3, [])], "k int, images array<string>")
+    files = images.listing(spark, str(tmp_path))
+    assert [r.k for r in images.with_images(rows, "images", "k", files, str(tmp_path)).collect()] == [1]
+    assert [(r.k, r.missing) for r in images.missing(rows, "images", "k", files, str(tmp_path)).collect()] == [(2, ["im/b.png"])]
+    reports.write_text(spark, str(tmp_path / "s.json"), reports.summary_json({"n": 1, "rows": spark.range(2)}))
+    assert json.loads((tmp_path / "s.json").read_text()) == {"n": 1, "rows": [{"id": 0}, {"id": 1}]}
+    assert reports.guarded(str(tmp_path / "x"), str(tmp_path))
+    for bad in (str(tmp_path), "/etc"):
+        try:
+            reports.guarded(bad, str(tmp_path))
+            raise AssertionError(bad)
+        except ValueError:
+            pass
 
 
 def test_jsonl_lines(spark, tmp_path):

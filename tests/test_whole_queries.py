@@ -1,4 +1,4 @@
-"""Queries over whole tables and whole texts, next to those that their SQL bounds."""
+"""Queries over whole tables and whole texts."""
 
 import random
 
@@ -20,7 +20,7 @@ def test_components_of_all_line_items_match_union_find(spark, tmp_path):
         if part is not None and supplier is not None:
             a, b = sorted((top(part), top(-1 - supplier)))
             parent[b] = a
-    got = {r.node: r.component for r in catalogue.QUERIES["connected_components_whole"](spark, str(tmp_path)).collect()}
+    got = {r.node: r.component for r in catalogue.QUERIES["connected_components"](spark, str(tmp_path)).collect()}
     assert got == {x: top(x) for x in parent}
     assert len(set(got.values())) > 2
 
@@ -32,6 +32,6 @@ def test_whole_texts_pass_through(spark, tmp_path):
     spark.createDataFrame([(i, 0, 0) for i in range(1, 5)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, "u", "<p>" + long)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     run = lambda name: catalogue.QUERIES[name](spark, str(tmp_path)).collect()
-    assert {r.doc_id: r.code for r in run("code_block_extract_whole")} == dict(texts)
-    assert [(r.reason, r.n) for r in run("rejection_topk_whole")] == [(f"validation:{long}", 2), ("validation:short", 1), (f"validation:{long[:-1]}", 1)]
-    assert run("html_cards_whole")[0].card.endswith("&lt;p&gt;" + long + "</pre></article>")
+    assert {r.doc_id: r.code for r in run("code_block_extract")} == dict(texts)
+    assert [(r.reason, r.n) for r in run("rejection_topk")] == [(f"validation:{long}", 2), ("validation:short", 1), (f"validation:{long[:-1]}", 1)]
+    assert run("html_cards")[0].card.endswith("&lt;p&gt;" + long + "</pre></article>")
