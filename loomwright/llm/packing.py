@@ -20,6 +20,7 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ from .common import bucketed_prefix, lean, materialize, table
 
 CAPACITY = 2048
 #: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
-CACHED, LONGEST, PLACE = 32_000_000, 64, 176
+CACHED, LONGEST, PLACE = 80_000_000, 64, 176
+#: A mark after a letter or digit, at the end of a word: the vocabulary always cuts there.
+MARK = re.compile(rb"(?<=[a-z0-9])[!-/:-@\[-`{-~](?=\s|$)")
 _TOKENIZERS: dict[str, "WordCache"] = {}
 
 
@@ -43,6 +46,9 @@ class WordCache:
 
     The vocabulary drops white space, and no token, normalisation or special
     token of it spans white space, so a text's ids are its words' ids in a row.
+    It lower-cases, and letters and marks are never one token, so words are
+    looked up in lower case and without a last mark, unless a text has what may
+    be a special token.
     Two generations of ``CACHED`` bytes bound the memory; words of over
     ``LONGEST`` bytes are never kept.
     """
@@ -77,7 +83,7 @@ class WordCache:
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text."""
-        words = text.split()
+        words = (text if b"<|" in text else MARK.sub(rb" \g<0>", text.lower())).split()
         young = self.young
         try:
             return b"".join([young[w] for w in words])
