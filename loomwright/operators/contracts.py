@@ -8,10 +8,13 @@ worth, whether it parses, is a column that ``with_parsed`` adds.
 from __future__ import annotations
 
 import ast
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions.instructions import FINAL_CODE_WORDS, shows_code
 from ..functions.records import forbidden_fields
@@ -68,23 +71,36 @@ OLD_FEATURES = {
 }
 
 
+def _parses(text: str | None) -> bool:
+    try:
+        ast.parse(text)
+        return True
+    except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
+        return False
+
+
 def parses(code: Column) -> Column:
     """Whether a text is a program by its syntax; it is only parsed, never run."""
 
     @F.pandas_udf("boolean")
     def run(codes: pd.Series) -> pd.Series:
-        def one(text):
-            try:
-                ast.parse(text)
-                return True
-            except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
-                return False
-
-        return pd.Series([one(c) for c in codes], dtype=bool)
+        return pd.Series([_parses(c) for c in codes], dtype=bool)
 
     return run(code)
 
 
+def with_parsed(df: DataFrame, code: str, name: str) -> DataFrame:
+    """``df`` with whether its column ``code`` is a program by its syntax, as a step of its own that filters may read."""
+    at = df.columns.index(code)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flags = pa.array([_parses(c.as_py()) for c in batch.column(at)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns, flags], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, BooleanType())]))
+
+
 class Record:
     """Conditions on paths of a record in the VARIANT column ``record``."""
 

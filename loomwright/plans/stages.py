@@ -95,8 +95,8 @@ def pool(
     out = made[0]
     for more in made[1:]:
         out = out.unionByName(more)
-    ok = contracts.parses(F.col("target_code")) & F.col("target_code").rlike(r"(?m)^\s*result\s*=(?!=)")
-    out = out.withColumn("ok", ok)
+    out = contracts.with_parsed(out, "target_code", "ok")
+    out = out.withColumn("ok", F.col("ok") & F.col("target_code").rlike(r"(?m)^\s*result\s*=(?!=)"))
     return out if keep_failed else out.filter("ok")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -72,6 +74,7 @@ def fan_out(df: DataFrame, path: str, column: str, names: dict[str, str], everyt
 
 def chunks(spark: SparkSession, root: str, summary: str) -> tuple[DataFrame, DataFrame]:
     """(chunk, path) of the files below ``root``/*/, and the chunks that have no file ``summary``."""
-    files = spark.read.format("binaryFile").load(f"{root}/*/*").select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("chunk"), "path")
+    base = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
+    files = spark.read.format("binaryFile").load(f"{root}/*/*").select(F.regexp_extract("path", rf".*/{base}/([^/]+)/", 1).alias("chunk"), "path")
     done = files.filter(F.col("path").endswith(f"/{summary}")).select("chunk").distinct()
     return files.orderBy("chunk", "path"), files.select("chunk").distinct().join(done, "chunk", "left_anti")
