@@ -192,7 +192,7 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
                     size += len(code.table)
                 offset[k, row], mask[k, row] = placed[id(code)], (1 << code.bits) - 1
             row += 1
-    flat = np.concatenate(tables)
+    flat = np.concatenate(tables).astype(np.int32)
     group0 = np.array(group0)
     tiled = [i for i, j in enumerate(jobs) if j.tiles is not None]
     cached = np.array([j.cache_bits for j in jobs])
@@ -212,16 +212,16 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
     active = len(jobs)
 
     def entries(k, todo, value):
-        return flat[off[k, todo] + (value & msk[k, todo]).astype(np.int64)].astype(np.int64)
+        return flat[off[k, todo] + (value & msk[k, todo]).view(np.int64)]
 
     def window(where):
-        return words[where >> 3] >> (where & 7).astype(u)
+        return words[where >> 3] >> (where & 7).view(u)
 
     def extended(prefix, where):
         """The number of a length or distance prefix."""
         extra = np.maximum(prefix - 2, 0) >> 1
-        value = window(where).astype(np.int64) & ((1 << extra) - 1)
-        return np.where(prefix < 4, prefix + 1, ((2 + (prefix & 1)) << extra) + value + 1), where + np.where(prefix < 4, 0, extra)
+        value = window(where).astype(np.int64) & ((1 << extra.astype(np.int64)) - 1)
+        return np.where(prefix < 4, prefix + 1, ((2 + (prefix & 1)).astype(np.int64) << extra) + value + 1), where + np.where(prefix < 4, 0, extra)
 
     for step in range(int(n[0]) if len(n) else 0):
         while n[active - 1] <= step:
@@ -248,7 +248,7 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
         entry = entries(2, todo, value)
         blue, more = entry >> 4, entry & 15
         entry = entries(3, todo, value >> more.astype(u))
-        pixel = (entry >> 4) << 24 | red << 16 | symbol << 8 | blue
+        pixel = (entry >> 4).astype(np.int64) << 24 | (red << 16 | symbol << 8 | blue)
         size += more + (entry & 15)
         if symbol.size and symbol.max() >= 256:
             literal = symbol < 256
@@ -447,36 +447,42 @@ def decode(files: Iterable[bytes]) -> list[np.ndarray]:
 # Encoding ------------------------------------------------------------------------------------------------
 
 
-def code_lengths(counts: list[int], most: int = 12) -> list[int]:
+def code_lengths(counts: list[int] | np.ndarray, most: int = 12) -> list[int]:
     """Huffman code lengths of at most ``most`` bits."""
-    lengths = [0] * len(counts)
-    used = sorted((c, i) for i, c in enumerate(counts) if c)
+    counts = np.asarray(counts)
+    lengths, used = [0] * len(counts), np.flatnonzero(counts)
     if len(used) == 1:
-        lengths[used[0][1]] = 1
+        lengths[int(used[0])] = 1
     if len(used) < 2:
         return lengths
-    weights = [c for c, _ in used]
-    n = len(weights)
+    used = used[np.argsort(counts[used], kind="stable")]
+    weights, n = counts[used].tolist(), len(used)
     while True:
         # Leaves in order, and joined nodes, which come in order, too.
-        joined, parent, leaf, node = [], [0] * (2 * n - 1), 0, 0
-        for made in range(n - 1):
-            total = 0
-            for _ in range(2):
-                if leaf < n and (node >= made or weights[leaf] <= joined[node]):
-                    total += weights[leaf]
-                    parent[leaf] = n + made
-                    leaf += 1
-                else:
-                    total += joined[node]
-                    parent[n + node] = n + made
-                    node += 1
-            joined.append(total)
+        joined, parent, leaf, node, far = [], [0] * (2 * n - 1), 0, 0, float("inf")
+        queue = [*weights, far]
+        for made in range(n, 2 * n - 1):
+            ready = joined[node] if node < len(joined) else far
+            if queue[leaf] <= ready:
+                one, parent[leaf] = queue[leaf], made
+                leaf += 1
+            else:
+                one, parent[n + node] = ready, made
+                node += 1
+            ready = joined[node] if node < len(joined) else far
+            if queue[leaf] <= ready:
+                joined.append(one + queue[leaf])
+                parent[leaf] = made
+                leaf += 1
+            else:
+                joined.append(one + ready)
+                parent[n + node] = made
+                node += 1
         depth = [0] * (2 * n - 1)
         for k in range(2 * n - 3, -1, -1):
             depth[k] = depth[parent[k]] + 1
         if max(depth[:n]) <= most:
-            for (_, i), d in zip(used, depth, strict=False):
+            for i, d in zip(used.tolist(), depth, strict=False):
                 lengths[i] = d
             return lengths
         weights = sorted(w // 2 + 1 for w in weights)
@@ -520,7 +526,7 @@ class Writer:
         self.size += bits
 
     def write_code(self, lengths: list[int]) -> None:
-        used = [i for i, x in enumerate(lengths) if x]
+        used = np.flatnonzero(lengths).tolist()
         if len(used) <= 1 and (not used or used[0] < 256):
             symbol = used[0] if used else 0
             self.write(0b101 if symbol > 1 else 0b001, 3)
@@ -593,7 +599,11 @@ def _transform(samples: bytes, pixels: np.ndarray) -> tuple[str, np.ndarray | in
     best, name, given = WORTH * _bits_needed(data), "none", None
     blue, green, red, alpha = (data[i::4] for i in range(4))
     half = (green.view(np.int8) >> 1).view(np.uint8)
-    tries = [("predictor", 1, (data[4:] - data[:-4],)), ("green", None, (red - green, blue - green, green, alpha)), ("cross", None, (red - half, blue - half, green, alpha))]
+    # Red alone tells whether it follows green, or half of it, at all.
+    alone, tries = _bits_needed(red), [("predictor", 1, (data[4:] - data[:-4],))]
+    for kind, of_green in (("green", green), ("cross", half)):
+        if _bits_needed(red - of_green) < alone:
+            tries.append((kind, None, (red - of_green, blue - of_green, green, alpha)))
     if len(data) > 8 * width:
         tries.append(("predictor", 2, (data[4 * width :] - data[: -4 * width],)))
     for kind, mode, parts in tries:
@@ -721,9 +731,9 @@ def encode_samples(samples: bytes, width: int, height: int, used: dict[str, int]
     literal[starts] = False
     others = np.stack([pixels >> 16 & 255, pixels & 255, pixels >> 24 & 255])
     counts = np.bincount(first[places], minlength=256 + LENGTH_CODES + (1 << bits if bits else 0))
-    green = code_lengths(counts.tolist(), MOST_BITS)
-    rest = code_lengths(np.bincount(others[:, literal].ravel(), minlength=256).tolist(), MOST_BITS)
-    far = code_lengths(np.bincount([x[0] for x in distances], minlength=DISTANCE_CODES).tolist(), MOST_BITS) if copies else [1]
+    green = code_lengths(counts, MOST_BITS)
+    rest = code_lengths(np.bincount(others[:, literal].ravel(), minlength=256), MOST_BITS)
+    far = code_lengths(np.bincount([x[0] for x in distances], minlength=DISTANCE_CODES), MOST_BITS) if copies else [1]
     w.write_code(green)
     described = Writer()
     described.write_code(rest)
@@ -732,9 +742,16 @@ def encode_samples(samples: bytes, width: int, height: int, used: dict[str, int]
     w.write_code(far)
 
     def coded(lengths):
-        """Codes and sizes by symbol; a code of one symbol has no bits."""
-        alone = sum(1 for x in lengths if x) <= 1
-        return np.array(codes(lengths), dtype=np.uint64), np.zeros(len(lengths), dtype=np.int64) if alone else np.array(lengths, dtype=np.int64)
+        """Codes, their first bits lowest, and sizes by symbol; a code of one symbol has no bits."""
+        size = np.array(lengths, dtype=np.int64)
+        there = np.flatnonzero(size)
+        out = np.zeros(len(size), dtype=np.uint64)
+        if len(there) <= 1:
+            return out, np.zeros(len(size), dtype=np.int64)
+        there = there[np.argsort(size[there], kind="stable")]
+        share = 1 << (MOST_BITS - size[there])
+        out[there] = _reversed_bits(MOST_BITS)[np.cumsum(share) - share]
+        return out, size
 
     # Up to four parts a token: literals' channels, or a copy's codes and extra bits.
     values, sizes = np.zeros((n, 4), dtype=np.uint64), np.zeros((n, 4), dtype=np.int64)
