@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 
@@ -31,6 +32,8 @@ NEAR = (
 )
 CACHE_FACTOR = 0x1E35A7BD
 LENGTH_CODES, DISTANCE_CODES = 24, 40
+#: So few images left are finished one by one, not in lock step.
+FEW = 40
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 _REVERSED: dict[int, np.ndarray] = {}
 
@@ -90,7 +93,32 @@ def _single(symbol: int) -> Code:
     return code
 
 
+@lru_cache(maxsize=4096)
+def _code_of_lengths(n: int, packed: int) -> tuple[list[int], int]:
+    """Table and bits of the code that code lengths are written in."""
+    of_lengths = [0] * 19
+    for i in range(n):
+        of_lengths[CODE_LENGTH_ORDER[i]] = packed >> (3 * i) & 7
+    code = Code(of_lengths)
+    return code.table.tolist(), code.bits
+
+
 def _read_code(source: Bits, size: int, known: dict) -> Code:
+    """A prefix code; one that is written just like the last of its size is that one."""
+    begin = source.at
+    if (last := known.get(size)) is not None and begin + last[0] <= source.end:
+        if source.read(last[0]) == last[1]:
+            return last[2]
+        source.at = begin
+    code = _read_new_code(source, size, known)
+    end, source.at = source.at, begin
+    if end <= source.end:
+        known[size] = (end - begin, source.read(end - begin), code)
+    source.at = end
+    return code
+
+
+def _read_new_code(source: Bits, size: int, known: dict) -> Code:
     if source.read(1):
         two, wide = source.read(1), source.read(1)
         first = source.read(8 if wide else 1)
@@ -101,14 +129,10 @@ def _read_code(source: Bits, size: int, known: dict) -> Code:
         lengths[first] = lengths[second] = 1
         return Code(lengths)
     n = 4 + source.read(4)
-    packed = source.read(3 * n)
-    of_lengths = [0] * 19
-    for i in range(n):
-        of_lengths[CODE_LENGTH_ORDER[i]] = packed >> (3 * i) & 7
-    code = Code(of_lengths)
+    table, bits = _code_of_lengths(n, source.read(3 * n))
     left = 2 + source.read(2 + 2 * source.read(3)) if source.read(1) else size
     lengths: list[int] = []
-    last, table, bits, data, at = 8, code.table.tolist(), code.bits, source.data, source.at
+    last, data, at = 8, source.data, source.at
     mask = (1 << bits) - 1
     while len(lengths) < size and left:
         left -= 1
@@ -226,6 +250,13 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
     for step in range(int(n[0]) if len(n) else 0):
         while n[active - 1] <= step:
             active -= 1
+        if active <= FEW and not (tiled and tiled[0] < active):
+            for i in range(active):
+                whole = slice(int(base[i]), int(base[i] + n[i]))
+                own = cache[int(cache_at[i]) : int(cache_at[i]) + (1 << int(cached[i]))].tolist()
+                state = step, int(at[i]), int(copy_left[i]), int(copy_back[i])
+                out[whole], at[i] = _alone(buffer, jobs[i], out[whole].tolist(), own, *state)
+            break
         for i in tiled:
             if i < active:
                 j = jobs[i]
@@ -288,6 +319,55 @@ def read_pixels(images: list[Image]) -> list[np.ndarray]:
     return result
 
 
+def _alone(buffer: bytes, image: Image, pixels: list[int], cache: list[int], step: int, at: int, left: int, back: int) -> tuple[list[int], int]:
+    """An image's pixels from ``step`` on, one by one, and where its stream ends."""
+    (t0, m0), (t1, m1), (t2, m2), (t3, m3), (t4, m4) = ((c.table.tolist(), (1 << c.bits) - 1) for c in image.groups[0])
+    shift, number, n = 32 - image.cache_bits, int.from_bytes, len(pixels)
+    first = 256 + LENGTH_CODES
+
+    def extended(prefix: int, at: int) -> tuple[int, int]:
+        if prefix < 4:
+            return prefix + 1, at
+        extra = (prefix - 2) >> 1
+        value = number(buffer[at >> 3 : (at >> 3) + 8], "little") >> (at & 7) & ((1 << extra) - 1)
+        return ((2 + (prefix & 1)) << extra) + value + 1, at + extra
+
+    while step < n:
+        if left:
+            pixel = pixels[step - back]
+            left -= 1
+        else:
+            value = number(buffer[at >> 3 : (at >> 3) + 8], "little") >> (at & 7)
+            entry = t0[value & m0]
+            symbol, used = entry >> 4, entry & 15
+            at += used
+            if symbol < 256:
+                entry = t1[value >> used & m1]
+                red, at = entry >> 4, at + (entry & 15)
+                value = number(buffer[at >> 3 : (at >> 3) + 8], "little") >> (at & 7)
+                entry = t2[value & m2]
+                blue, used = entry >> 4, entry & 15
+                entry = t3[value >> used & m3]
+                at += used + (entry & 15)
+                pixel = (entry >> 4) << 24 | red << 16 | symbol << 8 | blue
+            elif symbol >= first:
+                pixel = cache[symbol - first]
+            else:
+                left, at = extended(symbol - 256, at)
+                entry = t4[number(buffer[at >> 3 : (at >> 3) + 8], "little") >> (at & 7) & m4]
+                code, at = extended(entry >> 4, at + (entry & 15))
+                near = NEAR[min(code, len(NEAR)) - 1]
+                back = code - len(NEAR) if code > len(NEAR) else max(1, near[0] + near[1] * image.width)
+                if back > step:
+                    raise ValueError("a back-reference goes before the image")
+                continue
+        pixels[step] = pixel
+        step += 1
+        if image.cache_bits:
+            cache[(pixel * CACHE_FACTOR & 0xFFFFFFFF) >> shift] = pixel
+    return pixels, at
+
+
 def _channels(pixels: np.ndarray) -> np.ndarray:
     return np.stack([pixels >> s & 255 for s in (24, 16, 8, 0)], axis=-1)
 
@@ -515,6 +595,13 @@ _GAPS = {n: (17, _lowest_first(n - 3, 3)) if n <= 10 else (18, _lowest_first(n -
 _SIZES_SPELLED = [_lowest_first(n, 3) for n in range(8)]
 
 
+#: Bits of the longest code in files of ``encode_samples``.
+MOST_BITS = 11
+# The code in which lengths up to that are written: runs of zeros and lengths of 7 in three bits, the others in four.
+_COMMON_SIZES = [3 if s in (7, 17) else 4 if s <= MOST_BITS or s == 18 else 0 for s in range(19)]
+_COMMON_SPELLED = spelled(_COMMON_SIZES)
+
+
 class Writer:
     """Collects numbers, least significant bit first."""
 
@@ -542,11 +629,14 @@ class Writer:
             items.extend([(0, "")] * gap)
             items.append((lengths[i], ""))
             last = i
-        counts = [0] * 19
-        for s, _ in items:
-            counts[s] += 1
-        sizes = code_lengths(counts, 7)
-        short = spelled(sizes) if sum(1 for x in sizes if x) > 1 else dict.fromkeys(range(19), "")
+        if max(lengths) <= MOST_BITS:
+            sizes, short = _COMMON_SIZES, _COMMON_SPELLED
+        else:
+            counts = [0] * 19
+            for s, _ in items:
+                counts[s] += 1
+            sizes = code_lengths(counts, 7)
+            short = spelled(sizes) if sum(1 for x in sizes if x) > 1 else dict.fromkeys(range(19), "")
         n = max(0, -(-max(1, (len(items) - 2).bit_length()) // 2) - 1)
         bits = ["01111", *[_SIZES_SPELLED[sizes[s]] for s in CODE_LENGTH_ORDER], "1", _lowest_first(n, 3), _lowest_first(len(items) - 2, 2 + 2 * n)]
         bits += [short[s] + extra for s, extra in items]
@@ -569,8 +659,8 @@ def _header(width: int, height: int) -> Writer:
     return w
 
 
-#: Bits of the longest code in files of ``encode_samples``, of the largest cache, and of tiles.
-MOST_BITS, MOST_CACHE, TILE_BITS = 11, 9, 9
+#: Bits of the largest cache, and of tiles.
+MOST_CACHE, TILE_BITS = 7, 9
 #: What a part of the format must save, as a share of the estimate without it.
 WORTH = 0.97
 _CROSS_ELEMENT = 16 | 16 << 8  # half of green from red and from blue
