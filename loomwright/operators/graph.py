@@ -22,6 +22,9 @@ def ready_to_checkpoint(spark: SparkSession) -> None:
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, component) from edges (a, b): the smallest node that can be reached.
 
+    Chains shorten by powers, so ``rounds`` is far beyond any graph; if they don't
+    do, an error is raised and nothing is left out.
+
     Labels fall to the neighbours' least, then to the label's own label; each
     round is checkpointed, so that plans stay short and executors may be lost.
     """
