@@ -20,7 +20,6 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -36,8 +35,8 @@ from .common import bucketed_prefix, lean, materialize, table
 CAPACITY = 2048
 #: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
 CACHED, LONGEST, PLACE = 80_000_000, 64, 176
-#: A mark after a letter or digit, at the end of a word: the vocabulary always cuts there.
-MARK = re.compile(rb"(?<=[a-z0-9])[!-/:-@\[-`{-~](?=\s|$)")
+#: Letters and digits before a last mark of a word, and such marks: the vocabulary always cuts between them.
+BEFORE, MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789"), frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _TOKENIZERS: dict[str, "WordCache"] = {}
 
 
@@ -83,7 +82,7 @@ class WordCache:
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text."""
-        words = (text if b"<|" in text else MARK.sub(rb" \g<0>", text.lower())).split()
+        words = (text if b"<|" in text else text.lower()).split()
         young = self.young
         try:
             return b"".join([young[w] for w in words])
@@ -92,18 +91,23 @@ class WordCache:
         if self.size > CACHED:
             self.old, self.young, self.size = young, {}, 0
             young, missing = self.young, set(words)
-        old, new, long = self.old, [], {}
+        old, new, cut, long = self.old, set(), [], {}
         for w in missing:
             if len(w) > LONGEST:
                 long[w] = b""
-            elif (known := old.get(w)) is None:
-                new.append(w)
-            else:
+            elif (known := old.get(w)) is not None:
                 young[w] = known
                 self.size += len(w) + len(known) + PLACE
+            elif len(w) > 1 and w[-1] in MARKS and w[-2] in BEFORE:
+                cut.append(w)
+                new.update(x for x in (w[:-1], w[-1:]) if x not in young)
+            else:
+                new.add(w)
         if new:
-            self._learn(new, young)
-            self.size += sum(len(w) + len(young[w]) + PLACE for w in new)
+            self._learn(list(new), young)
+        for w in cut:
+            young[w] = young[w[:-1]] + young[w[-1:]]
+        self.size += sum(len(w) + len(young[w]) + PLACE for w in (*new, *cut))
         if not long:
             return b"".join([young[w] for w in words])
         self._learn(list(long), long)
