@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .extraction import op1_template_extraction
+from .fill_middle import OP11_SQL, op11_fill_in_middle
 from .fingerprint import op8_parsing_fingerprint
 from .lattice_lm import op9_lattice_lm
 from .media import op5_lossless_webp
@@ -30,8 +31,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_parsing_fingerprint": op8_parsing_fingerprint,
         "op9_lattice_lm": op9_lattice_lm,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_fill_in_middle": op11_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fair_queue_mixing": OP4_SQL, "op10_minhash_near_dedup": OP10_SQL}
+    return {"op4_fair_queue_mixing": OP4_SQL, "op10_minhash_near_dedup": OP10_SQL, "op11_fill_in_middle": OP11_SQL}
