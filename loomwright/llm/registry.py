@@ -17,6 +17,7 @@ from .packing import op7_best_fit_packing
 from .sharding import op3_hilbert_sharding
 from .suffix_dedup import op2_suffix_dedup
 from .toxicity import op6_toxicity
+from .turn_repair import OP12_SQL, op12_conversation_repair
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -32,8 +33,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lattice_lm": op9_lattice_lm,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fair_queue_mixing": OP4_SQL, "op10_minhash_near_dedup": OP10_SQL, "op11_fill_in_middle": OP11_SQL}
+    return {
+        "op4_fair_queue_mixing": OP4_SQL,
+        "op10_minhash_near_dedup": OP10_SQL,
+        "op11_fill_in_middle": OP11_SQL,
+        "op12_conversation_repair": OP12_SQL,
+    }
