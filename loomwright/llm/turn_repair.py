@@ -324,9 +324,8 @@ def _repaired(turns: DataFrame, summary: T.StructType, kind: type[Digest]) -> Da
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Solve what begins and ends in this partition; pass on the turns of the others."""
-        shape = None
         held: list[tuple] = []
-        size, inside, current = 0, False, object()
+        size, inside, begun, current = 0, False, False, object()
 
         def passed() -> list[tuple]:
             out = [(False, *[None] * len(summary), *r) for r in held]
@@ -343,7 +342,7 @@ def _repaired(turns: DataFrame, summary: T.StructType, kind: type[Digest]) -> Da
                     else:
                         out += passed()
                     # The first conversation may have begun in another partition.
-                    inside, current, size, shape = shape is not None, row[0], 0, batch.schema
+                    inside, begun, current, size = begun, True, row[0], 0
                 held.append(row)
                 size += len(row[4])
                 if inside and (len(held) > STRETCH or size > HELD_BYTES):
@@ -412,7 +411,7 @@ def repair_across(turns: DataFrame, summary: T.StructType, kind: type[Digest]) -
     """What ``kind`` makes of each conversation whose sorted ``turns`` lie in more than one task."""
     runs, _ = materialize(numbered_runs(turns), "op12-runs", short=True)
     level = [f.name for f in T._parse_datatype_string(RUN).fields]
-    most = runs.agg(F.max("place")).first()[0] or 0
+    most, shape = runs.agg(F.max("place")).first()[0] or 0, runs.schema
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
@@ -424,13 +423,13 @@ def repair_across(turns: DataFrame, summary: T.StructType, kind: type[Digest]) -
                         done.append((current[0], *joined(parts).row(), current[1]))
                     current, parts = (conv, place // FAN), []
                 parts.append(Run.of_row(*rest))
-            yield to_batch(done, runs.schema)
+            yield to_batch(done, shape)
         if current is not None:
-            yield to_batch([(current[0], *joined(parts).row(), current[1])], runs.schema)
+            yield to_batch([(current[0], *joined(parts).row(), current[1])], shape)
 
     tree = runs
     while most > 0:
-        tree = tree.repartition("conv_id", F.expr(f"place div {FAN}")).sortWithinPartitions("conv_id", "place").mapInArrow(lean(merged), runs.schema)
+        tree = tree.repartition("conv_id", F.expr(f"place div {FAN}")).sortWithinPartitions("conv_id", "place").mapInArrow(lean(merged), shape)
         most //= FAN
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
