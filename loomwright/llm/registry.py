@@ -12,6 +12,7 @@ from .fingerprint import op8_parsing_fingerprint
 from .lattice_lm import op9_lattice_lm
 from .media import op5_lossless_webp
 from .mixing import OP4_SQL, op4_fair_queue_mixing
+from .multi_index import op13_inverted_multi_index
 from .near_dedup import OP10_SQL, op10_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .sharding import op3_hilbert_sharding
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op11_fill_in_middle": op11_fill_in_middle,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_inverted_multi_index": op13_inverted_multi_index,
     }
 
 
