@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lean, materialize, table
+from .common import WAVES, lean, materialize, table
 
 NEAREST, QUERY_STEP = 20, 20
 FIT_ROWS, FIT_ROUNDS, MOST_CENTROIDS = 20_000, 8, 1024
@@ -229,7 +229,9 @@ def visits(queries: DataFrame, books: Halves, filled: np.ndarray, enough: int) -
                     ["key", "block", "cells", "v"],
                 )
 
-    return queries.select("key", "v").mapInArrow(lean(run), f"key long, block int, cells array<int>, v {element}")
+    # A traversal takes far longer than reading a query: tasks by cores, not by bytes.
+    tasks = WAVES * queries.sparkSession.sparkContext.defaultParallelism
+    return queries.select("key", "v").repartition(tasks, "key").mapInArrow(lean(run), f"key long, block int, cells array<int>, v {element}")
 
 
 class Tile:
