@@ -278,10 +278,10 @@ def ranked(index: DataFrame, asked: DataFrame, filled: np.ndarray, k: int) -> Da
     # Bounded: a row for each cell with entries, at most MOST_CENTROIDS ** 2.
     place = spark.createDataFrame(pa.table({"cell": full.astype("i4"), "first": first[full], "number": number[full]}))
     entries = index.join(F.broadcast(place), "cell").withColumn("block", (F.col("first") + F.pmod("h", F.col("number"))).cast("int"))
-    # Blocks with more than one tile's queries: their entries go to each tile.
+    # Blocks with more than one tile's queries: their entries go to each tile.  Bounded: at most about MOST_BLOCKS rows.
     tiles = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("tiles")).filter("tiles > 1")
     of = F.coalesce("tiles", F.lit(1))
-    entries = entries.join(tiles, "block", "left").select(
+    entries = entries.join(F.broadcast(tiles), "block", "left").select(
         "block", F.explode(F.sequence(F.lit(0), of - 1)).alias("tile"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("key"),
         F.lit(None).cast("array<int>").alias("cells"), "cell", "members", "v",
     )
