@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import stable_score
+from .ranking import bottom_k, first_by_quota
 
 
 #: Stretches of the hashed order of groups that are ranked apart.
@@ -31,16 +32,15 @@ def diverse_top_k(df: DataFrame, source: str, branch: str, kind: str, score: Col
 
 
 def balanced_downsample(df: DataFrame, part: str, kind: str, limits: DataFrame, tie: Column, kind_tie: Column) -> DataFrame:
-    """In each part at most ``target`` rows (of ``limits``), kinds taking turns, rarer kinds first."""
-    of_kind = Window.partitionBy(part, kind)
-    rows = df.withColumn("__i", F.row_number().over(of_kind.orderBy(tie, "sample_id"))).withColumn(
-        "__size", F.count(F.lit(1)).over(of_kind)
-    )
-    # A row's rank in its part is at least its rank among its kind.
-    rows = rows.join(limits, part).filter(F.col("__i") <= F.col("target"))
-    order = Window.partitionBy(part).orderBy("__i", "__size", kind_tie, kind)
-    rows = rows.withColumn("__r", F.row_number().over(order))
-    return rows.filter(F.col("__r") <= F.col("target")).drop("__i", "__size", "__r")
+    """In each part at most ``target`` rows (of ``limits``), kinds taking turns, rarer kinds first.
+
+    Turns are a quota for each kind: as many whole rounds as the target allows, and
+    one row more for the rarest kinds that aren't used up.
+    """
+    counts = df.groupBy(part, kind).agg(F.count(F.lit(1)).alias("n")).join(limits, part)
+    first = [F.col("n"), kind_tie, F.col(kind)]
+    quotas = water_fill(counts, kind, F.col("target"), [part], first).select(part, kind, "quota")
+    return first_by_quota(df, [part, kind], quotas, [tie], ["sample_id"])
 
 
 def largest_remainder(counts: DataFrame, key: str, total: Column, group: list[str] | None = None) -> DataFrame:
@@ -54,8 +54,11 @@ def largest_remainder(counts: DataFrame, key: str, total: Column, group: list[st
     return rows.withColumn("quota", (F.col("__base") + more).cast("long")).drop("__total", "__raw", "__base", "__rank")
 
 
-def water_fill(counts: DataFrame, key: str, target: Column, group: list[str] | None = None) -> DataFrame:
-    """``quota``: equal shares of ``target``, at most ``n`` each; what is over goes to the others."""
+def water_fill(counts: DataFrame, key: str, target: Column, group: list[str] | None = None, left_over: list[Column] | None = None) -> DataFrame:
+    """``quota``: equal shares of ``target``, at most ``n`` each; what is over goes to the others.
+
+    Shares that can't be equal go one by one to the first in the order ``left_over``: the largest, if it isn't given.
+    """
     whole = Window.partitionBy(*(group or [F.lit(0)]))
     order = whole.orderBy("n", key)
     rows = counts.withColumns(
@@ -74,59 +77,81 @@ def water_fill(counts: DataFrame, key: str, target: Column, group: list[str] | N
             "__m": F.count_if(~F.col("__full")).over(whole),
         }
     )
-    rank = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)]), "__full").orderBy(F.desc("n"), F.desc(key)))
+    rank = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)]), "__full").orderBy(*(left_over or [F.desc("n"), F.desc(key)])))
     share = F.expr("__left div greatest(__m, 1)") + (rank <= F.expr("__left % greatest(__m, 1)")).cast("int")
     return rows.withColumn("quota", F.when(F.col("__full"), F.col("n")).otherwise(share).cast("long")).drop(
         "__t", "__k", "__i", "__pre", "__full", "__left", "__m"
     )
 
 
-def stratified_cap(df: DataFrame, kind: str, part: str | list[str], target: int, tie: Column, score: Column | None = None) -> DataFrame:
-    """``target`` rows: kinds by water filling, parts of a kind by largest remainder, level by level, then the best by score and tie."""
-    parts = [part] if isinstance(part, str) else part
-    strata = df.groupBy(kind, *parts).agg(F.count(F.lit(1)).alias("n"))
-    kinds = strata.groupBy(kind).agg(F.sum("n").alias("n"))
-    quota = water_fill(kinds, kind, F.lit(target)).select(kind, "quota")
+def stratum_quotas(df: DataFrame, kind: str, parts: list[str], target: Column, group: list[str] | None = None) -> DataFrame:
+    """``quota`` of each stratum: kinds by water filling, parts of a kind by largest remainder, level by level.
+
+    The quotas of a group add up to the target, or to all its rows if there are fewer:
+    shares of a number in proportion to counts, rounded to the next integers, are
+    never above these counts.
+    """
+    group = group or []
+    strata = df.groupBy(*group, kind, *parts).agg(F.count(F.lit(1)).alias("n"))
+    kinds = strata.groupBy(*group, kind).agg(F.sum("n").alias("n"))
+    quota = water_fill(kinds, kind, target, group).select(*group, kind, "quota")
     for level in range(len(parts)):
-        above, here = [kind, *parts[:level]], parts[level]
+        above, here = [*group, kind, *parts[:level]], parts[level]
         counts = strata.groupBy(*above, here).agg(F.sum("n").alias("n")).join(quota.withColumnRenamed("quota", "__above"), above)
         quota = largest_remainder(counts, here, F.col("__above"), above).select(*above, here, "quota")
-    best = [score.desc()] if score is not None else []
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(kind, *parts).orderBy(*best, tie, "sample_id")))
-    return ranked.join(quota, [kind, *parts]).filter(F.col("__r") <= F.col("quota")).drop("__r", "quota")
+    return quota
+
+
+def _best(tie: Column, score: Column | None) -> list[Column]:
+    return [tie] if score is None else [-score, tie]
+
+
+def stratified_cap(df: DataFrame, kind: str, part: str | list[str], target: int, tie: Column, score: Column | None = None) -> DataFrame:
+    """``target`` rows by ``stratum_quotas``, of each stratum the best by score and tie."""
+    parts = [part] if isinstance(part, str) else part
+    quotas = stratum_quotas(df, kind, parts, F.lit(target))
+    return first_by_quota(df, [kind, *parts], quotas, _best(tie, score), ["sample_id"])
 
 
 def branch_caps(df: DataFrame, branch: str, caps: dict[str, int | None], kind: str, parts: list[str], tie: Column, score: Column | None = None) -> DataFrame:
     """Each branch of ``caps`` with at most its number of rows, all of them where it is None; others go.
 
-    Whatever the quotas leave open is filled with the best of the rest.
+    The quotas of a branch reach its cap, or all its rows, so nothing is left open
+    for rows beyond them.
     """
-    kept = None
-    for name, most in caps.items():
-        rows = df.filter(F.col(branch) == name)
-        if most is not None:
-            picked = stratified_cap(rows, kind, parts, most, tie, score)
-            rest = rows.join(picked.select("sample_id"), "sample_id", "left_anti")
-            lacking = most - picked.count()
-            best = [score.desc()] if score is not None else []
-            rows = picked.select(*rows.columns)
-            if lacking > 0:
-                rows = rows.unionByName(rest.orderBy(*best, tie, "sample_id").limit(lacking))
-        kept = rows if kept is None else kept.unionByName(rows)
-    return df.limit(0) if kept is None else kept
+    most = F.lit(None).cast("long")
+    for name, cap in caps.items():
+        most = F.when(F.col(branch) == name, F.lit((1 << 62) if cap is None else cap)).otherwise(most)
+    rows = df.filter(F.col(branch).isin(*caps))
+    whole = [name for name, cap in caps.items() if cap is None]
+    capped = rows.filter(~F.col(branch).isin(*whole)) if whole else rows
+    quotas = stratum_quotas(capped, kind, parts, most, [branch])
+    kept = first_by_quota(capped, [branch, kind, *parts], quotas, _best(tie, score), ["sample_id"])
+    return kept.unionByName(rows.filter(F.col(branch).isin(*whole))) if whole else kept
 
 
 def sample_per_key(df: DataFrame, keys: list[str], k: int, order: list[Column]) -> DataFrame:
     """``k`` rows of each key, those first in a hashed order."""
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__r", number).filter(F.col("__r") <= k).drop("__r")
+    return bottom_k(df, keys, k, order)
 
 
 def one_per_stratum(df: DataFrame, keys: list[str], total: int, first: list[Column], fill: list[Column]) -> DataFrame:
-    """The first row of each stratum, then others up to ``total``."""
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*first))
-    rows = df.withColumn("is_first", number == 1)
-    return rows.orderBy(F.desc("is_first"), *fill).limit(total)
+    """The first row of each stratum, then others up to ``total``, ``fill`` telling rows apart.
+
+    A stratum's first row and ``total`` others of all are found by bounded lists,
+    so neither a stratum nor the table is sorted.
+    """
+    names = [f"__f{i}" for i in range(len(fill))]
+    rows = df.withColumns(dict(zip(names, fill, strict=True)))
+    firsts = bottom_k(rows, keys, 1, first)
+    others = bottom_k(rows, [], total, [F.col(n) for n in names])
+    # Of rows that are equal in all of these, one is the first.
+    copy = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*names))
+    seen = firsts.select(*[F.col(c).alias(f"__s_{c}") for c in (*keys, *names)])
+    same = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in (*keys, *names)]
+    rest = others.withColumn("__copy", copy).join(seen, [*same, F.col("__copy") == 1], "left_anti").drop("__copy")
+    both = firsts.withColumn("is_first", F.lit(True)).unionByName(rest.withColumn("is_first", F.lit(False)))
+    return both.orderBy(F.desc("is_first"), *names).limit(total).drop(*names)
 
 
 def first_per_key(df: DataFrame, keys: list[str], k: int, arrival: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions import instructions as I
 from ..functions import numbers as N
 from ..functions import records as R
 from ..functions import scalars as S
-from ..operators import candidates, contracts, placement, policies, replacements, rules, selection, stats
+from ..operators import candidates, contracts, placement, policies, ranking, replacements, rules, selection, stats
 from ..sources import images
 from . import stages
 from .registry import query, table
@@ -703,10 +703,9 @@ def preview_first(spark, sf_dir):
 @query("""SELECT CAST(row_number() OVER (ORDER BY lang, source, doc_id) AS INTEGER) AS position, doc_id FROM documents""")
 def sorted_records(spark, sf_dir):
     """Records by split, source and id; here by language, source and id, with their places."""
-    docs = table(spark, sf_dir, "documents").select("lang", "source", "doc_id").orderBy("lang", "source", "doc_id")
-    from pyspark.sql import Window
-
-    return docs.select(F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("lang", "source", "doc_id")).alias("position"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
+    placed = ranking.numbered(docs, ["lang", "source", "doc_id"])
+    return placed.select(F.col("position").cast("int").alias("position"), "doc_id")
 
 
 @query("""SELECT page_id, CASE WHEN length(html) % 3 = 0 THEN 'b,c' WHEN length(html) % 3 = 1 THEN 'c' ELSE '' END AS unknown FROM pages""")
