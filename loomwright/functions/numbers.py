@@ -2,10 +2,10 @@
 
 Built-in rounding works on a number's shortest decimal spelling, so 2.675 would
 become 2.68 at two places; its binary value lies below the half and gives 2.67.
-Here a double is taken apart into an integer and a power of two, and compared
-with the half in decimal arithmetic.  All is built-in expressions, written as SQL
-text around a lambda's variable, so that a value is computed once and a plan is
-built in few steps.
+``format_number`` with a pattern rounds the binary value half to even, in generated
+code; only numbers so large that their digits go beyond a double's shortest spelling
+are written from their binary fraction.  Where a value is used often it is bound to
+a lambda's variable.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Numbers from here on have no more than one decimal and are passed on as they are; those below the other are 0.
-LARGEST, LEAST = 1e14, 2.0**-30
+#: Numbers from here on have no more than one decimal and are passed on as they are.
+LARGEST = 1e14
+#: Numbers from here on are multiples of 2^-16 and may have more digits than their shortest spelling.
+LONG = 1e11
 _names = count()
 
 
@@ -49,61 +51,53 @@ def with_steps(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*keep, F.explode(F.array(made)).alias("__step")).select(*keep, "__step.*")
 
 
-def sql_scaled(x: str, places: int) -> str:
-    """SQL text of ``x`` times 10^``places`` as a long, rounded half to even; null if it isn't finite or is too large."""
+def _pattern(places: int, digit: str) -> str:
+    return "'0" + ("." + digit * places if places else "") + "'"
 
-    def rounded(p: str) -> str:
-        down = f"({p}.t div {p}.b)"
-        rest = f"cast({p}.t - cast({down} as decimal(19,0)) * {p}.b as decimal(38,0)) * 2"
-        return let(rest, lambda r: f"{down} + case when {r} > {p}.b or ({r} = {p}.b and {down} % 2 = 1) then 1L else 0L end")
 
-    def parted(s: str, k: str) -> str:
-        # s = whole / 2^k exactly, with a whole below 2^56.
-        power = lambda n: f"shiftleft(1L, {n})"
-        one, two = f"least({k}, 42)", f"{k} - least({k}, 42)"
-        whole = f"cast({s} * cast({power(one)} as double) * cast({power(two)} as double) as bigint)"
-        top = f"cast(cast({whole} as decimal(18,0)) * cast({10**places} as decimal(9,0)) as decimal(38,0))"
-        below = f"cast(cast({power(one)} as decimal(18,0)) * cast({power(two)} as decimal(18,0)) as decimal(38,0))"
-        return let(f"struct({top} as t, {below} as b)", rounded)
+def _half(places: int) -> float | None:
+    """Half a step, where its binary value is above the half: the formatter takes this one number down."""
+    half = float(f"5e-{places + 1}")
+    return half if places and round(half, places) > 0 else None
 
-    size = let(f"abs({x})", lambda s: let(f"greatest(0, 54 - cast(floor(log2({s})) as int))", lambda k: parted(s, k)))
-    exact = f"not isnan({x}) and abs({x}) < {LARGEST}D and abs({x}) > {LEAST!r}D"
-    return f"case when {exact} then case when {x} < 0 then -({size}) else {size} end when abs({x}) <= {LEAST!r}D then 0L end"
+
+def sql_formatted(x: str, places: int, digit: str) -> str:
+    half = _half(places)
+    nudged = x if half is None else f"{x} * case when abs({x}) = {half!r}D then 1.5D else 1D end"
+    return f"format_number({nudged}, {_pattern(places, digit)})"
+
+
+def sql_long(x: str, places: int) -> str:
+    """SQL text of abs(``x``), from ``LONG`` to ``LARGEST``, with exactly ``places`` decimals."""
+    ten = 10**places
+    whole, part = f"cast(abs({x}) as bigint)", f"cast((abs({x}) - floor(abs({x}))) * 65536 as bigint) * {ten}"
+    up = f"case when {part} % 65536 > 32768 or ({part} % 65536 = 32768 and ({part} div 65536 + {whole} * {ten}) % 2 = 1) then 1 else 0 end"
+    rest = f" || '.' || lpad(cast(@ % {ten} as string), {places}, '0')" if places else ""
+    return let(f"{whole} * {ten} + {part} div 65536 + {up}", lambda n: f"cast({n} div {ten} as string){rest.replace('@', n)}")
 
 
 def sql_rounded(x: str, places: int) -> str:
-    return let(sql_scaled(x, places), lambda n: f"coalesce(cast({n} as double) / {10**places}D, {x})")
+    return f"coalesce(try_cast({sql_formatted(x, places, '0')} as double) + 0D, {x})"
 
 
 def sql_fixed(x: str, places: int) -> str:
-    rest = f" || '.' || lpad(cast(abs(@) % {10**places} as string), {places}, '0')" if places else ""
-    digits = let(sql_scaled(x, places), lambda n: f"cast(abs({n}) div {10**places} as string)" + rest.replace("@", n))
-    return f"(case when {x} < 0 then '-' else '' end || {digits})"
+    sign = f"case when {x} < 0 then '-' else '' end"
+    return f"(case when abs({x}) < {LONG}D then {sql_formatted(x, places, '0')} when abs({x}) < {LARGEST}D then {sign} || {sql_long(x, places)} end)"
 
 
 def sql_short(x: str, places: int) -> str:
-    def written(n: str) -> str:
-        rest = f"rtrim('0', lpad(cast(abs({n}) % {10**places} as string), {places}, '0'))"
-        return let(rest, lambda r: f"case when {n} < 0 then '-' else '' end || cast(abs({n}) div {10**places} as string) || case when {r} = '' then '' else '.' || {r} end")
-
-    return let(sql_scaled(x, places), written)
+    text = sql_formatted(x, places, "#")
+    long = f"case when {x} < 0 then '-' else '' end || regexp_replace({sql_long(x, places)}, '[.]?0*$', '')" if places else sql_fixed(x, 0)
+    return f"(case when abs({x}) < {LONG}D then case when {text} = '-0' then '0' else {text} end when abs({x}) < {LARGEST}D then {long} end)"
 
 
 def sql_text(x: str) -> str:
-    def written(s: str) -> str:
-        mantissa, exponent = f"split_part({s}, 'E', 1)", f"cast(split_part({s}, 'E', 2) as int)"
-
-        def parts(p: str) -> str:
-            small = f"'0.' || repeat('0', -{p}.e - 1) || {p}.d"
-            padded = f"rpad({p}.d, greatest(length({p}.d), {p}.e + 1), '0')"
-            large = f"substring({padded}, 1, {p}.e + 1) || '.' || case when length({p}.d) <= {p}.e + 1 then '0' else substring({padded}, {p}.e + 2) end"
-            power = f"case when {p}.e < 0 then 'e-' else 'e+' end || lpad(cast(abs({p}.e) as string), greatest(2, length(cast(abs({p}.e) as string))), '0')"
-            return f"case when {p}.e < 0 and {p}.e >= -4 then {small} when {p}.e >= 0 and {p}.e < 16 then {large} else regexp_replace({p}.m, '[.]0$', '') || {power} end"
-
-        digits = f"regexp_replace(replace({mantissa}, '.', ''), '(?<=.)0+$', '')"
-        return f"case when contains({s}, 'E') then {let(f'struct({mantissa} as m, {exponent} as e, {digits} as d)', parts)} else {s} end"
-
-    return f"(case when {x} < 0 then '-' else '' end || {let(f'cast(abs({x}) as string)', written)})"
+    plain = f"'0.0{'#' * 24}'"
+    power = f"lower(format_number({x}, '0.{'#' * 16}E00'))"
+    return (
+        f"(case when {x} = 0 or (abs({x}) >= 1e-3D and abs({x}) < 1e7D) then cast({x} as string) when abs({x}) >= 1e-4D and abs({x}) < 1e16D then format_number({x}, {plain}) "
+        f"when abs({x}) < 1e-4D then {power} when abs({x}) < double('Infinity') then replace({power}, 'e', 'e+') else lower(replace(cast({x} as string), 'Infinity', 'inf')) end)"
+    )
 
 
 def sql_spellings(x: str) -> str:
@@ -122,14 +116,14 @@ def _double(value: Column) -> Column:
     return value.cast("double")
 
 
-def scaled_integer(value: Column, places: int) -> Column:
-    """``value`` times 10^``places`` as a long, rounded half to even; null if it isn't finite or is too large."""
-    return of(_double(value), lambda x: sql_scaled(x, places))
-
-
 def round_exact(value: Column, places: int) -> Column:
     """``value`` rounded to ``places`` decimals, half to even on its binary value."""
-    return of(_double(value), lambda x: sql_rounded(x, places))
+    x = _double(value)
+    half = _half(places)
+    nudged = x if half is None else x * F.when(F.abs(x) == half, 1.5).otherwise(1.0)
+    written = F.call_function("format_number", nudged, F.lit("0." + "0" * places if places else "0"))
+    # Infinities aren't read back and stay as they are; adding 0 makes a negative 0 positive.
+    return F.coalesce(written.try_cast("double") + 0.0, x)
 
 
 def fixed_text(value: Column, places: int) -> Column:

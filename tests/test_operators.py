@@ -1,6 +1,8 @@
 """Golden cases and loops that the window forms replace."""
 
 import json
+import math
+import random
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -248,3 +250,23 @@ def test_resume_and_follow(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "s")).collect()) == [0, 1, 2, 3, 4, 5]
     resume.running_counts(spark, str(inbox), schema, "id", str(tmp_path / "n"), str(tmp_path / "d")).awaitTermination(60)
     assert sum(r.n for r in spark.read.parquet(str(tmp_path / "n")).collect()) == 8
+
+
+def test_numbers_are_rounded_on_their_binary_value(spark):
+    """Halves, numbers beside them, and large ones, against Python's own rounding and spelling."""
+    rng = random.Random(8)
+    values = [0.0, 5e-05, 0.0005, -5e-05, 0.5, 2.675, 1e14, 1.5e15, -1e-9, 1e-05, 123456789.0, 123456789012.345678, -9e13 - 0.015625, float("inf"), float("-inf")]
+    for _ in range(3000):
+        tick = rng.randrange(-(10**7), 10**7) / 1e5
+        values += [tick, math.nextafter(tick, math.inf), (2 * rng.randrange(-(10**6), 10**6) + 1) / 2 ** rng.randrange(1, 20), rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 14)]
+    x = F.col("x")
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(
+        "x", numbers.round_exact(x, 4).alias("four"), numbers.fixed_text(x, 2).alias("two"), numbers.short_text(x, 3).alias("short"), numbers.float_text(x).alias("text")
+    )
+    for r in rows.collect():
+        assert r.four == round(r.x, 4) and math.copysign(1, r.four) == (1 if r.four == 0 else math.copysign(1, r.x)), r
+        assert r.text == repr(r.x), r
+        if abs(r.x) < 1e14:
+            short = f"{r.x:.3f}".rstrip("0").rstrip(".")
+            assert r.two == f"{r.x:.2f}" and r.short == ("0" if short == "-0" else short), r
+    assert numbers.round_exact(F.lit(None), 4) is not None and spark.range(1).select(numbers.short_text(F.lit(None).cast("double"), 2)).first()[0] is None
