@@ -81,11 +81,11 @@ _P = """p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_partkey % 7 AS n, p_siz
  FROM (SELECT *, 'import cadquery as cq' || chr(10) || 'result = cq.Workplane("XY").box(52, 34, ' || p_size || ')' AS b,
   'import cadquery as cq' || chr(10) || 'base = cq.Workplane("XY").circle(61).extrude(' || p_size || ')' || chr(10) AS d FROM part))"""
 _D = _P + """,
-d AS (SELECT id, n, s, code, CASE WHEN n = 0 THEN strpos(code, '.faces') WHEN n IN (1, 2) THEN strpos(code, '.edges') WHEN n IN (3, 4) THEN strpos(code, '.cut(') ELSE strpos(code, 'for i') END - 1 AS a,
+d AS (SELECT id, n, s, code, CASE WHEN n IN (0, 5) THEN strpos(code, '.faces') WHEN n IN (1, 2) THEN strpos(code, '.edges') ELSE strpos(code, '.cut(') END - 1 AS a,
   length(code) - 1 AS b FROM p WHERE n <> 6),
 g AS (SELECT id, n, s, CAST(0 AS INTEGER) AS ordinal, CASE n WHEN 1 THEN 'delete_fillet' WHEN 2 THEN 'delete_chamfer' WHEN 3 THEN 'delete_circular_cutout' WHEN 4 THEN 'delete_polygonal_cutout' ELSE 'delete_hole' END AS edit_type,
   CAST(CASE n WHEN 0 THEN 7 WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 23 WHEN 4 THEN 18 ELSE 4 END AS DOUBLE) AS size, CAST(CASE n WHEN 4 THEN 5 END AS INTEGER) AS sides,
-  CAST(CASE n WHEN 5 THEN 4 ELSE 1 END AS INTEGER) AS repeats, CAST(a AS INTEGER) AS span_start, CAST(b AS INTEGER) AS span_end, substr(code, a + 1, b - a) AS block_text,
+  CAST(CASE n WHEN 5 THEN 4 ELSE 1 END AS INTEGER) AS repeats, CAST(CASE n WHEN 4 THEN 44 END AS DOUBLE) AS own_depth, CAST(a AS INTEGER) AS span_start, CAST(b AS INTEGER) AS span_end, substr(code, a + 1, b - a) AS block_text,
   substr(code, 1, a) || substr(code, b + 1) AS target_code, code FROM d)"""
 
 
@@ -106,12 +106,68 @@ def candidates_udtf(spark, sf_dir):
     return candidates.scaled_programs(candidates.parameter_candidates(_programs(spark, sf_dir))).drop("code")
 
 
-@query(f"WITH {_D} SELECT id, ordinal, edit_type, size, sides, repeats, span_start, span_end, block_text, target_code FROM g")
+@query(f"WITH {_D} SELECT id, ordinal, edit_type, size, sides, repeats, own_depth AS depth, span_start, span_end, block_text, target_code FROM g")
 def delete_spans_udtf(spark, sf_dir):
     """Features of each part's program that may be deleted."""
     return candidates.deletion_candidates(_programs(spark, sf_dir)).drop("code")
 
 
+# Forms of programs: what stands before a feature, its text, what follows, and what must be found (nothing where the type is null).
+# @w, @d and @n are a part's size, price and number.
+_BOX, _ON = 'cq.Workplane("XY").box(90, 70, @w)', '.faces(">Z").workplane()'
+_FORMS = [
+    (f"result = {_BOX}", f"{_ON}.hole(@d)", "", "delete_hole", "@d", None, 1, None),
+    (f"result = {_BOX}", f"{_ON}.center(1, @n).hole(diameter=@d, depth=@w)", "\n", "delete_hole", "@d", None, 1, "@w"),
+    (f"result: cq.Workplane = {_BOX}", f"{_ON}.hole(@d, depth=-@w)", "  # ø", "delete_hole", "@d", None, 1, None),
+    (f"if @n > 0:\n    part = result = {_BOX}", f"{_ON}.hole(@w)", "\n", "delete_hole", "@w", None, 1, None),
+    (f"naïve = 'é'; result = {_BOX}", f"{_ON}.hole(@w)", "", "delete_hole", "@w", None, 1, None),
+    (f"result = {_BOX}", f"{_ON}\nfor i in range(1, @w + 0):\n    result = result.hole(4)", "", None, None, None, 1, None),
+    (f"result = {_BOX}", f"{_ON}\nfor i in range(@n, 0, -@w):\n    result = result.rotate((0, 0, 0), (0, 0, 1), 9).hole(@d)", "\n", "delete_hole", "@d", None, "(@n + @w - 1) // @w", None),
+    (f"result = {_BOX}", f"{_ON}\nfor i in range(2, 2 @n):\n    result = result.hole(4)", "", None, None, None, 1, None),
+    (f"result = {_BOX}", f"{_ON}\nfor i in range(0, @w):\n    other = result.hole(4)", "", None, None, None, 1, None),
+    (f"result = {_BOX}", f"{_ON}.pushPoints([(0, @w)]).hole(@d)", "", None, None, None, 1, None),
+    (f"result = {_BOX}", '.cut(cq.Workplane("XY").moveTo(@w, 0).circle(@d).extrude(h))', "\n", "delete_circular_cutout", "@d", None, 1, None),
+    (f"result = {_BOX}", '.cut(cq.Workplane("XY").polygon(7, @d).extrude(-@w))', "", "delete_polygonal_cutout", "@d", 7, 1, "@w"),
+    (f'c = cq.Workplane("XY").circle(@d).extrude(@w)\nresult = {_BOX}', ".cut(c)", "", None, None, None, 1, None),
+    (f"result = {_BOX}.edges('>X')", '.edges("|Z").translate((0, 0, @w)).fillet(@d)', "", "delete_fillet", "@d", None, 1, None),
+    (f"result = {_BOX}", '.edges("|Z").chamfer(@d, @w)', "", None, None, None, 1, None),
+    (f"def make():\n    result = {_BOX}", '.edges("|Z").chamfer(@d)', "\n    return result\n", "delete_chamfer", "@d", None, 1, None),
+]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _filled_sql(column: str) -> str:
+    return f"replace(replace(replace({column}, '@w', CAST(p_size AS VARCHAR)), '@d', CAST(p_retailprice AS VARCHAR)), '@n', CAST(p_partkey AS VARCHAR))"
+
+
+_FORM_ROWS = ", ".join(
+    f"({i}, {_quoted(before)}, {_quoted(text)}, {_quoted(after)}, {'NULL' if kind is None else _quoted(kind)}, {'NULL' if size is None else _quoted(size)}, {sides or 'NULL'}, {_quoted(str(repeats))}, {'NULL' if depth is None else _quoted(depth)})"
+    for i, (before, text, after, kind, size, sides, repeats, depth) in enumerate(_FORMS)
+)
+
+
+@query(f"""WITH forms(form, a, b, c, kind, size, sides, repeats, depth) AS (VALUES {_FORM_ROWS}),
+r AS (SELECT p_partkey, form, kind, sides, {_filled_sql('a')} AS a, {_filled_sql('b')} AS b, {_filled_sql('c')} AS c, p_size, p_partkey AS k,
+  CASE size WHEN '@w' THEN p_size::DOUBLE ELSE p_retailprice END AS size, CASE WHEN depth IS NOT NULL THEN p_size::DOUBLE END AS depth, repeats FROM part, forms WHERE kind IS NOT NULL)
+SELECT CAST(p_partkey AS VARCHAR) || '_' || CAST(form AS VARCHAR) AS id, kind AS edit_type, {r4('size')} AS size, CAST(sides AS INTEGER) AS sides,
+  CAST(CASE WHEN repeats = '1' THEN 1 ELSE (k + p_size - 1) // p_size END AS INTEGER) AS repeats, depth, CAST(length(a) AS INTEGER) AS span_start,
+  CAST(length(a) + length(b) AS INTEGER) AS span_end, b AS block_text, a || c AS target_code FROM r WHERE repeats = '1' OR k > 0""")
+def delete_forms(spark, sf_dir):
+    """Each part's numbers in programs of many forms; the features of these that may be deleted."""
+    def filled(text):
+        for mark, column in (("@w", "p_size"), ("@d", "p_retailprice"), ("@n", "p_partkey")):
+            text = F.replace(text, F.lit(mark), F.col(column).cast("string"))
+        return text
+
+    forms = F.array(*[F.struct(F.lit(i).alias("form"), F.lit(before + text + after).alias("code")) for i, (before, text, after, *_) in enumerate(_FORMS)])
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", F.inline(forms))
+    programs = rows.select(F.concat_ws("_", F.col("p_partkey").cast("string"), F.col("form").cast("string")).alias("id"), filled(F.col("code")).alias("code"))
+    return candidates.deletion_candidates(programs).drop("code", "ordinal")
+
+
 @query(f"""WITH {_D}, t AS (SELECT *, CASE n WHEN 1 THEN '.edges("|Z").chamfer(3)' WHEN 2 THEN '.edges("|Z").fillet(2)' WHEN 3 THEN '.cut(cq.Workplane("XY").polygon(6, 23).extrude(44))'
   ELSE '.cut(cq.Workplane("XY").circle(' || CAST({r4('18 * cos(pi() / 5)')} AS VARCHAR) || ').extrude(44))' END AS new_text FROM g WHERE n BETWEEN 1 AND 4)
 SELECT id, ordinal, CASE n WHEN 1 THEN 'replace_fillet_with_chamfer' WHEN 2 THEN 'replace_chamfer_with_fillet' WHEN 3 THEN 'replace_circular_cutout_with_polygonal_cutout'
@@ -136,7 +192,7 @@ def _with_changed(gone: DataFrame, sizes: DataFrame) -> DataFrame:
 
 _SLOT = f"""{_D}, f AS (SELECT *, CASE n WHEN 3 THEN size * 2 WHEN 4 THEN size * 2 ELSE size END AS d, CASE n WHEN 5 THEN 30.0 WHEN 3 THEN 46.0 WHEN 4 THEN 36.0 ELSE 7.0 END::DOUBLE AS gx,
   CASE n WHEN 5 THEN 22.5 WHEN 3 THEN 46.0 WHEN 4 THEN 34.0 ELSE 7.0 END::DOUBLE AS gy, s::DOUBLE AS gz FROM g WHERE n IN (0, 3, 4, 5)),
-a AS (SELECT *, CASE WHEN n <> 5 THEN 'z' WHEN gx >= gz THEN 'x' ELSE 'z' END AS axis FROM f),
+a AS (SELECT *, 'z' AS axis FROM f),
 t AS (SELECT *, CASE axis WHEN 'x' THEN gy ELSE gx END AS g0, CASE axis WHEN 'x' THEN gz ELSE gy END AS g1 FROM a),
 m AS (SELECT *, CASE WHEN g0 >= g1 THEN CASE axis WHEN 'x' THEN 'y' ELSE 'x' END ELSE CASE axis WHEN 'x' THEN 'z' ELSE 'y' END END AS major, greatest(g0, g1) AS long, least(g0, g1) AS short,
   CASE axis WHEN 'x' THEN gx ELSE gz END AS along FROM t),

@@ -104,13 +104,14 @@ def test_parameters_and_scaling(spark):
 
 def test_deletions():
     hole = BLOCK + '.faces(">Y").workplane().hole(9)'
-    assert [(x[0], x[1], x[6]) for x in candidates.deletions_of(hole)] == [("delete_hole", 9.0, '.faces(">Y").workplane().hole(9)')]
-    assert candidates.deletions_of(hole)[0][7] == BLOCK
+    assert [(x[0], x[1], x[7]) for x in candidates.deletions_of(hole)] == [("delete_hole", 9.0, '.faces(">Y").workplane().hole(9)')]
+    assert candidates.deletions_of(hole)[0][8] == BLOCK
     placed = BLOCK + '.faces(">Y").workplane().pushPoints([(0, 0)]).hole(9)'
     assert candidates.deletions_of(placed) == []
     assert [x[:2] for x in candidates.deletions_of(BLOCK + '.edges("|Y").chamfer(2)')] == [("delete_chamfer", 2.0)]
     loop = BLOCK + '.faces(">Y").workplane()\nfor k in range(5):\n    result = result.rotate((0, 0, 0), (0, 1, 0), 72).hole(4)\n'
     assert [x[:4] for x in candidates.deletions_of(loop)] == [("delete_hole", 4.0, None, 5)]
+    assert candidates.deletions_of(loop)[0][7] == loop[len(BLOCK) : -1] and candidates.deletions_of(loop)[0][8] == BLOCK + "\n"
     disc = 'b = w.circle(50).extrude(12)\nresult = b.cut(w.polygon(5, 18).extrude(12))'
     assert [x[:3] for x in candidates.deletions_of(disc)] == [("delete_polygonal_cutout", 18.0, 5)]
     assert candidates.hole_contexts(hole) == ["hole_calls_total", "single_high_confidence_hole"]
