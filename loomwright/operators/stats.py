@@ -9,8 +9,8 @@ from ..functions.numbers import round_exact
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Percent to 4 places; 0 of nothing is 0."""
-    return F.when(whole > 0, F.round(part * 100.0 / whole, 4)).otherwise(F.lit(0.0))
+    """Percent to 4 places, half to even; 0 of nothing is 0."""
+    return F.when(whole > 0, round_exact(part * 100.0 / whole, 4)).otherwise(F.lit(0.0))
 
 
 def coverage(df: DataFrame, keys: list[str], ok: Column) -> DataFrame:
@@ -35,7 +35,7 @@ def per_group_stats(df: DataFrame, key: str) -> DataFrame:
     """Number of groups, and mean, median and maximum of their sizes."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
     return sizes.agg(
-        F.count(F.lit(1)).alias("groups"), F.round(F.avg("c"), 4).alias("mean"),
+        F.count(F.lit(1)).alias("groups"), round_exact(F.avg("c"), 4).alias("mean"),
         F.median("c").alias("median"), F.max("c").alias("most"),
     )
 

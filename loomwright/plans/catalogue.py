@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import graph, joins, reports, rules, selection, stats, verify
+from ..operators import graph, joins, reports, rules, selection, stats, summaries, verify
 from .registry import QUERIES, SQL, query, table
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def score_sql(*parts: str) -> str:
 @query(f"""WITH {SAMPLES}
 SELECT branch, edit_type, count(*) AS candidates, count(*) FILTER (quality = 1) AS validated,
   CAST(grouping(branch, edit_type) AS BIGINT) AS level, count(*) - count(*) FILTER (quality = 1) AS failed,
-  round(count(*) FILTER (quality = 1) * 100.0 / count(*), 4) AS pass_rate
+  printf('%.4f', count(*) FILTER (quality = 1) * 100.0 / count(*))::DOUBLE AS pass_rate
 FROM samples GROUP BY GROUPING SETS ((branch, edit_type), (branch), (edit_type), ())""")
 def coverage_by_type(spark, sf_dir):
     return stats.coverage(samples(spark, sf_dir), ["branch", "edit_type"], F.col("quality") == 1)
@@ -198,7 +198,7 @@ def quality_checks(spark, sf_dir):
 
 
 @query("""WITH g AS (SELECT user_id, count(*) AS c FROM events GROUP BY user_id)
-SELECT count(*) AS groups, round(avg(c), 4) AS mean, median(c) AS median, max(c) AS most FROM g""")
+SELECT count(*) AS groups, printf('%.4f', avg(c))::DOUBLE AS mean, median(c) AS median, max(c) AS most FROM g""")
 def edits_per_source_stats(spark, sf_dir):
     return stats.per_group_stats(table(spark, sf_dir, "events"), "user_id")
 
@@ -412,7 +412,7 @@ def span_splice(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT l_suppkey % 8 AS chunk, l_returnflag, count(*) AS candidates, count(*) FILTER (l_quantity > 25) AS validated, max(l_extendedprice) AS elapsed FROM lineitem GROUP BY 1, 2)
-SELECT l_returnflag, CAST(sum(candidates) AS BIGINT) AS candidates, CAST(sum(validated) AS BIGINT) AS validated, max(elapsed) AS elapsed, round(sum(validated) * 100.0 / sum(candidates), 4) AS pass_rate FROM c GROUP BY 1""")
+SELECT l_returnflag, CAST(sum(candidates) AS BIGINT) AS candidates, CAST(sum(validated) AS BIGINT) AS validated, max(elapsed) AS elapsed, printf('%.4f', sum(validated) * 100.0 / sum(candidates))::DOUBLE AS pass_rate FROM c GROUP BY 1""")
 def chunk_merge_agg(spark, sf_dir):
     chunks = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 8).alias("chunk"), "l_returnflag").agg(
         F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("l_quantity") > 25).alias("validated"), F.max("l_extendedprice").alias("elapsed")
@@ -420,6 +420,63 @@ def chunk_merge_agg(spark, sf_dir):
     return stats.merged(chunks, ["l_returnflag"])
 
 
+_AUDITED = f"""e AS (SELECT substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 1) AS chunk, CASE d.lang WHEN 'en' THEN 'v2_add' WHEN 'de' THEN 'v3_delete' WHEN 'fr' THEN 'v4_replace' ELSE 'v1_parameter' END AS branch,
+  d.source AS category, d.lang || '_' || CAST(length(d.text) % 4 AS VARCHAR) AS edit_type, CAST(d.doc_id AS VARCHAR) AS sample_id, coalesce(l.quality = 1, false) AS ok,
+  'validation:' || substr(d.text, 1, 2) AS reason, {score_sql('5', 'd.doc_id')} AS score, d.n_chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def _audited(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Documents as audited edits in chunks by a hash of their numbers, and the chunks' runs."""
+    branch = F.when(F.col("lang") == "en", "v2_add").when(F.col("lang") == "de", "v3_delete").when(F.col("lang") == "fr", "v4_replace").otherwise("v1_parameter")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = table(spark, sf_dir, "documents").join(labels, "doc_id", "left").select(
+        F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).alias("chunk"), branch.alias("branch"), F.col("source").alias("category"),
+        F.concat_ws("_", "lang", (F.char_length("text") % 4).cast("string")).alias("edit_type"), F.col("doc_id").cast("string").alias("sample_id"),
+        F.coalesce(F.col("quality") == 1, F.lit(False)).alias("ok"), F.concat(F.lit("validation:"), F.substring("text", 1, 2)).alias("reason"),
+        S.stable_score(F.lit(5), F.col("doc_id")).alias("score"), "n_chars",
+    )
+    runs = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("records"), F.max("n_chars").alias("elapsed"))
+    return rows.drop("n_chars"), runs
+
+
+def _merged_audit(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The edits, and the summary of all chunks by way of two halves; few reasons are kept, so that bounds matter."""
+    edits, runs = _audited(spark, sf_dir)
+    chunks = summaries.summarised(edits, runs, most=15)
+    halves = [summaries.merged(chunks.filter(half), most=15) for half in (F.col("chunk") < "8", F.col("chunk") >= "8")]
+    return edits, summaries.merged(halves[0].unionByName(halves[1]), most=15)
+
+
+@query(f"""WITH {_AUDITED}, r AS (SELECT 'branch' AS level, branch, branch AS key, ok FROM e UNION ALL SELECT 'edit_type', branch, edit_type, ok FROM e UNION ALL SELECT 'category', branch, category, ok FROM e)
+SELECT level, branch, key, count(*) AS candidates, count(*) FILTER (ok) AS validated, count(*) FILTER (NOT ok) AS failed, printf('%.4f', count(*) FILTER (ok) * 100.0 / count(*))::DOUBLE AS pass_rate FROM r GROUP BY ALL""")
+def merged_audit_rates(spark, sf_dir):
+    """Rates by branch, edit type and category from the chunks' merged summaries."""
+    return summaries.rates(_merged_audit(spark, sf_dir)[1])
+
+
+@query(f"""WITH {_AUDITED}, c AS (SELECT chunk, count(*) AS records, max(n_chars)::DOUBLE AS elapsed FROM e GROUP BY 1),
+v AS (SELECT count(*) FILTER (ok AND branch = 'v2_add') AS v2_add, count(*) FILTER (ok AND branch = 'v3_delete') AS v3_delete, count(*) FILTER (ok AND branch = 'v4_replace') AS v4_replace FROM e),
+q AS (SELECT *, printf('%.4f', greatest(nullif(v2_add, 0), nullif(v3_delete, 0), nullif(v4_replace, 0))::DOUBLE / least(nullif(v2_add, 0), nullif(v3_delete, 0), nullif(v4_replace, 0)))::DOUBLE AS ratio FROM v)
+SELECT (SELECT CAST(sum(records) AS BIGINT) FROM c) AS records, (SELECT max(elapsed) FROM c) AS elapsed_most, (SELECT sum(elapsed) FROM c) AS elapsed_sum, v2_add, v3_delete, v4_replace, ratio, coalesce(ratio <= 9, false) AS passes FROM q""")
+def merged_audit_run(spark, sf_dir):
+    """Records, the longest and the whole time of all chunks, and the ratio of structural branches."""
+    merged = _merged_audit(spark, sf_dir)[1]
+    return merged.select("records", "elapsed_most", "elapsed_sum").join(F.broadcast(summaries.structural_ratio(merged)))
+
+
+@query(f"""WITH {_AUDITED}, c AS (SELECT branch, reason, count(*) AS n FROM e WHERE NOT ok GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY branch ORDER BY n DESC, reason) AS k FROM c)
+SELECT branch, reason, n FROM r WHERE k <= 10""")
+def merged_audit_reasons(spark, sf_dir):
+    """The ten most frequent reasons of each branch, exactly, from summaries that keep fifteen."""
+    return summaries.top_reasons(*_merged_audit(spark, sf_dir), k=10)
+
+
+@query(f"""WITH {_AUDITED}, r AS (SELECT edit_type, sample_id, row_number() OVER (PARTITION BY edit_type ORDER BY score, sample_id) AS k FROM e WHERE ok) SELECT edit_type, sample_id FROM r WHERE k <= 5""")
+def merged_audit_samples(spark, sf_dir):
+    """Five samples of each edit type from the merged summaries: those of the whole run."""
+    return _merged_audit(spark, sf_dir)[1].select(F.inline("samples")).select("edit_type", "sample_id")
+
+
 @query(r"""WITH m AS (SELECT page_id, CASE WHEN url IS NULL THEN 'missing url' END AS a, CASE WHEN length(html) > 5000 THEN 'size above 5000' END AS b,
   CASE WHEN contains(lower(html), 'track(') THEN 'leaks track(' END AS c FROM pages)
 SELECT page_id, unnest(list_filter([a, b, c], lambda x: x IS NOT NULL)) AS message FROM m""")
