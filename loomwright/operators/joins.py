@@ -20,5 +20,7 @@ def lookup(probe: DataFrame, build: DataFrame, key: str, order: list[Column]) ->
 
 def crossing(df: DataFrame, key: str, part: str) -> DataFrame:
     """Keys that occur in more than one part, with the parts."""
-    parts = df.groupBy(key).agg(F.sort_array(F.collect_set(part)).alias("parts"))
-    return parts.filter(F.size("parts") > 1)
+    # Two parts show in the least and the greatest; only the keys that have them need a list.
+    ends = df.groupBy(key).agg(F.min(part).alias("__a"), F.max(part).alias("__b")).filter("__a <> __b").select(F.col(key).alias("__k"))
+    both = df.join(ends, F.col(key).eqNullSafe(F.col("__k")), "left_semi")
+    return both.groupBy(key).agg(F.sort_array(F.collect_set(part)).alias("parts"))

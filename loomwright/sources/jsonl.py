@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import folders
+
 
 def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of a JSONL file or folder; a bad line fails the read."""
@@ -64,12 +66,8 @@ def write_by(df: DataFrame, path: str, *columns: str, append: bool = False) -> N
 
 
 def fan_out(df: DataFrame, path: str, column: str, names: dict[str, str], everything: str | None = None, append: bool = False) -> None:
-    """A folder ``names[value]`` for the rows of each value of ``column``, empty or not, and one with all rows."""
-    mode = "append" if append else "overwrite"
-    for value, name in names.items():
-        df.filter(F.col(column) == value).write.mode(mode).json(f"{path}/{name}")
-    if everything:
-        df.write.mode(mode).json(f"{path}/{everything}")
+    """A folder ``names[value]`` for the rows of each value of ``column``, empty or not, and one with all rows; one job, all or nothing."""
+    folders.fan_out(df, path, folders.branch_targets(names, everything, branch=column), append)
 
 
 def chunks(spark: SparkSession, root: str, summary: str) -> tuple[DataFrame, DataFrame]:
