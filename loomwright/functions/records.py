@@ -167,6 +167,10 @@ def parts_of(raw: str | None) -> tuple | None:
     return given, [*answers, *others, *strings_in(record)], images_of(record), name
 
 
+#: What may come of a record.
+STATUSES = ("ok", "no_code", "not_an_object")
+
+
 def read_records(numbered: DataFrame, line_id: str = "line_%06d") -> DataFrame:
     """(source_line, source_id, images, original_code, status) of ``numbered`` (source_line, raw).
 

@@ -25,6 +25,15 @@ def coverage(df: DataFrame, keys: list[str], ok: Column) -> DataFrame:
     )
 
 
+def coverage_of(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``coverage`` of counts (``keys``, candidates, validated) that are known already."""
+    sets = [keys, *[[k] for k in keys if len(keys) > 1], []]
+    out = counts.groupingSets([[F.col(k) for k in s] for s in sets], *keys).agg(
+        F.sum("candidates").alias("candidates"), F.sum("validated").alias("validated"), F.grouping_id().alias("level")
+    )
+    return out.withColumn("failed", F.col("candidates") - F.col("validated")).withColumn("pass_rate", percent(F.col("validated"), F.col("candidates")))
+
+
 def most_common(df: DataFrame, column: str, k: int) -> DataFrame:
     """The ``k`` most frequent values; ties by value."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))

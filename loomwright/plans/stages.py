@@ -37,6 +37,38 @@ def enabled(names: str) -> list[str]:
     return chosen
 
 
+def edit_types() -> dict[str, list[str]]:
+    """The types of edits that each branch makes."""
+    return {
+        "v1_parameter": [f"parameter_{call}" for call in candidates.SCALABLE],
+        "v2_add": list(placement.KINDS),
+        "v3_delete": ["delete_hole", "delete_circular_cutout", "delete_polygonal_cutout", *[f"delete_{name}" for name in candidates.FINISHING]],
+        "v4_replace": [*replacements.DIRECT_TYPES.values(), *replacements.SLOT_TYPES.values(), replacements.LOOP_TYPE],
+    }
+
+
+def pool_counters() -> dict[str, Column]:
+    """Counters of a pool: candidates and valid ones of each branch and type, as ``branch/type/candidates`` and ``branch/type/validated``."""
+    out, known = {}, F.lit(False)
+    for branch, kinds in edit_types().items():
+        for kind in kinds:
+            here = (F.col("branch") == branch) & (F.col("edit_type") == kind)
+            known = known | here
+            out[f"{branch}/{kind}/candidates"] = F.count_if(here)
+            out[f"{branch}/{kind}/validated"] = F.count_if(here & F.coalesce("ok", F.lit(False)))
+    return out | {"other": F.count_if(~F.coalesce(known, F.lit(False)))}
+
+
+def counted(counters: dict[str, object]) -> list[tuple[str, str, int, int]]:
+    """(branch, edit_type, candidates, validated) of the types that have candidates, from ``pool_counters``."""
+    out = []
+    for branch, kinds in edit_types().items():
+        for kind in kinds:
+            n = int(counters[f"{branch}/{kind}/candidates"])
+            out += [(branch, kind, n, int(counters[f"{branch}/{kind}/validated"]))] if n else []
+    return out
+
+
 def _sizes(kind: Column) -> dict[str, Column]:
     """Dimensions of a deleted feature, by their names in instructions."""
     size = F.col("size")

@@ -29,6 +29,12 @@ def test_stages_from_programs_to_exports(spark, tmp_path, capsys):
     full = spark.read.json(str(tmp_path / "out/full_metadata"))
     assert full.filter("fallback_used").count() == len(rows) - 1 and full.filter("original_code = target_code").isEmpty()
     assert json.loads((tmp_path / "out/summary.json").read_text())["leaks"] == 0
+    manifest = json.loads((tmp_path / "out/records/_manifest.json").read_text())
+    assert manifest["selected_all"] == len(rows) == sum(manifest[f"selected_{s}"] for s in ("train", "val", "test"))
+    assert json.loads((tmp_path / "out/pool/_manifest.json").read_text())["v3_delete"] == 8
+    assert main(["stages", source, str(tmp_path / "out")]) == 2
+    assert main(["stages", source, str(tmp_path / "out"), "--overwrite-below", str(tmp_path), "--branches", "v3_delete"]) == 0
+    assert {r.branch for r in spark.read.json(str(tmp_path / "out/full_metadata")).select("branch").distinct().collect()} == {"v3_delete"}
     assert main(["stages", source, str(tmp_path / "one"), "--branches", "v1_parameter"]) == 0
     assert {r.branch for r in spark.read.json(str(tmp_path / "one/full_metadata")).select("branch").distinct().collect()} == {"v1_parameter"}
 
@@ -49,10 +55,13 @@ def test_records_filter_audit_merge(spark, tmp_path):
     assert [r.images for r in spark.read.json(str(tmp_path / "kept/records")).collect()] == [[f"{tmp_path}/image/Rects/1.png"]]
     assert main(["filter", some, str(tmp_path / "no"), "--content", "Other."]) == 1
     for chunk in ("c1", "c2"):
-        assert main(["audit", lines(tmp_path / f"{chunk}.jsonl", [{"id": chunk, "code": code, "images": ["./image/Rects/1.png"]}]), str(tmp_path / "chunks" / chunk)]) == 0
+        assert main(["audit", lines(tmp_path / f"{chunk}.jsonl", [{"id": chunk, "code": code, "images": ["./image/Rects/1.png"]}]), str(tmp_path / "chunks" / chunk), "--chunk", chunk]) == 0
     audit = json.loads((tmp_path / "chunks/c1/summary.json").read_text())
     assert {(h["category"], h["label"]): h["n"] for h in audit["holes"]} == {("Rects", "hole_calls_total"): 1, ("Rects", "single_high_confidence_hole"): 1}
     assert main(["merge", str(tmp_path / "chunks"), str(tmp_path / "merged")]) == 0
+    whole = json.loads((tmp_path / "merged/summary.json").read_text())
+    assert (whole["chunks"], whole["missing"], whole["input_records"]) == (2, [], 2) and whole["top_rejection_reasons"] == []
+    assert sorted(x["sample_id"] for x in whole["samples"] if x["edit_type"] == "delete_hole") == ["v3_delete_c1_0", "v3_delete_c2_0"]
     merged = {x["edit_type"]: x["candidates"] for x in json.loads((tmp_path / "merged/summary.json").read_text())["counts"]}
     assert merged["delete_hole"] == 2 and merged["parameter_box"] == 6
 
