@@ -12,6 +12,8 @@ counts the candidates exactly in a second pass over the edits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,10 @@ def _kept_reasons(reasons: DataFrame, keys: list[str], most: int) -> tuple[DataF
     best = bottom_k(reasons, [*keys, "branch"], most + 1, [-F.col("n"), F.col("reason")])
     place = F.row_number().over(Window.partitionBy(*keys, "branch").orderBy(F.desc("n"), "reason"))
     kept = best.withColumn("__r", place).filter(F.col("__r") <= most).drop("__r")
-    # The upper bounds of all that go, not of the next one alone.
-    gone = reasons.join(kept.select(*keys, "branch", "reason"), [*keys, "branch", "reason"], "left_anti") if most else reasons
+    # The upper bounds of all that go, not of the next one alone; branches and chunks may be null.
+    names = [*keys, "branch", "reason"]
+    staying = kept.select(*[F.col(c).alias(f"__{c}") for c in names])
+    gone = reasons.join(staying, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]), "left_anti")
     return kept, gone.groupBy(*keys, "branch").agg(F.max(F.col("n") + F.col("over")).alias("n"))
 
 

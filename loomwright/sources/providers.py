@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reports import cache_key
-from .jsonl import exists
+from ..operators.graph import ready_to_checkpoint
+from .log import AppendLog
 
 Provider = Callable[[dict], str]
 ANSWERS = "key string, answer string, error string, attempts int"
@@ -31,23 +35,55 @@ def first_secret(names: list[str]) -> tuple[str, str]:
     raise RuntimeError(f"set one of: {', '.join(names)}")
 
 
-def asked(questions: DataFrame, provider: Provider, retries: int = 2, pause: float = 0.0) -> DataFrame:
-    """``ANSWERS`` of ``questions`` (key, question as JSON); a failing one is asked ``retries`` times more."""
+class Rate:
+    """At most ``most`` calls a second, evenly, for all threads of a task."""
+
+    def __init__(self, most: float | None):
+        self.gap, self.next, self.lock = 1.0 / most if most else 0.0, 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        with self.lock:
+            at = max(time.monotonic(), self.next)
+            self.next = at + self.gap
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+def _answer(provider: Provider, key: str, question: str, retries: int, pause: float, rate: Rate) -> tuple:
+    answer = error = None
+    for attempt in range(1, retries + 2):
+        rate.wait()
+        try:
+            answer, error = provider(json.loads(question)), None
+            break
+        except Exception as problem:  # noqa: BLE001 - whatever the provider raises is the row's error
+            error = f"{type(problem).__name__}: {problem}"
+            if attempt <= retries:
+                time.sleep(min(60.0, pause * 2 ** (attempt - 1)))
+    return key, answer, error, attempt
+
+
+def asked(questions: DataFrame, provider: Provider, retries: int = 2, pause: float = 0.0, workers: int = 1, rate: float | None = None) -> DataFrame:
+    """``ANSWERS`` of ``questions`` (key, question as JSON); a failing one is asked ``retries`` times more.
+
+    A task has up to ``workers`` calls under way, at most ``rate`` new ones a second,
+    and gives answers out as they come: a slow one holds up no other, and no more
+    questions are read than can be asked.  Waits between tries begin with ``pause``
+    and double.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, question in zip(batch["key"], batch["question"], strict=True):
-                answer = error = None
-                for attempt in range(1, retries + 2):
-                    try:
-                        answer, error = provider(json.loads(question)), None
-                        break
-                    except Exception as problem:  # noqa: BLE001 - whatever the provider raises is the row's error
-                        error = f"{type(problem).__name__}: {problem}"
-                        time.sleep(pause * attempt)
-                rows.append((key, answer, error, attempt))
-            yield pd.DataFrame(rows, columns=["key", "answer", "error", "attempts"])
+        limit, columns = Rate(rate), ["key", "answer", "error", "attempts"]
+        rows = ((k, q) for batch in batches for k, q in zip(batch["key"], batch["question"], strict=True))
+        with ThreadPoolExecutor(workers) as pool:
+            under_way: set = set()
+            for key, question in rows:
+                if len(under_way) >= workers:
+                    done, under_way = wait(under_way, return_when=FIRST_COMPLETED)
+                    yield pd.DataFrame([f.result() for f in done], columns=columns)
+                under_way.add(pool.submit(_answer, provider, key, question, retries, pause, limit))
+            while under_way:
+                done, under_way = wait(under_way, return_when=FIRST_COMPLETED)
+                yield pd.DataFrame([f.result() for f in done], columns=columns)
 
     return questions.select("key", "question").mapInPandas(run, ANSWERS)
 
@@ -58,23 +94,29 @@ def question_key(sample_id: Column, model: str, question: Column, images: Column
     return F.concat(F.regexp_replace(sample_id, r"[^A-Za-z0-9_.-]+", "_"), F.lit("_"), of)
 
 
-def with_cache(questions: DataFrame, path: str, provider: Provider | None, retries: int = 2) -> DataFrame:
-    """(key, answer, cached) of ``questions`` (key, question): from the cache at ``path`` (Parquet), else from the provider.
+CACHE = "key string, answer string"
+
+
+def with_cache(questions: DataFrame, path: str, provider: Provider | None, retries: int = 2, workers: int = 1, rate: float | None = None) -> DataFrame:
+    """(key, answer, cached) of ``questions`` (key, question): from the cache at ``path``, else from the provider.
 
-    New answers are appended to the cache.  Without a provider, questions that the
-    cache doesn't know have no answer.
+    The cache is a log of appends: several runs may add to it at once, and a key gets
+    the answer that was committed first.  Without a provider, questions that the cache
+    doesn't know have no answer.
     """
     spark = questions.sparkSession
-    known = spark.read.schema("key string, answer string").parquet(path) if exists(spark, path) else spark.createDataFrame([], "key string, answer string")
+    ready_to_checkpoint(spark)
+    cache = AppendLog(spark, path, CACHE)
+    known = cache.read()
     hits = questions.select("key").distinct().join(known.dropDuplicates(["key"]), "key").withColumn("cached", F.lit(True))
     misses = questions.dropDuplicates(["key"]).join(known.select("key").distinct(), "key", "left_anti")
     if provider is None:
         return hits.unionByName(misses.select("key", F.lit(None).cast("string").alias("answer"), F.lit(False).alias("cached")))
-    fresh = f"{path.rstrip('/')}.new"
-    asked(misses, provider, retries).write.mode("overwrite").parquet(fresh)
+    fresh = f"{path.rstrip('/')}/_asked-{uuid.uuid4().hex}"
+    asked(misses, provider, retries, workers=workers, rate=rate).write.parquet(fresh)
     new = spark.read.schema(ANSWERS).parquet(fresh)
-    new.filter("answer is not null").select("key", "answer").write.mode("append").parquet(path)
-    again = spark.read.schema("key string, answer string").parquet(path).dropDuplicates(["key"])
-    asked_now = new.select("key", F.lit(False).alias("cached"))
+    cache.append(new.filter("answer is not null").select("key", "answer"), key="key")
+    asked_now = new.select("key", F.lit(False).alias("cached")).checkpoint()
+    cache.store.remove(fresh)
     flagged = questions.select("key").distinct().join(asked_now, "key", "left").withColumn("cached", F.coalesce("cached", F.lit(True)))
-    return flagged.join(again, "key", "left").select("key", "answer", "cached")
+    return flagged.join(cache.read().dropDuplicates(["key"]), "key", "left").select("key", "answer", "cached")
