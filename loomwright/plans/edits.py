@@ -703,8 +703,8 @@ def prompt_payloads(spark, sf_dir):
 def _assembled(spark, sf_dir) -> DataFrame:
     programs = _with_faces(_programs(spark, sf_dir))
     sizes = programs.select("id", "p_size")
-    edits = stages.pool(programs, deleted_box=lambda gone: _with_changed(gone, sizes))
-    return stages.instruct(stages.cap(stages.select(edits, 17), 400, 17))
+    edits = stages.stored(stages.pool(programs, deleted_box=lambda gone: _with_changed(gone, sizes)))
+    return stages.instruct(stages.cap(stages.stored(stages.select(edits, 17)), 400, 17))
 
 
 @query()
@@ -719,6 +719,24 @@ def training_leaks(spark, sf_dir):
     return stages.leaks(assembled_training_rows(spark, sf_dir))
 
 
+# What is put into instructions, by the length of a text; the last three show nothing.
+_PLANTED = ("Use a CUTTER", "on the WorkPlane", "see Source Span", "block_text", "result = part", "a cadquery part", "no csg", "as in original_code", "as the result shows", "for a spanner", "keep it")
+
+
+@query(f"""WITH p AS (SELECT doc_id, [{', '.join(f"'{x}'" for x in _PLANTED)}] AS l, text FROM documents),
+i AS (SELECT doc_id, lower(text || ' ' || l[1 + length(text) % {len(_PLANTED)}]) AS said FROM p)
+SELECT CAST(doc_id AS VARCHAR) AS sample_id, 'training_instruction_implementation_detail' AS message FROM i WHERE len(list_filter(['cadquery', 'workplane', 'result =', 'source span', 'block span', 'source_span', 'block_span', 'csg', 'cutter',
+  'target_code', 'intermediate_code', 'original_code', 'source_api', 'block_text', '坐标原点', '代码实现'], lambda w: contains(said, w))) > 0""")
+def planted_training_leaks(spark, sf_dir):
+    """Training rows whose instruction shows how the edit is made: whole texts with words put in by their length."""
+    planted = F.element_at(F.array(*[F.lit(x) for x in _PLANTED]), F.char_length("text") % len(_PLANTED) + 1)
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("sample_id"), F.lit("train").alias("split"), F.array(F.lit("a.png")).alias("images"),
+        F.concat_ws(" ", "text", planted).alias("instruction"), F.lit("x = 1").alias("target_code"),
+    )
+    return stages.leaks(stages.exports(rows)["training"])
+
+
 @query(f"""WITH {_D}, z AS (WITH {_SLOT} SELECT count(*) AS c FROM z), y AS (WITH {_ADD} SELECT kind, count(*) AS c FROM y GROUP BY kind),
 u AS (SELECT 'v1_parameter' AS branch, 'parameter_' || CASE WHEN n IN (3, 4) THEN unnest(['circle', 'extrude', CASE n WHEN 3 THEN 'circle' ELSE 'extrude' END]) ELSE unnest(['box', 'box', 'box']) END AS edit_type FROM p
   UNION ALL SELECT 'v3_delete', edit_type FROM g UNION ALL SELECT 'v4_replace', CASE n WHEN 1 THEN 'replace_fillet_with_chamfer' WHEN 2 THEN 'replace_chamfer_with_fillet' WHEN 3 THEN 'replace_circular_cutout_with_polygonal_cutout' ELSE 'replace_polygonal_cutout_with_circular_cutout' END FROM g WHERE n BETWEEN 1 AND 4)

@@ -16,6 +16,7 @@ from ..functions import instructions as I
 from ..functions.records import category_name
 from ..functions.scalars import stable_score
 from ..operators import candidates, contracts, joins, placement, replacements, rules, selection, verify
+from ..operators.graph import ready_to_checkpoint
 
 # Branches, what they do, and the texts of chat rows.
 BRANCHES = {"v1_parameter": "parameter", "v2_add": "add", "v3_delete": "delete", "v4_replace": "replace"}
@@ -132,6 +133,12 @@ def pool(
     return out if keep_failed else out.filter("ok")
 
 
+def stored(edits: DataFrame) -> DataFrame:
+    """A stage's edits kept in the checkpoint folder, as stages that read them more than once need."""
+    ready_to_checkpoint(edits.sparkSession)
+    return edits.checkpoint()
+
+
 def gates() -> rules.Rules:
     return [
         *verify.required(["sample_id", "original_code", "target_code"]),
