@@ -38,6 +38,7 @@ class _Source:
 
     def __init__(self, code: str):
         self.code, self.tree = code, ast.parse(code)
+        self.made: list[ast.Call] | None = None  # what is assigned to the result, once it was sought
         self.starts, at = [], 0
         self.lines = code.split("\n")
         for line in self.lines:
@@ -119,8 +120,10 @@ def _sets_result(statement: ast.AST, kinds: tuple = (ast.Assign, ast.AnnAssign))
 
 def _ending(source: _Source, name: str) -> list[ast.Call]:
     """Calls of ``name`` that end what is assigned to the result, wherever it stands, in text order."""
-    found = [x.value for x in ast.walk(source.tree) if _sets_result(x) and _is_call(x.value, name)]
-    return sorted(found, key=lambda c: (c.lineno, c.col_offset))
+    if source.made is None:
+        found = [x.value for x in ast.walk(source.tree) if _sets_result(x) and isinstance(x.value, ast.Call)]
+        source.made = sorted(found, key=lambda c: (c.lineno, c.col_offset))
+    return [c for c in source.made if _is_call(c, name)]
 
 
 def _inside(node: ast.AST, name: str, *positive: int) -> tuple[float, ...] | None:

@@ -165,7 +165,8 @@ def delete_forms(spark, sf_dir):
     forms = F.array(*[F.struct(F.lit(i).alias("form"), F.lit(before + text + after).alias("code")) for i, (before, text, after, *_) in enumerate(_FORMS)])
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", F.inline(forms))
     programs = rows.select(F.concat_ws("_", F.col("p_partkey").cast("string"), F.col("form").cast("string")).alias("id"), filled(F.col("code")).alias("code"))
-    return candidates.deletion_candidates(programs).drop("code", "ordinal")
+    # Parsing takes far longer than reading: tasks by cores, not by bytes.
+    return candidates.deletion_candidates(programs.repartition(spark.sparkContext.defaultParallelism)).drop("code", "ordinal")
 
 
 @query(f"""WITH {_D}, t AS (SELECT *, CASE n WHEN 1 THEN '.edges("|Z").chamfer(3)' WHEN 2 THEN '.edges("|Z").fillet(2)' WHEN 3 THEN '.cut(cq.Workplane("XY").polygon(6, 23).extrude(44))'
