@@ -8,8 +8,9 @@ local maxima.  A phrase's name is a hash of its symbols, and the names are the
 next level's symbols.  Where a phrase begins depends on a few neighbours only, so
 equal substrings have equal phrases inside, whatever their offset.
 
-The fingerprint is a one-permutation sketch of the phrase names of levels 2 to 4
-(of level 1 too where level 2 has few); likeness is the share of equal cells.
+The fingerprint is a one-permutation sketch of the phrase names of levels 2 to 4 and
+of the pairs of neighbouring names of level 1, for texts of all lengths alike;
+likeness is the share of equal cells.
 
 Edge cases: null and empty texts have the fingerprint of nothing, like each
 other and unlike any other; rows of one doc_id follow each other by text; a null
@@ -33,7 +34,6 @@ from .near_dedup import mix, probes
 
 CELLS = 64
 LEVELS = 4
-FEW = 16
 CHUNK = 300_000
 BLOCKS = 3
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -84,17 +84,15 @@ def sketches(texts: list[str]) -> np.ndarray:
     if not len(doc):
         return out.astype(np.uint16)
     names = mix(np.concatenate(points).astype(np.uint64) * _C + np.uint64(1))
-    kept, owners, first = [], [], None
+    kept, owners = [], []
     for level in range(1, LEVELS + 1):
         names, doc = parse_level(names, doc)
         if level == 1:
-            first = names, doc
+            # One name alone, some four characters, is in most texts; two that follow each other are in few.
+            pair = doc[1:] == doc[:-1]
+            kept.append(mix(mix(names[:-1][pair] + _C) + names[1:][pair]))
+            owners.append(doc[1:][pair])
             continue
-        if level == 2:
-            few = np.bincount(doc, minlength=len(texts)) < FEW
-            take = few[first[1]]
-            kept.append(first[0][take])
-            owners.append(first[1][take])
         kept.append(mix(names + np.uint64(level)))
         owners.append(doc)
     value, owner = np.concatenate(kept), np.concatenate(owners)
