@@ -113,7 +113,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, v) of the rows that take part: one for each id, all vectors of one length."""
     inf = float("inf")
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < inf)
-    rows = embeddings.select("vec_id", F.col("embedding").alias("v")).filter(
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v")).filter(
         F.col("vec_id").isNotNull() & F.forall("v", fine) & F.exists("v", lambda x: x != 0)
     )
     lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
