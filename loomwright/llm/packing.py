@@ -34,7 +34,7 @@ from .common import bucketed_prefix, lean, materialize, table
 
 CAPACITY = 2048
 #: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
-CACHED, LONGEST, PLACE = 80_000_000, 64, 176
+CACHED, LONGEST, PLACE = 40_000_000, 64, 176
 #: Letters and digits before a last mark of a word, and such marks: the vocabulary always cuts between them.
 BEFORE, MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789"), frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _TOKENIZERS: dict[str, "WordCache"] = {}
