@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import mixing, near_dedup, packing, suffix_dedup, toxicity
-from loomwright.llm.common import materialize, ordered_key, table
+from loomwright.llm.common import materialize, ordered_key, table, without
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -42,8 +42,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     rows = with_row_key(docs)
     found = near_dedup.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
-    kept, _ = materialize(found.filter("kept").select(F.col("doc_id").alias("key")).distinct(), "kept")
-    return rows.join(kept, "key", "left_semi").select(*COLUMNS)
+    dropped, _ = materialize(found.filter("not kept").select(F.col("doc_id").alias("key")), "dropped", short=True)
+    return without(rows, dropped, "key").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,9 +70,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sized, _ = materialize(
         docs.select(*COLUMNS).select("doc_id", "source", mixing.word_count("text").alias("size")), "mix"
     )
-    taken = mixing.fair_queue(sized).groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
-    taken, _ = materialize(taken.withColumnRenamed("doc_id", "id"), "taken")
-    rows = docs.select(*COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
+    ends, _ = materialize(mixing.queue_ends(mixing.fair_queue(sized)), "ends")
+    rows = mixing.with_copies(docs.select(*COLUMNS).withColumn("size", mixing.word_count("text")), ends).filter("copies > 0")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -73,13 +73,17 @@ def targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float =
     )
 
 
+def shuffled() -> Column:
+    """What a source's documents are queued by, before doc_id and size."""
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+
+
 def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
     """``docs`` (doc_id, source, size; materialised) with source_size, target and copies."""
     goal = targets(docs, weights, budget, epochs)
     goal, _ = materialize(goal, "mix-targets")
     queued = docs.join(goal, docs["source"].eqNullSafe(goal["source"])).drop(goal["source"])
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    queued = queued.withColumn("shuffle", order).withColumns(
+    queued = queued.withColumn("shuffle", shuffled()).withColumns(
         {"__a": F.substring("shuffle", 1, 3), "__b": F.substring("shuffle", 4, 2)}
     )
     queued = bucketed_prefix(
@@ -126,6 +130,28 @@ def fair_queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: floa
     return queued.withColumn("copies", F.when(F.col("size") > 0, copies_kept).otherwise(F.lit(0)))
 
 
+def queue_ends(mixed: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+    """Per source, the last place in its queue that is taken once, twice and so on: end_1, end_2, ...
+
+    Finish times grow along a queue, so a document is taken as often as there are
+    ends that don't come before it.  ``mixed``: what ``fair_queue`` returns.
+    """
+    place = F.struct("shuffle", "doc_id", "size")
+    ends = [F.max(F.when(F.col("copies") >= e, place)).alias(f"end_{e}") for e in range(1, epochs + 1)]
+    return mixed.filter("copies > 0").groupBy("source").agg(*ends)
+
+
+def with_copies(docs: DataFrame, ends: DataFrame, epochs: int = EPOCHS) -> DataFrame:
+    """``docs`` (doc_id, source, size and others) with copies, from the ``ends`` of the queues alone; no document is shuffled.
+
+    Rows with one doc_id, source and size share the decision at an end.
+    """
+    place = F.struct(shuffled().alias("shuffle"), F.col("doc_id"), F.col("size"))
+    taken = sum((F.coalesce(place <= F.col(f"end_{e}"), F.lit(False)).cast("int") for e in range(1, epochs + 1)), F.lit(0))
+    joined = docs.join(ends.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")), "left")
+    return joined.select(*docs.columns, F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).alias("copies"))
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source and number of words of each document."""
     return docs.select("doc_id", "source", word_count("text").alias("size"))

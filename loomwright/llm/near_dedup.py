@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, lean, materialize, ordered_key, table
+from .common import among, discard, lean, materialize, ordered_key, table
 from .graph import components
 
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
@@ -153,7 +153,7 @@ def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             packed = [shingles(text.as_py(), words).tobytes() for text in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
 
-    texts = docs.select("key", "text").join(wanted.select(F.col("node").alias("key")), "key", "left_semi")
+    texts = among(docs.select("key", "text"), wanted.select(F.col("node").alias("key")), "key")
     return texts.mapInArrow(lean(run), "node long, hashes binary")
 
 
