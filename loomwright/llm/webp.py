@@ -69,13 +69,14 @@ class Code:
 
     def __init__(self, lengths: list[int] | np.ndarray):
         lengths = np.asarray(lengths)
-        used = np.flatnonzero(lengths)
+        used = lengths.nonzero()[0]
         if len(used) <= 1:
             self.bits, self.table = 0, np.array([int(used[0]) << 4 if len(used) else 0], dtype=np.uint16)
             return
-        self.bits = int(lengths[used].max())
-        order = used[np.argsort(lengths[used], kind="stable")]
-        size = lengths[order]
+        size = lengths[used]
+        order = size.argsort(kind="stable")
+        order, size = used[order], size[order]
+        self.bits = int(size[-1])
         spread = np.repeat((order << 4 | size).astype(np.uint16), 1 << (self.bits - size))
         if len(spread) != 1 << self.bits:
             raise ValueError("the prefix code isn't complete")
@@ -133,10 +134,11 @@ def _read_new_code(source: Bits, size: int, known: dict) -> Code:
     left = 2 + source.read(2 + 2 * source.read(3)) if source.read(1) else size
     lengths: list[int] = []
     last, data, at = 8, source.data, source.at
-    mask = (1 << bits) - 1
+    mask, value, end = (1 << bits) - 1, 0, 0
     while len(lengths) < size and left:
         left -= 1
-        value = int.from_bytes(data[at >> 3 : (at >> 3) + 4], "little") >> (at & 7)
+        if end - at < 14:  # a code and its extra bits
+            value, end = int.from_bytes(data[at >> 3 : (at >> 3) + 16], "little") >> (at & 7), (at & ~7) + 128
         entry = table[value & mask]
         at += entry & 15
         value >>= entry & 15
@@ -147,12 +149,15 @@ def _read_new_code(source: Bits, size: int, known: dict) -> Code:
         elif symbol == 16:
             lengths.extend([last] * (3 + (value & 3)))
             at += 2
+            value >>= 2
         elif symbol == 17:
             lengths.extend([0] * (3 + (value & 7)))
             at += 3
+            value >>= 3
         else:
             lengths.extend([0] * (11 + (value & 127)))
             at += 7
+            value >>= 7
     source.at = at
     key = tuple(lengths)
     if key not in known:
@@ -530,33 +535,36 @@ def decode(files: Iterable[bytes]) -> list[np.ndarray]:
 def code_lengths(counts: list[int] | np.ndarray, most: int = 12) -> list[int]:
     """Huffman code lengths of at most ``most`` bits."""
     counts = np.asarray(counts)
-    lengths, used = [0] * len(counts), np.flatnonzero(counts)
+    lengths, used = [0] * len(counts), counts.nonzero()[0]
     if len(used) == 1:
         lengths[int(used[0])] = 1
     if len(used) < 2:
         return lengths
-    used = used[np.argsort(counts[used], kind="stable")]
-    weights, n = counts[used].tolist(), len(used)
+    weights = counts[used]
+    order = weights.argsort(kind="stable")
+    used, weights, n, far = used[order], weights[order].tolist(), len(used), float("inf")
     while True:
         # Leaves in order, and joined nodes, which come in order, too.
-        joined, parent, leaf, node, far = [], [0] * (2 * n - 1), 0, 0, float("inf")
+        joined, parent, leaf, node = [far] * n, [0] * (2 * n - 1), 0, 0
         queue = [*weights, far]
-        for made in range(n, 2 * n - 1):
-            ready = joined[node] if node < len(joined) else far
-            if queue[leaf] <= ready:
-                one, parent[leaf] = queue[leaf], made
+        for k in range(n - 1):
+            one, ready = queue[leaf], joined[node]
+            if one <= ready:
+                parent[leaf] = n + k
                 leaf += 1
             else:
-                one, parent[n + node] = ready, made
+                one = ready
+                parent[n + node] = n + k
                 node += 1
-            ready = joined[node] if node < len(joined) else far
-            if queue[leaf] <= ready:
-                joined.append(one + queue[leaf])
-                parent[leaf] = made
+                ready = joined[node]
+            other = queue[leaf]
+            if other <= ready:
+                joined[k] = one + other
+                parent[leaf] = n + k
                 leaf += 1
             else:
-                joined.append(one + ready)
-                parent[n + node] = made
+                joined[k] = one + ready
+                parent[n + node] = n + k
                 node += 1
         depth = [0] * (2 * n - 1)
         for k in range(2 * n - 3, -1, -1):
@@ -600,6 +608,7 @@ MOST_BITS = 11
 # The code in which lengths up to that are written: runs of zeros and lengths of 7 in three bits, the others in four.
 _COMMON_SIZES = [3 if s in (7, 17) else 4 if s <= MOST_BITS or s == 18 else 0 for s in range(19)]
 _COMMON_SPELLED = spelled(_COMMON_SIZES)
+_COMMON_GAPS = {n: _COMMON_SPELLED[symbol] + extra for n, (symbol, extra) in _GAPS.items()}
 
 
 class Writer:
@@ -619,28 +628,30 @@ class Writer:
             self.write(0b101 if symbol > 1 else 0b001, 3)
             self.write(symbol, 8 if symbol > 1 else 1)
             return
-        items: list[tuple[int, str]] = []  # symbol, extra bits
+        common = max(lengths) <= MOST_BITS
+        # Each item is a symbol and extra bits; in the common code, what they are written as.
+        gaps, sizes, short = (_COMMON_GAPS, _COMMON_SIZES, _COMMON_SPELLED) if common else (_GAPS, [], {s: (s, "") for s in range(16)})
+        items: list = []
         last = -1
         for i in used:
             gap = i - last - 1
             while gap >= 3:
-                items.append(_GAPS[min(gap, 138)])
+                items.append(gaps[min(gap, 138)])
                 gap -= min(gap, 138)
-            items.extend([(0, "")] * gap)
-            items.append((lengths[i], ""))
+            if gap:
+                items.extend([short[0]] * gap)
+            items.append(short[lengths[i]])
             last = i
-        if max(lengths) <= MOST_BITS:
-            sizes, short = _COMMON_SIZES, _COMMON_SPELLED
-        else:
+        if not common:
             counts = [0] * 19
             for s, _ in items:
                 counts[s] += 1
             sizes = code_lengths(counts, 7)
             short = spelled(sizes) if sum(1 for x in sizes if x) > 1 else dict.fromkeys(range(19), "")
+            items = [short[s] + extra for s, extra in items]
         n = max(0, -(-max(1, (len(items) - 2).bit_length()) // 2) - 1)
         bits = ["01111", *[_SIZES_SPELLED[sizes[s]] for s in CODE_LENGTH_ORDER], "1", _lowest_first(n, 3), _lowest_first(len(items) - 2, 2 + 2 * n)]
-        bits += [short[s] + extra for s, extra in items]
-        stream = "".join(bits)
+        stream = "".join(bits + items)
         self.write(int(stream[::-1], 2), len(stream))
 
 
@@ -682,10 +693,10 @@ def _transform(samples: bytes, pixels: np.ndarray) -> tuple[str, np.ndarray | in
     row or pixel, where these are told from others).
     """
     data, width = np.frombuffer(samples, dtype=np.uint8), pixels.shape[1]
-    ordered = np.sort(pixels, axis=None)
-    new = np.flatnonzero(ordered[1:] != ordered[:-1])
+    ordered = np.sort(np.frombuffer(samples, dtype="<u4"))
+    new = (ordered[1:] != ordered[:-1]).nonzero()[0]
     if 1 <= len(new) <= 255 and 3 * len(new) + 3 <= len(ordered):
-        return "palette", ordered[np.append(0, new + 1)]
+        return "palette", ordered[np.append(0, new + 1)].astype(np.int64)
     best, name, given = WORTH * _bits_needed(data), "none", None
     blue, green, red, alpha = (data[i::4] for i in range(4))
     half = (green.view(np.int8) >> 1).view(np.uint8)
@@ -733,23 +744,23 @@ def _copies(pixels: np.ndarray) -> list[tuple[int, int, int]]:
 def _stored(pixels: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The cache's cell of each pixel, and whether it holds the pixel when it comes to it."""
     slot = (pixels * CACHE_FACTOR & 0xFFFFFFFF) >> (32 - bits)
-    order = np.argsort(slot, kind="stable")
-    hit = np.zeros(len(pixels), dtype=bool)
-    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+    order = slot.astype(np.uint16).argsort(kind="stable")  # by digits
+    hit, there, own = np.zeros(len(pixels), dtype=bool), slot[order], pixels[order]
+    hit[order[1:]] = (there[1:] == there[:-1]) & (own[1:] == own[:-1])
     return slot, hit
 
 
 def _packed(head: Writer, values: np.ndarray, sizes: np.ndarray) -> bytes:
-    """The writer's bits, then ``sizes`` bits of each value (56 at most)."""
+    """The writer's bits, then ``sizes`` bits of each value (64 at most, others not set)."""
     ends = np.cumsum(sizes) + head.size % 8
     at = ends - sizes
     word, shift = at >> 6, (at & 63).astype(np.uint64)
     last = int(ends[-1]) if len(ends) else head.size % 8
     packed = np.zeros((last >> 6) + 2, dtype=np.uint64)
     if len(ends):
-        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        heads = np.append(True, word[1:] != word[:-1]).nonzero()[0]
         packed[word[heads]] = np.bitwise_or.reduceat(values << shift, heads)
-        over = np.flatnonzero((at & 63) + sizes > 64)
+        over = ((at & 63) + sizes > 64).nonzero()[0]
         packed[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
     start = head.value.to_bytes((head.size + 7) // 8, "little")
     body = packed.astype("<u8").tobytes()[: (last + 7) // 8]
@@ -816,13 +827,14 @@ def encode_samples(samples: bytes, width: int, height: int, used: dict[str, int]
     first[hit] = slot[hit] + 256 + LENGTH_CODES
     lengths_, distances = [_prefix(c) for _, c, _ in copies], [_prefix(d + len(NEAR)) for *_, d in copies]
     first[starts] = [256 + x[0] for x in lengths_]
-    places = np.flatnonzero(token)
+    places = token.nonzero()[0]
     literal = token & ~hit
     literal[starts] = False
-    others = np.stack([pixels >> 16 & 255, pixels & 255, pixels >> 24 & 255])
-    counts = np.bincount(first[places], minlength=256 + LENGTH_CODES + (1 << bits if bits else 0))
+    whole, symbols = pixels[literal], first[places]
+    others = whole >> 16 & 255, whole & 255, whole >> 24 & 255
+    counts = np.bincount(symbols, minlength=256 + LENGTH_CODES + (1 << bits if bits else 0))
     green = code_lengths(counts, MOST_BITS)
-    rest = code_lengths(np.bincount(others[:, literal].ravel(), minlength=256), MOST_BITS)
+    rest = code_lengths(np.bincount(np.concatenate(others), minlength=256), MOST_BITS)
     far = code_lengths(np.bincount([x[0] for x in distances], minlength=DISTANCE_CODES), MOST_BITS) if copies else [1]
     w.write_code(green)
     described = Writer()
@@ -834,26 +846,32 @@ def encode_samples(samples: bytes, width: int, height: int, used: dict[str, int]
     def coded(lengths):
         """Codes, their first bits lowest, and sizes by symbol; a code of one symbol has no bits."""
         size = np.array(lengths, dtype=np.int64)
-        there = np.flatnonzero(size)
+        there = size.nonzero()[0]
         out = np.zeros(len(size), dtype=np.uint64)
         if len(there) <= 1:
             return out, np.zeros(len(size), dtype=np.int64)
-        there = there[np.argsort(size[there], kind="stable")]
+        there = there[size[there].argsort(kind="stable")]
         share = 1 << (MOST_BITS - size[there])
         out[there] = _reversed_bits(MOST_BITS)[np.cumsum(share) - share]
         return out, size
 
-    # Up to four parts a token: literals' channels, or a copy's codes and extra bits.
-    values, sizes = np.zeros((n, 4), dtype=np.uint64), np.zeros((n, 4), dtype=np.int64)
+    # A number for each token: a literal's four codes (44 bits), or a copy's codes and extra bits (58).
     code, size = coded(green)
-    values[places, 0], sizes[places, 0] = code[first[places]], size[first[places]]
+    values, sizes = code[symbols], size[symbols]
     code, size = coded(rest)
-    at = np.flatnonzero(literal)
-    values[at[:, None], [1, 2, 3]], sizes[at[:, None], [1, 2, 3]] = code[others[:, at].T], size[others[:, at].T]
-    code, size = coded(far)
-    for place, (_, extra, extra_bits), (symbol, value, value_bits) in zip(starts.tolist(), lengths_, distances, strict=True):
-        values[place, 1:], sizes[place, 1:] = (extra, code[symbol], value), (extra_bits, size[symbol], value_bits)
-    return _file(_packed(w, values[places].ravel() & ((np.uint64(1) << sizes[places].ravel().astype(np.uint64)) - np.uint64(1)), sizes[places].ravel()))
+    at = literal[places].nonzero()[0]
+    value, bits = values[at], sizes[at]
+    for part in others:
+        value |= code[part] << bits.view(np.uint64)
+        bits += size[part]
+    values[at], sizes[at] = value, bits
+    if copies:
+        code, size = (x.tolist() for x in coded(far))
+        tails = [(extra | code[s] << b | value << (b + size[s]), b + size[s] + more) for (_, extra, b), (s, value, more) in zip(lengths_, distances, strict=True)]
+        at = np.searchsorted(places, starts)
+        values[at] |= np.array([x[0] for x in tails], dtype=np.uint64) << sizes[at].view(np.uint64)
+        sizes[at] += np.array([x[1] for x in tails], dtype=np.int64)
+    return _file(_packed(w, values, sizes))
 
 
 def _prefix(value: int) -> tuple[int, int, int]:

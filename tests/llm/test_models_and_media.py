@@ -166,3 +166,18 @@ def test_pipeline_on_small_tables(spark, tmp_path):
     assert after[8] == texts[8] and all(after[i] == texts[i] for i in range(30) if i not in (5, 6, 9))
     assert kept[3].columns == list(corpus_pipeline.COLUMNS)
     assert kept[4].count() >= kept[3].count()
+
+
+def test_webp_files_stay_as_they_were(monkeypatch):
+    rng = np.random.default_rng(12)
+    words = [bytes(rng.integers(97, 123, int(rng.integers(2, 9))).astype(np.uint8)) for _ in range(300)]
+    texts = [b" ".join(words[int(i)] for i in rng.integers(0, 300, n)) for n in (0, 1, 9, 40, 200, 900)]
+    texts += [b"ab" * 500, bytes(range(256)) * 9, bytes(rng.integers(0, 256, 3000).astype(np.uint8)), bytes(64) + b"x" * 5000]
+    packed, most = webp._packed, []
+    monkeypatch.setattr(webp, "_packed", lambda w, values, sizes: most.append(len(values)) or packed(w, values, sizes))
+    files = [media.to_file(media.payload(t)) for t in texts]
+    assert hashlib.sha256(b"".join(files)).hexdigest() == "5820899af12243942d60ebb7c79dc2809c238df461a72748162a0658022d2c31"
+    # One number a pixel at most is put into the stream, not one for each channel.
+    assert all(n <= len(media.payload(t)) // 4 for n, t in zip(most, texts, strict=True))
+    read = media.samples_of(files, [len(media.payload(t)) for t in texts])
+    assert [x.tobytes() for x, _ in read] == [media.payload(t) for t in texts]
