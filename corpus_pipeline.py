@@ -10,7 +10,6 @@ Edge cases are those of the operators; an empty table passes through all stages.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,20 +50,11 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A character of which only some bytes are removed goes as a whole.
     """
-    cut = suffix_dedup.without_repeats(docs.select(*COLUMNS))
-    out = cut.withColumn("text", whole_characters("kept")).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut = suffix_dedup.without_repeats(docs.select(*COLUMNS), whole=True)
+    out = cut.withColumn("n_chars", F.char_length("text").cast("long"))
     return out.filter("n_removed = 0 or n_bytes > n_removed").select(*COLUMNS)
 
 
-def whole_characters(column: str):
-    """UTF-8 bytes as text, without characters of which bytes are missing."""
-    @F.pandas_udf("string")
-    def decoded(kept: pd.Series) -> pd.Series:
-        return pd.Series([bytes(k).decode("utf-8", "ignore") for k in kept], dtype=object)
-
-    return decoded(column)
-
-
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the weighted mix takes it."""
     sized, _ = materialize(

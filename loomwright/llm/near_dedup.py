@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import among, discard, lean, materialize, ordered_key, table
+from .common import among, discard, lean, materialize, ordered_key, table, worker_cache
 from .graph import components
 
 WORDS, PERCENT, BANDS, ROWS = 5, 80, 32, 5
@@ -66,6 +66,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+worker_cache("words", _WORDS.clear)
 
 
 def shingles(text: str | bytes | None, words: int) -> np.ndarray:
@@ -142,7 +143,7 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 names=["key", "doc_id", "n_shingles", "set_a", "set_b", "bands"],
             )
 
-    return docs.select("key", "doc_id", "text").mapInArrow(lean(run), SIGNED)
+    return docs.select("key", "doc_id", "text").mapInArrow(lean(run, "words"), SIGNED)
 
 
 def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -154,7 +155,7 @@ def hashed(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "hashes"])
 
     texts = among(docs.select("key", "text"), wanted.select(F.col("node").alias("key")), "key")
-    return texts.mapInArrow(lean(run), "node long, hashes binary")
+    return texts.mapInArrow(lean(run, "words"), "node long, hashes binary")
 
 
 def _joined(edges: DataFrame, sets: DataFrame, column: str) -> DataFrame:

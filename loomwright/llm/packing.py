@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucketed_prefix, lean, materialize, table
+from .common import bucketed_prefix, lean, materialize, table, worker_cache
 
 CAPACITY = 2048
 #: Bytes of words, ids and their places that a generation of the cache may have, and the longest word in it.
@@ -38,6 +38,7 @@ CACHED, LONGEST, PLACE = 80_000_000, 64, 176
 #: Letters and digits before a last mark of a word, and such marks: the vocabulary always cuts between them.
 BEFORE, MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789"), frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _TOKENIZERS: dict[str, "WordCache"] = {}
+worker_cache("tokenizers", _TOKENIZERS.clear)
 
 
 class WordCache:
@@ -143,7 +144,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(lean(run), PIECES)
+    return docs.select("doc_id", "text").mapInArrow(lean(run, "tokenizers"), PIECES)
 
 
 def _combination(gap: int, have: np.ndarray, pairs: np.ndarray) -> tuple[int, ...] | None:

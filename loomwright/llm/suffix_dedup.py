@@ -52,8 +52,8 @@ LENGTH = 100
 NAMES = (50, 90, 100)
 _C = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_NAMES = mix(np.arange(1, 257, dtype=np.uint64) * _C)
-#: Samples that a task sorts at once.
-BATCH = 2_000_000
+#: Samples that a task sorts at once; each takes some 200 bytes meanwhile.
+BATCH = 250_000
 
 
 def names(data: np.ndarray, lengths: tuple[int, ...]) -> dict[int, np.ndarray]:
@@ -150,7 +150,7 @@ def combined(rows: list[np.ndarray]) -> list[np.ndarray]:
     name, around = rows[:2]
     new_name = np.append(True, name[1:] != name[:-1])
     new = new_name | np.append(True, around[1:] != around[:-1])
-    kind = np.where(new, TO_DECIDE, REPEATED)
+    kind = np.where(new, TO_DECIDE, REPEATED).astype(np.int32)
     heads = np.flatnonzero(new)
     start = np.flatnonzero(new_name[heads])
     each = np.diff(np.append(start, len(heads)))
@@ -162,7 +162,7 @@ def combined(rows: list[np.ndarray]) -> list[np.ndarray]:
     # Decided samples need no name any more.
     for x in rows[:2]:
         x[kind == REPEATED] = 0
-    return [*(np.concatenate([x, x[tell]]) for x in rows), np.concatenate([kind, np.full(len(tell), TELLING)])]
+    return [*(np.concatenate([x, x[tell]]) for x in rows), np.concatenate([kind, np.full(len(tell), TELLING, np.int32)])]
 
 
 def _sampled(docs: DataFrame, k: int, length: int) -> DataFrame:
@@ -173,10 +173,10 @@ def _sampled(docs: DataFrame, k: int, length: int) -> DataFrame:
         size = 0
 
         def flush():
-            made = combined([np.concatenate(c) for c in out])
+            rows = [np.concatenate(c) for c in out]
             for c in out:
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(made, _SCHEMA, strict=True)], schema=_SCHEMA)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in combined(rows)], schema=_SCHEMA)
 
         for batch in batches:
             spans = batch.column(2).to_pylist() if batch.num_columns > 2 else None
@@ -186,7 +186,7 @@ def _sampled(docs: DataFrame, k: int, length: int) -> DataFrame:
                     continue
                 rows = samples(data, [(0, len(data) - length)] if spans is None else _merged(spans[i]), k, length)
                 n = len(rows[0])
-                for column, value in zip(out, (rows[0].view(np.int64), rows[1].view(np.int64), np.full(n, doc), rows[2], rows[3]), strict=True):
+                for column, value in zip(out, (rows[0].view(np.int64), rows[1].view(np.int64), np.full(n, doc), rows[2].astype(np.int32), rows[3].astype(np.int32)), strict=True):
                     column.append(value)
                 size += n
                 if size > BATCH:
@@ -263,11 +263,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, names_of: tuple[int, .
     return _spans_of(found), paths
 
 
-CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
+CUT = "n_bytes long, n_removed long, n_spans long, kept"
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False, names_of: tuple[int, ...] = NAMES) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans and kept (bytes; their SHA-256 with ``digest``)."""
+def without_repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False, names_of: tuple[int, ...] = NAMES, whole: bool = False) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans and kept (bytes; their SHA-256 with ``digest``).
+
+    With ``whole`` what is kept takes the place of the text, without characters of
+    which bytes are missing.
+    """
     rows, _ = ordered_key(docs.drop("doc", "spans"), "doc")
     spans, _ = repeated_spans(rows, length, names_of)
     joined = rows.join(spans, "doc", "left")
@@ -291,17 +295,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, digest: bool = False,
                 total.append(len(raw))
                 gone.append(removed)
                 runs.append(n)
-                kept.append(hashlib.sha256(rest).digest() if digest else rest)
+                kept.append(hashlib.sha256(rest).digest() if digest else rest.decode("utf-8", "ignore") if whole else rest)
             columns = [c for c, f in zip(batch.columns, batch.schema, strict=True) if f.name in keep]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
+                [*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.string() if whole else pa.binary())],
                 names=[*keep, "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
     keep = [c for c in docs.columns if c in ("doc_id", "lang", "source", "n_chars") or not digest and c != "text"]
     ordered = joined.select(*keep, *[c for c in ("text", "spans")])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return ordered.mapInArrow(lean(cut), f"{schema}, {CUT}")
+    found = ordered.mapInArrow(lean(cut), f"{schema}, {CUT} {'string' if whole else 'binary'}")
+    return found.withColumnRenamed("kept", "text") if whole else found
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
