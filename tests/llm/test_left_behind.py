@@ -1,4 +1,6 @@
-"""What a stage leaves to the next: no other operator's caches, and small batches of samples."""
+"""What a stage leaves to the next: no shuffle files, no other operator's caches, and small batches of samples."""
+
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,25 @@ from loomwright.llm import suffix_dedup as S
 from test_suffix_dedup import brute
 
 
+def shuffled(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return {x for x in files.mkString("\n").split("\n") if "/shuffle_" in x}
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    before = shuffled(spark)
+    rows = spark.range(5000).repartition(3).groupBy("id").count()
+    written, _ = common.materialize(rows, "left-behind")
+    for _ in range(50):  # they are removed in the background
+        if not shuffled(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled(spark) - before
+    assert spark.conf.get(common.CLEANUP, "false") == "false"
+    assert written.count() == rows.count() == 5000  # also what was shuffled is read again
+
+
 def test_a_task_empties_the_caches_of_others():
     seen = []
 
